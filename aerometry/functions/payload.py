@@ -47,7 +47,7 @@ def payload_fields(body: Column) -> Column:
     """
     header = F.split(payload_line(body, 0), r"\|")
     values = F.split(payload_line(body, 1), r"\|")
-    width = F.least(F.size(header), F.size(values))
+    width = F.when(values.isNotNull(), F.least(F.size(header), F.size(values)))
     names = F.slice(header, F.lit(1), width)
     pairs = F.arrays_zip(
         names.alias("name"), F.slice(values, F.lit(1), width).alias("text")
