@@ -134,7 +134,7 @@ _VALUES = {
     "pm2": "value / 2",
     "pm10": "value * 2",
     "pressure": "value + 1000",
-    "humidity": "-value",
+    "humidity": "100 - value",
     "temperature": "value",
 }
 _CITY = f"list_extract([{', '.join(repr(c) for c in CITIES)}], cast(user_id % 6 + 1 as integer))"

@@ -108,7 +108,7 @@ def reading_values() -> dict[str, Column]:
         "pm2": value / 2,
         "pm10": value * 2,
         "pressure": value + 1000,
-        "humidity": -value,
+        "humidity": 100 - value,
         "temperature": value,
     }
     return {name: scaled[name] for name in READING_VALUES}

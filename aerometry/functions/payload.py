@@ -12,8 +12,10 @@ FIELD_SEPARATOR = "|"
 # Number texts a reading may hold. Casting alone would also take surrounding
 # blanks and Java's type suffixes.
 _INTEGER = r"^[+-]?[0-9]+$"
-_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_NOT_FINITE = r"(?i)^([+-]?(inf|infinity)|nan)$"
+_DOUBLE = (
+    r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    r"|[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])|[nN][aA][nN])$"
+)
 
 
 def strict_bigint(text: Column) -> Column:
@@ -23,12 +25,7 @@ def strict_bigint(text: Column) -> Column:
 
 def strict_double(text: Column) -> Column:
     """The double a text spells, NULL for anything else."""
-    return F.when(text.rlike(_DECIMAL) | text.rlike(_NOT_FINITE), text.try_cast("double"))
-
-
-def payload_line(body: Column, index: int) -> Column:
-    """Line ``index`` of a payload, NULL if it has fewer."""
-    return F.get(F.split(body, "\n"), F.lit(index))
+    return F.when(text.rlike(_DOUBLE), text.try_cast("double"))
 
 
 def first_field(line: Column) -> Column:
@@ -38,25 +35,45 @@ def first_field(line: Column) -> Column:
     )
 
 
-def payload_fields(body: Column) -> Column:
-    """Map from header name to value text.
+def split_payload(payloads: DataFrame, body: str = "body") -> DataFrame:
+    """Add ``_fields``: header names and value texts, last one first, and the first text.
 
-    The shorter line decides how many fields there are. A header named twice
-    keeps its last value; earlier entries are removed before the map is built,
-    so the session's duplicate-key policy does not matter.
+    The shorter line decides how many fields there are. Without a value line all
+    parts are NULL; without a separator in it there is no first text. Lines are
+    split in a column of their own, so that each is split once.
     """
-    header = F.split(payload_line(body, 0), r"\|")
-    values = F.split(payload_line(body, 1), r"\|")
-    width = F.when(values.isNotNull(), F.least(F.size(header), F.size(values)))
-    names = F.slice(header, F.lit(1), width)
-    pairs = F.arrays_zip(
-        names.alias("name"), F.slice(values, F.lit(1), width).alias("text")
+    names, texts = F.col("_names"), F.col("_texts")
+    width = F.when(texts.isNotNull(), F.least(F.size(names), F.size(texts)))
+    fields = F.struct(
+        F.reverse(F.slice(names, F.lit(1), width)).alias("names"),
+        F.reverse(F.slice(texts, F.lit(1), width)).alias("texts"),
+        F.when(F.size(texts) > 1, F.get(texts, F.lit(0))).alias("first"),
     )
-    last = F.filter(
-        pairs,
-        lambda pair, i: ~F.array_contains(F.slice(names, i + F.lit(2), width), pair["name"]),
+    return (
+        payloads.withColumn("_lines", F.split(F.col(body), "\n"))
+        .withColumns(
+            {
+                "_names": F.split(F.get("_lines", F.lit(0)), r"\|"),
+                "_texts": F.split(F.get("_lines", F.lit(1)), r"\|"),
+            }
+        )
+        .withColumn("_fields", fields)
+        .drop("_lines", "_names", "_texts")
+    )
+
+
+def field_text(fields: Column, name: Column | str) -> Column:
+    """The text under a header name, NULL if absent; of a repeated name the last one."""
+    return F.get(
+        fields["texts"],
+        (F.array_position(fields["names"], F.lit(name)) - 1).cast("int"),
     )
-    return F.map_from_entries(last)
+
+
+def field_map(fields: Column) -> Column:
+    """All fields as a map; each name once, so no duplicate-key policy is needed."""
+    names = F.array_distinct(fields["names"])
+    return F.map_from_arrays(names, F.transform(names, lambda name: field_text(fields, name)))
 
 
 def parse_payloads(payloads: DataFrame, body: str = "body") -> DataFrame:
@@ -66,24 +83,27 @@ def parse_payloads(payloads: DataFrame, body: str = "body") -> DataFrame:
     apart), ``time``, the six numbers, and ``reject_reason`` (NULL when usable).
     Input columns stay; the payload's own deviceId or city is not looked at.
     """
-    text = F.col("_fields")
-    parsed = payloads.withColumn("_fields", payload_fields(F.col(body))).withColumn(
-        "reading_key", first_field(payload_line(F.col(body), 1))
+    fields = F.col("_fields")
+    typed = {"reading_key": fields["first"], "time": strict_bigint(field_text(fields, "time"))}
+    typed.update({name: strict_double(field_text(fields, name)) for name in READING_VALUES})
+    # The one-row generator makes columns of the typed values. Without it a
+    # filter on the result would parse again for each column it looks at.
+    parsed = split_payload(payloads, body).select(
+        "*", F.inline(F.array(F.struct(*[value.alias(name) for name, value in typed.items()])))
     )
-    typed = {"time": strict_bigint(text["time"])}
-    typed.update({name: strict_double(text[name]) for name in READING_VALUES})
+    missing = {name: field_text(fields, name).isNull() for name in ("time", *READING_VALUES)}
     reasons = [
-        F.when(F.col("_fields").isNull(), F.lit("no value line")),
-        F.when(F.col("reading_key").isNull(), F.lit("no separator in value line")),
+        F.when(
+            F.col("reading_key").isNull(),
+            F.when(fields["texts"].isNull(), F.lit("no value line")).otherwise(
+                F.lit("no separator in value line")
+            ),
+        )
     ]
-    for name in typed:
-        reasons.append(F.when(text[name].isNull(), F.lit(f"missing {name}")))
-        reasons.append(F.when(F.col(name).isNull(), F.lit(f"bad {name}")))
-    return (
-        parsed.withColumns(typed)
-        .withColumn("reject_reason", F.coalesce(*reasons))
-        .drop("_fields")
-    )
+    for name, absent in missing.items():
+        reason = F.when(absent, F.lit(f"missing {name}")).otherwise(F.lit(f"bad {name}"))
+        reasons.append(F.when(F.col(name).isNull(), reason))
+    return parsed.withColumn("reject_reason", F.coalesce(*reasons)).drop("_fields")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
