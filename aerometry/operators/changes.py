@@ -80,9 +80,8 @@ def last_values(
     )
     if before is not None:
         latest = latest.unionByName(before.select(key, value), allowMissingColumns=True)
-    return latest.groupBy(key).agg(
-        F.coalesce(F.max_by(value, "_at"), F.max(F.when(F.col("_at").isNull(), F.col(value)))).alias(value)
-    )
+    earlier = F.max(F.when(F.col("_at").isNull(), F.col(value)))
+    return latest.groupBy(key).agg(F.coalesce(F.max_by(value, "_at"), earlier).alias(value))
 
 
 def _values_before_slices(
@@ -118,7 +117,8 @@ def _cut_hot_groups(
         return rows, cuts
     for level, cut in enumerate(slices):
         group = [key, *cuts]
-        counts = rows.groupBy(*group).agg(F.count("*").alias("_n"))
+        candidates = rows.where("_is_cut") if cuts else rows
+        counts = candidates.groupBy(*group).agg(F.count("*").alias("_n"))
         hot = written_if_any(counts.where(F.col("_n") > hot_rows).select(*group), "hot-groups")
         if hot is None:
             break
