@@ -37,8 +37,7 @@ def read_payload_files(spark: SparkSession, path: str, stream: bool = False, **o
     files = (
         reader.schema(f"value string, {DEVICE} string")
         .options(**options)
-        .option("wholetext", True)
-        .text(path)
+        .text(path, wholetext=True)
     )
     return files.select(
         DEVICE,
