@@ -1,0 +1,249 @@
+import os
+import random
+import time
+from pathlib import Path
+
+import pytest
+from conftest import at, rows
+from pyspark.sql import functions as F
+
+from aerometry.functions.readings import decode_readings
+from aerometry.operators.changes import changed_readings, time_slices
+from aerometry.operators.rollup import city_temperature, temperature_changes, window_rollup
+from aerometry.schemas import ENVELOPE, PAYLOAD
+from aerometry.session import streaming_session
+from aerometry.sinks.messages import FilePublisher
+from aerometry.sources.feeds import read_payload_table
+from aerometry.sources.messages import MessageFiles, read_messages
+from aerometry.streaming import alarms, changes
+
+
+@pytest.fixture
+def streams(spark):
+    session = streaming_session(spark)
+    session.conf.set("spark.sql.shuffle.partitions", "2")
+    return session
+
+
+def land(spark, folder, data, schema=ENVELOPE):
+    """Add one parquet file to a folder; later files have later modification times."""
+    count = len(list(Path(folder).glob("*.parquet"))) if Path(folder).exists() else 0
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    staged = f"{folder}-staged-{count}"
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(staged)
+    part = next(Path(staged).glob("*.parquet"))
+    target = Path(folder) / f"{count:03d}.parquet"
+    os.link(part, target)
+    stamp = time.time() - 1000 + count * 5
+    os.utime(target, (stamp, stamp))
+
+
+def message(when, city=None, temperature=None, text=None):
+    """An envelope whose reading was taken when it arrived."""
+    if text is None:
+        seconds = int((at(when) - at("00:00:00")).total_seconds()) + 1704067200
+        text = f'{{"city": "{city}", "temperature": {temperature}, "time": {seconds}}}'
+    return (bytearray(text.encode()), at(when))
+
+
+def source(streams, folder):
+    return decode_readings(read_messages(streams, MessageFiles(folder, max_per_trigger=1)))
+
+
+def test_complete_rollup_equals_batch_for_any_split(spark, streams, base):
+    chance = random.Random(5)
+    data = [
+        message(f"00:{i // 60:02d}:{i % 60:02d}", chance.choice("ab"), chance.randint(0, 40))
+        for i in range(0, 300, 7)
+    ] + [message("00:00:03", text="garbage")]
+    chance.shuffle(data)
+    for start in range(0, len(data), 11):
+        land(spark, f"{base}/in", data[start : start + 11])
+    alarms.start_rollup(
+        source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck"
+    ).awaitTermination()
+    stored = decode_readings(spark.createDataFrame(data, ENVELOPE))
+    assert rows(spark.read.parquet(f"{base}/out")) == rows(window_rollup(stored))
+
+
+def test_alarm_is_withdrawn_and_survives_a_restart(spark, streams, base):
+    def run():
+        alarms.start_low_temperature_alarm(
+            source(streams, f"{base}/in"),
+            f"{base}/out",
+            f"{base}/ck",
+            notices_path=f"{base}/notices",
+        ).awaitTermination()
+        return rows(spark.read.parquet(f"{base}/out"), "city", "avg_temperature")
+
+    land(spark, f"{base}/in", [message("00:00:01", "a", 10), message("00:00:02", "b", 15)])
+    assert run() == [("a", 10.0), ("b", 15.0)]
+    land(spark, f"{base}/in", [message("00:00:03", "a", 40)])
+    assert run() == [("b", 15.0)]
+    land(spark, f"{base}/in", [message("00:00:04", "b", 25)])
+    assert run() == []
+    notices = spark.read.parquet(f"{base}/notices")
+    assert rows(notices, "epoch", "message") == [
+        (0, "ALARM: Average temperature below 20 in a"),
+        (0, "ALARM: Average temperature below 20 in b"),
+        (1, "ALARM: Average temperature below 20 in b"),
+    ]
+
+
+def test_closed_windows_are_written_once_and_late_readings_dropped(spark, streams, base):
+    land(spark, f"{base}/in", [message("00:00:01", "a", 10)])
+    land(spark, f"{base}/in", [message("00:02:00", "a", 20)])
+    land(spark, f"{base}/in", [message("00:02:01", "a", 30)])  # closes the first window
+    land(spark, f"{base}/in", [message("00:00:02", "a", 99)])
+    land(spark, f"{base}/in", [message("00:04:00", "a", 1)])
+    alarms.start_closed_rollup(
+        source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="30 seconds"
+    ).awaitTermination()
+    found = rows(spark.read.parquet(f"{base}/out"), "window.start", "avg_temperature")
+    assert found == [(at("00:00:00"), 10.0), (at("00:02:00"), 25.0)]
+
+
+def test_change_alarm_across_batches_equals_batch(spark, streams, base):
+    chance = random.Random(9)
+    data = [
+        message(f"00:{i // 60:02d}:{i % 60:02d}", chance.choice(["a", "b"]), chance.randint(0, 40))
+        for i in range(0, 900, 10)
+    ]
+    for start in range(0, len(data), 20):
+        land(spark, f"{base}/in", data[start : start + 20])
+    for _ in range(2):
+        alarms.start_temperature_change_alarm(
+            source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="10 seconds"
+        ).awaitTermination()
+        land(spark, f"{base}/in", [message("02:00:00", "c", 5)])
+    alarms.start_temperature_change_alarm(
+        source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="10 seconds"
+    ).awaitTermination()
+    stored = decode_readings(spark.createDataFrame(data, ENVELOPE))
+    expected = temperature_changes(city_temperature(stored, "data.time"))
+    assert expected.count() > 5
+    columns = ("window.start", "city", "avg_temperature", "temperature_change")
+    assert rows(spark.read.parquet(f"{base}/out"), *columns) == rows(expected, *columns)
+
+
+def test_first_window_and_missing_means_raise_no_change_alarm(spark, streams, base):
+    data = [
+        message("00:00:01", "a", 25),
+        message("00:00:31", "a", 15),
+        message("00:01:01", "a", 15),
+        message("00:01:31", "a", "null"),
+        message("00:02:01", "a", 90),
+        message("00:09:00", "z", 1),
+    ]
+    land(spark, f"{base}/in", data)
+    alarms.start_temperature_change_alarm(
+        source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="10 seconds"
+    ).awaitTermination()
+    found = rows(spark.read.parquet(f"{base}/out"), "window.start", "city", "temperature_change")
+    assert found == [(at("00:00:30"), "a", 10.0)]
+
+
+def test_change_filter_equals_batch_for_any_split(spark, streams, base):
+    chance = random.Random(3)
+    schema = "deviceId string, timestamp timestamp, seq bigint, value string"
+    data = [
+        (chance.choice(["d", "e", None]), at(f"00:00:{i % 60:02d}"), i, chance.choice("AB"))
+        for i in range(60)
+    ]
+    for start in range(0, 60, 13):
+        land(spark, f"{base}/in", data[start : start + 13], schema)
+    readings = (
+        streams.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    )
+    for _ in range(2):  # the second run finds nothing new
+        changes.start_changed_readings(
+            readings,
+            "value",
+            ("timestamp", "seq"),
+            FilePublisher(f"{base}/out").publish,
+            f"{base}/ck",
+            slices=time_slices("timestamp", "seq", 4),
+            hot_rows=4,
+        ).awaitTermination()
+    expected = changed_readings(
+        spark.createDataFrame(data, schema), "value", ("timestamp", "seq"), hot_rows=None
+    )
+    found = spark.read.parquet(f"{base}/out")
+    assert found.select("epoch").distinct().count() == 5
+    assert rows(found.drop("epoch")) == rows(expected)
+
+
+def test_change_filter_repeats_a_failed_batch(spark, streams, base):
+    """A batch that fails after part of its work starts again from the same memory."""
+    schema = "deviceId string, seq bigint, value string"
+    land(spark, f"{base}/in", [("d", 1, "A")], schema)
+    land(spark, f"{base}/in", [("d", 2, "A"), ("d", 3, "B")], schema)
+    publisher, broken = FilePublisher(f"{base}/out"), [True]
+
+    def sink(df, epoch):
+        publisher.publish(df, epoch)
+        if epoch == 1 and broken[0]:
+            raise RuntimeError("lost")
+
+    def run():
+        readings = (
+            streams.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        )
+        changes.start_changed_readings(
+            readings, "value", ("seq",), sink, f"{base}/ck"
+        ).awaitTermination()
+
+    with pytest.raises(Exception, match="lost"):
+        run()
+    broken[0] = False
+    run()
+    assert rows(spark.read.parquet(f"{base}/out"), "seq", "value") == [(1, "A"), (3, "B")]
+
+
+HEADER = "time|temperature|humidity|pressure|pm1|pm2|pm10"
+
+
+def payload(device, key, seq, pm10="3"):
+    return (device, f"{HEADER}\n{key}|1|1|1|1|2|{pm10}", at("00:00:00"), seq)
+
+
+def test_ingest_filters_rejects_and_publishes(spark, streams, base):
+    land(spark, f"{base}/feed", [payload("1", 100, 1), payload("1", 100, 2), payload("2", 100, 3)], PAYLOAD)
+    land(
+        spark,
+        f"{base}/feed",
+        [payload("1", 100, 4), payload("1", 200, 5, "bad"), payload("2", 300, 6)],
+        PAYLOAD,
+    )
+    land(spark, f"{base}/feed", [payload("1", 200, 7), payload("1", 100, 8)], PAYLOAD)
+    feed = read_payload_table(streams, f"{base}/feed", stream=True, maxFilesPerTrigger="1")
+    changes.start_ingest(
+        feed, FilePublisher(f"{base}/out"), f"{base}/rejects", f"{base}/ck"
+    ).awaitTermination()
+    published = decode_readings(spark.read.parquet(f"{base}/out"))
+    found = rows(published, "epoch", "data.deviceId", F.unix_seconds("data.time"))
+    assert found == [
+        (0, "1", 100),
+        (0, "2", 100),
+        (1, "2", 300),
+        (2, "1", 100),
+        (2, "1", 200),
+    ]
+    assert published.where("data.city is null").count() == 0
+    rejects = spark.read.parquet(f"{base}/rejects")
+    assert rows(rejects, "epoch", "deviceId", "reject_reason") == [(1, "1", "bad pm10")]
+
+
+def test_all_alarms_run_side_by_side(spark, streams, base):
+    data = [
+        message("00:00:01", "a", 30),
+        message("00:00:31", "a", 10),
+        message("00:10:00", "b", 30),
+    ]
+    land(spark, f"{base}/in", data)
+    running = alarms.start_all(source(streams, f"{base}/in"), f"{base}/out", delay="10 seconds")
+    for one in running:
+        one.awaitTermination()
+    assert spark.read.parquet(f"{base}/out/aggs").count() == 3
+    assert rows(spark.read.parquet(f"{base}/out/alarms"), "city") == [("a",)]
+    assert rows(spark.read.parquet(f"{base}/out/alarmdiffs"), "city") == [("a",)]
