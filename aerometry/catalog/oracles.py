@@ -242,14 +242,14 @@ ORACLES["device_directory"] = """with lines as (
               else concat(c_custkey, '|', c_name) end as line
   from customer)
 select split_part(line, '|', 1) as "deviceId" from lines where contains(line, '|')"""
-ORACLES["assigned_city"] = f"select {_CITY} as city, count(*) as n from events group by 1"
+ORACLES["assign_city"] = f"select {_CITY} as city, count(*) as n from events group by 1"
 
 # Sources and sinks
 
-ORACLES["feeds_combined"] = """select event_id, event_type, value from events where event_type = 'click'
+ORACLES["fan_in"] = """select event_id, event_type, value from events where event_type = 'click'
 union all select event_id, event_type, null as value from events where event_type = 'view'
 union all select event_id, event_type, value from events where event_type = 'error'"""
-ORACLES["first_rows"] = (
+ORACLES["preview"] = (
     "select event_id, ts, value from events order by ts, event_id limit 20"
 )
 _NAMES = "[" + ", ".join(f"'{name}'" for name in SENSORS) + "]"

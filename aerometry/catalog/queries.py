@@ -8,16 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerometry.catalog import tables
-from aerometry.functions.cities import assign_city
+from aerometry.functions import cities
 from aerometry.functions.payload import accepted, parse_payloads, rejected
 from aerometry.functions.readings import decode_readings, encode_readings, reading_from_json
 from aerometry.operators import combine, rollup, stats
 from aerometry.operators.changes import changed_readings, time_slices
 from aerometry.schemas import DEVICE, READING_VALUES, SENSORS, TIME
 from aerometry.session import pin_utc, scratch_path, streaming_session
+from aerometry.sinks import tables as sinks
 from aerometry.sinks.messages import FilePublisher
-from aerometry.sinks.tables import flatten_structs, preview, write_table
-from aerometry.sources.feeds import fan_in, read_device_directory
+from aerometry.sources import feeds
 from aerometry.sources.sensors import read_sensors, sensor_path
 from aerometry.streaming import alarms, changes
 
@@ -41,7 +41,7 @@ def query(build: Query) -> Query:
 
 def comparable(df: DataFrame) -> DataFrame:
     """Flat columns, zone-less times and means rounded to six digits."""
-    flat = flatten_structs(df)
+    flat = sinks.flatten_structs(df)
     columns = []
     for name, kind in flat.dtypes:
         column = F.col(name)
@@ -292,7 +292,7 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias(DEVICE),
-        assign_city(F.col("user_id")).alias("city"),
+        cities.assign_city(F.col("user_id")).alias("city"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("time"),
         *[number.alias(name) for name, number in tables.reading_values().items()],
         "event_id",
@@ -337,13 +337,13 @@ def device_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers.select(line.alias("id|name")).write.option("header", True).option(
         "sep", "\u0001"
     ).csv(path)
-    return read_device_directory(spark, path)
+    return feeds.read_device_directory(spark, path)
 
 
 @query
-def assigned_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+def assign_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.table(spark, sf_dir, "events")
-    return events.groupBy(assign_city(F.col("user_id")).alias("city")).agg(
+    return events.groupBy(cities.assign_city(F.col("user_id")).alias("city")).agg(
         F.count("*").alias("n")
     )
 
@@ -352,9 +352,9 @@ def assigned_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def feeds_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    return fan_in(
+    return feeds.fan_in(
         events.where("event_type = 'click'"),
         events.where("event_type = 'view'").drop("value"),
         events.where("event_type = 'error'"),
@@ -362,16 +362,16 @@ def feeds_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.table(spark, sf_dir, "events")
-    return preview(events.select("event_id", "ts", "value"), "ts", "event_id")
+    return sinks.preview(events.select("event_id", "ts", "value"), "ts", "event_id")
 
 
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "raw")
     for name, df in tables.event_sensors(spark, sf_dir).items():
-        write_table(df, sensor_path(SENSORS[name], root))
+        sinks.write_table(df, sensor_path(SENSORS[name], root))
     parts = []
     for name, df in read_sensors(spark, root).items():
         label = {"air_quality": "airQuality", "location": "name"}.get(name)
@@ -385,7 +385,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                 (F.col(number) if number else F.lit(None).cast("float")).alias("reading"),
             )
         )
-    return comparable(fan_in(*parts))
+    return comparable(feeds.fan_in(*parts))
 
 
 # Streams: run to the end of the source, then read what they wrote
@@ -468,4 +468,4 @@ def stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for sink in ("aggs", "alarms", "alarmdiffs")
     ]
-    return fan_in(*counts)
+    return feeds.fan_in(*counts)

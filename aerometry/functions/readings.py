@@ -34,10 +34,12 @@ def decode_readings(
 
     Malformed messages stay as rows whose fields are all NULL, so that windows on
     the envelope time still count them; ``drop_malformed`` leaves them out.
+
+    The one-row explode keeps a filter on ``data`` from being moved below the
+    parse, where it would need a second parse of its own.
     """
-    decoded = messages.withColumn(
-        "data", reading_from_json(F.col("value").cast("string"), time_unit)
-    )
+    data = reading_from_json(F.col("value").cast("string"), time_unit)
+    decoded = messages.select("*", F.explode(F.array(data)).alias("data"))
     if drop_malformed:
         fields = [F.col(f"data.{f.name}") for f in READING]
         decoded = decoded.where(F.coalesce(*[f.cast("string") for f in fields]).isNotNull())

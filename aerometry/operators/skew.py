@@ -16,9 +16,13 @@ def written_if_any(found: DataFrame, purpose: str) -> DataFrame | None:
     hint is needed. They also cut the lineage: a lost executor does not repeat
     the search.
     """
-    if found.count() == 0:
-        return None
     spark = found.sparkSession
-    path = scratch_path(spark, purpose)
-    found.write.parquet(path)
+    found.persist()
+    try:
+        if found.count() == 0:
+            return None
+        path = scratch_path(spark, purpose)
+        found.write.parquet(path)
+    finally:
+        found.unpersist()
     return spark.read.schema(found.schema).parquet(path)

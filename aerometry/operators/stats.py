@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,12 +53,10 @@ def between_exclusive(df: DataFrame, value: str, low: float, high: float) -> Dat
     return df.where(f"{value} > {low}").where(f"{value} < {high}")
 
 
-def monthly_stats(
-    df: DataFrame, value: str, name: str, time: str = TIME, mean_of: Column | None = None
-) -> DataFrame:
+def monthly_stats(df: DataFrame, value: str, name: str, time: str = TIME) -> DataFrame:
     """Mean, smallest and largest value per (year, month)."""
     return df.groupBy(F.year(time).alias("year"), F.month(time).alias("month")).agg(
-        F.avg(F.col(value) if mean_of is None else mean_of).alias(f"avg_{name}"),
+        F.avg(value).alias(f"avg_{name}"),
         F.min(value).alias(f"min_{name}"),
         F.max(value).alias(f"max_{name}"),
     )
@@ -69,11 +67,23 @@ def monthly_air_quality(df: DataFrame, numeric_range: bool = False) -> DataFrame
 
     The mean leaves out text that is no number. Smallest and largest compare as
     text ("10" before "9") unless ``numeric_range`` is set.
+
+    Extremes of text cannot be kept in a hash table, so Spark would sort all
+    readings to find them. Equal readings of a month are counted first, which
+    hashes, and only the different texts are sorted.
     """
     number = F.col("airQuality").try_cast("double")
     if numeric_range:
         return monthly_stats(df.withColumn("airQuality", number), "airQuality", "air_quality")
-    return monthly_stats(df, "airQuality", "air_quality", mean_of=number)
+    counted = df.groupBy(
+        F.year(TIME).alias("year"), F.month(TIME).alias("month"), "airQuality"
+    ).agg(F.count("*").alias("n"))
+    numbers = F.sum(F.when(number.isNotNull(), F.col("n")))
+    return counted.groupBy("year", "month").agg(
+        (F.sum(number * F.col("n")) / numbers).alias("avg_air_quality"),
+        F.min("airQuality").alias("min_air_quality"),
+        F.max("airQuality").alias("max_air_quality"),
+    )
 
 
 def monthly_temperature(

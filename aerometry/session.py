@@ -21,12 +21,15 @@ def streaming_session(spark: SparkSession) -> SparkSession:
 
     Keyed state needs the RocksDB provider. Setting it on a sibling keeps the
     caller's session as it was. The number of state partitions follows the
-    caller's ``spark.sql.shuffle.partitions`` and is fixed by the first start.
+    caller's ``spark.sql.shuffle.partitions`` and is fixed by the first start; a
+    local master needs no more than it has threads.
     """
     sibling = pin_utc(spark.newSession())
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled"):
-        sibling.conf.set(name, spark.conf.get(name))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.sparkContext.master.startswith("local"):
+        partitions = min(partitions, spark.sparkContext.defaultParallelism)
+    sibling.conf.set("spark.sql.shuffle.partitions", partitions)
     return sibling
 
 

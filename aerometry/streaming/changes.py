@@ -50,9 +50,12 @@ def start_changed_readings(
             if epoch > 0:
                 schema = rows.select(key, value).schema
                 before = rows.sparkSession.read.schema(schema).parquet(slot(epoch - 1))
-            sink(changed_readings(rows, value, order, slices, key, before, hot_rows), epoch)
-            remembered = last_values(rows, value, order, key, before)
+            changed = changed_readings(rows, value, order, slices, key, before, hot_rows).persist()
+            sink(changed, epoch)
+            # A device's last reading has the value of its last change.
+            remembered = last_values(changed, value, order, key, before)
             remembered.write.mode("overwrite").parquet(slot(epoch))
+            changed.unpersist()
         finally:
             batch.unpersist()
 
