@@ -248,7 +248,8 @@ ORACLES["assign_city"] = f"select {_CITY} as city, count(*) as n from events gro
 
 ORACLES["fan_in"] = """select event_id, event_type, value from events where event_type = 'click'
 union all select event_id, event_type, null as value from events where event_type = 'view'
-union all select event_id, event_type, value from events where event_type = 'error'"""
+union all select event_id, event_type, value from events
+  where coalesce(event_type, '') not in ('click', 'view')"""
 ORACLES["preview"] = (
     "select event_id, ts, value from events order by ts, event_id limit 20"
 )

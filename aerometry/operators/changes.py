@@ -1,4 +1,4 @@
-"""Keeping a reading only if it differs from the device's previous one."""
+"""Comparing each row with the one before it: the change filter and what it rests on."""
 
 from __future__ import annotations
 
@@ -27,8 +27,8 @@ def time_slices(
     return cuts
 
 
-def changed_readings(
-    readings: DataFrame,
+def with_previous(
+    rows: DataFrame,
     value: str,
     order: Sequence[str] = (TIME,),
     slices: Sequence[Column] = (),
@@ -36,52 +36,76 @@ def changed_readings(
     before: DataFrame | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Readings whose ``value`` differs from that of the device's previous reading.
+    """Add ``previous``: the ``value`` of the key's row just ahead along ``order``.
 
-    A, A, B, A keeps A, B, A; a first reading is kept; a reading without a value
-    is left out and not remembered. ``before`` holds one (key, value) row per
-    device remembered from earlier input.
-
-    A device with more than ``hot_rows`` readings is not put in order by one
-    task: it is cut by the first of ``slices`` (expressions that never decrease
-    along ``order``), slices still too large by the second, and so on. Each
-    slice is ordered on its own and starts from the last value of the slice
-    before it, so the result is the same. Other devices stay whole.
+    ``before`` holds one (key, value) row per key remembered from earlier input;
+    it comes ahead of all rows of that key.
+
+    A key with more than ``hot_rows`` rows is not put in order by one task: it
+    is cut by the first of ``slices`` (expressions that never decrease along
+    ``order``), slices still too large by the second, and so on. Each slice is
+    ordered on its own and starts from the last value of the slice before it,
+    so the result is the same. Other keys stay whole. ``None`` never cuts.
     """
-    rows, cuts = _cut_hot_groups(readings.where(F.col(value).isNotNull()), key, slices, hot_rows)
+    cut_rows, cuts = _cut_hot_groups(rows, key, slices, hot_rows)
     group = [key, *cuts]
     starts = [] if before is None else [before.select(key, value)]
     if cuts:
-        starts.append(_values_before_slices(rows.where("_is_cut"), value, order, group, before))
-    ordered = rows.withColumn("_start", F.lit(False))
+        hot = cut_rows.where("_is_cut")
+        starts.append(_values_before_slices(hot, value, order, group, before))
+    ordered = cut_rows.withColumn("_start", F.lit(False))
     for start in starts:
         ordered = ordered.unionByName(
             start.withColumn("_start", F.lit(True)), allowMissingColumns=True
         )
     along = Window.partitionBy(*group).orderBy(F.desc("_start"), *order)
     return (
-        ordered.withColumn("_previous", F.lag(value).over(along))
+        ordered.withColumn("previous", F.lag(value).over(along))
         .where(~F.col("_start"))
-        .where(F.col("_previous").isNull() | (F.col("_previous") != F.col(value)))
-        .select(*readings.columns)
+        .select(*rows.columns, "previous")
     )
 
 
-def last_values(
+def changed_readings(
     readings: DataFrame,
     value: str,
     order: Sequence[str] = (TIME,),
+    slices: Sequence[Column] = (),
     key: str = DEVICE,
     before: DataFrame | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """The value to remember per device: its last one, else the one remembered before."""
-    latest = readings.where(F.col(value).isNotNull()).select(
-        key, value, F.struct(F.lit(True), *order).alias("_at")
-    )
+    """Readings whose ``value`` differs from that of the device's previous reading.
+
+    A, A, B, A keeps A, B, A; a first reading is kept; a reading without a value
+    is left out and not remembered. See :func:`with_previous` for the rest.
+    """
+    valued = readings.where(F.col(value).isNotNull())
+    compared = with_previous(valued, value, order, slices, key, before, hot_rows)
+    changed = F.col("previous").isNull() | (F.col("previous") != F.col(value))
+    return compared.where(changed).drop("previous")
+
+
+def last_values(
+    rows: DataFrame,
+    value: str,
+    order: Sequence[str] = (TIME,),
+    key: str = DEVICE,
+    before: DataFrame | None = None,
+    count_missing: bool = False,
+) -> DataFrame:
+    """The value to remember per key: that of its last row, else the one remembered before.
+
+    A row without a value is passed over unless ``count_missing``.
+    """
+    counted = rows if count_missing else rows.where(F.col(value).isNotNull())
+    latest = counted.select(key, value, F.struct(F.lit(True), *order).alias("_at"))
     if before is not None:
         latest = latest.unionByName(before.select(key, value), allowMissingColumns=True)
     earlier = F.max(F.when(F.col("_at").isNull(), F.col(value)))
-    return latest.groupBy(key).agg(F.coalesce(F.max_by(value, "_at"), earlier).alias(value))
+    return latest.groupBy(key).agg(
+        F.when(F.count("_at") > 0, F.max_by(value, "_at")).otherwise(earlier).alias(value)
+    )
 
 
 def _values_before_slices(

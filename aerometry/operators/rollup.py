@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerometry.operators.changes import time_slices, with_previous
 from aerometry.schemas import READING_VALUES, TIME
 
 WINDOW_LENGTH = "30 seconds"
@@ -44,17 +45,31 @@ def low_temperature(averages: DataFrame, threshold: float = LOW_TEMPERATURE) ->
 
 
 def temperature_changes(
-    averages: DataFrame, threshold: float = TEMPERATURE_CHANGE
+    averages: DataFrame,
+    threshold: float = TEMPERATURE_CHANGE,
+    before: DataFrame | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Windows whose mean differs from the city's previous window by the threshold or more.
 
     A city has one row per window here, so the group one task orders grows with
-    the covered time, not with the number of readings.
+    the covered time (a year of 30-second windows is a million rows), not with
+    the number of readings. ``hot_rows`` cuts longer histories.
     """
-    before = F.lag("avg_temperature").over(Window.partitionBy("city").orderBy("window.start"))
-    change = F.abs(F.col("avg_temperature") - before)
-    return averages.withColumn("temperature_change", change).where(
-        F.col("temperature_change") >= threshold
+    compared = with_previous(
+        averages,
+        "avg_temperature",
+        ("window.start",),
+        time_slices("window.start"),
+        "city",
+        before,
+        hot_rows,
+    )
+    change = F.abs(F.col("avg_temperature") - F.col("previous"))
+    return (
+        compared.withColumn("temperature_change", change)
+        .where(F.col("temperature_change") >= threshold)
+        .drop("previous")
     )
 
 

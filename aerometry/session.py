@@ -19,8 +19,8 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session for streams, on the same cluster.
 
-    Keyed state needs the RocksDB provider. Setting it on a sibling keeps the
-    caller's session as it was. The number of state partitions follows the
+    Window state lives in RocksDB, which does not need it all in memory. Setting
+    that on a sibling keeps the caller's session as it was. The number of state partitions follows the
     caller's ``spark.sql.shuffle.partitions`` and is fixed by the first start; a
     local master needs no more than it has threads.
     """

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from aerometry.operators.rollup import (
     LOW_TEMPERATURE,
@@ -15,8 +13,10 @@ from aerometry.operators.rollup import (
     alarm_notice,
     city_temperature,
     low_temperature,
+    temperature_changes,
     window_rollup,
 )
+from aerometry.streaming.memory import start_remembering
 from aerometry.streaming.sinks import UNTIL_READ, start_appending, start_replacing
 
 
@@ -68,58 +68,6 @@ def start_low_temperature_alarm(
     )
 
 
-class CityChange(StatefulProcessor):
-    """Compares each closed window of a city with the one before it.
-
-    Its input is one row per window and city, so what one call sorts is bounded
-    by the windows closed since the last trigger, not by readings. The watermark
-    hands windows over in time order from trigger to trigger.
-    """
-
-    def __init__(self, threshold: float) -> None:
-        self.threshold = threshold
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_average", "average double")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        remembered = self.last.get()
-        previous = None if remembered is None else remembered[0]
-        for row in sorted(rows, key=lambda r: r["window"]["start"]):
-            average = row["avg_temperature"]
-            if previous is not None and average is not None:
-                change = abs(average - previous)
-                if change >= self.threshold:
-                    yield Row(
-                        window=row["window"],
-                        city=row["city"],
-                        avg_temperature=average,
-                        temperature_change=change,
-                    )
-            previous = average
-        self.last.update((previous,))
-
-    def close(self) -> None:
-        pass
-
-
-def temperature_change_stream(
-    readings: DataFrame,
-    delay: str = "5 minutes",
-    length: str = WINDOW_LENGTH,
-    threshold: float = TEMPERATURE_CHANGE,
-) -> DataFrame:
-    """Change alarms over closed windows of reading time."""
-    averages = city_temperature(with_reading_time(readings, delay), "time", length)
-    return averages.groupBy("city").transformWithState(
-        CityChange(threshold),
-        "window struct<start: timestamp, end: timestamp>, city string, "
-        "avg_temperature double, temperature_change double",
-        "append",
-        "none",
-    )
-
-
 def start_temperature_change_alarm(
     readings: DataFrame,
     path: str,
@@ -127,13 +75,28 @@ def start_temperature_change_alarm(
     trigger: dict = UNTIL_READ,
     delay: str = "5 minutes",
     threshold: float = TEMPERATURE_CHANGE,
+    length: str = WINDOW_LENGTH,
 ) -> StreamingQuery:
-    """Writes each change alarm once, and nothing but alarms."""
-    return start_appending(
-        temperature_change_stream(readings, delay, threshold=threshold),
-        path,
+    """Change alarms over windows of reading time: each written once, and nothing else.
+
+    A window is compared when it closes. The watermark hands closed windows over
+    in time order from trigger to trigger; a city's last mean is remembered.
+    """
+
+    def compare(closed: DataFrame, before: DataFrame | None, epoch: int) -> DataFrame:
+        found = temperature_changes(closed, threshold, before)
+        found.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        return closed
+
+    return start_remembering(
+        city_temperature(with_reading_time(readings, delay), "time", length),
+        "avg_temperature",
+        ("window.start",),
+        "city",
+        compare,
         checkpoint,
         trigger,
+        count_missing=True,
     )
 
 

@@ -11,9 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from aerometry.functions.cities import assign_city
 from aerometry.functions.payload import accepted, parse_payloads, rejected
 from aerometry.functions.readings import encode_readings
-from aerometry.operators.changes import HOT_ROWS, changed_readings, last_values, time_slices
+from aerometry.operators.changes import HOT_ROWS, changed_readings, time_slices
 from aerometry.schemas import DEVICE, READING_VALUES
 from aerometry.sinks.messages import FilePublisher, KafkaPublisher
+from aerometry.streaming.memory import start_remembering
 from aerometry.streaming.sinks import UNTIL_READ
 
 
@@ -31,40 +32,18 @@ def start_changed_readings(
 ) -> StreamingQuery:
     """Hand ``sink`` the readings that differ from the device's previous one.
 
-    Every micro-batch runs the batch operator, so a device that sends a third of
-    all readings is split over tasks; keyed state would put it into one. The
-    last value per device is a table beside the checkpoint with two slots:
-    batch n reads the slot batch n-1 wrote and replaces the other, so a batch
-    that is run again starts from the same values. ``aside`` may first take rows
-    out of the batch.
+    ``aside`` may first take rows out of a micro-batch.
     """
 
-    def slot(epoch: int) -> str:
-        return f"{checkpoint}/remembered/slot={epoch % 2}"
+    def compare(batch: DataFrame, before: DataFrame | None, epoch: int) -> DataFrame:
+        rows = batch if aside is None else aside(batch, epoch)
+        changed = changed_readings(rows, value, order, slices, key, before, hot_rows)
+        changed.persist()
+        sink(changed, epoch)
+        # A device's last reading has the value of its last change.
+        return changed
 
-    def each(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
-        try:
-            rows = batch if aside is None else aside(batch, epoch)
-            before = None
-            if epoch > 0:
-                schema = rows.select(key, value).schema
-                before = rows.sparkSession.read.schema(schema).parquet(slot(epoch - 1))
-            changed = changed_readings(rows, value, order, slices, key, before, hot_rows).persist()
-            sink(changed, epoch)
-            # A device's last reading has the value of its last change.
-            remembered = last_values(changed, value, order, key, before)
-            remembered.write.mode("overwrite").parquet(slot(epoch))
-            changed.unpersist()
-        finally:
-            batch.unpersist()
-
-    return (
-        readings.writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    return start_remembering(readings, value, order, key, compare, checkpoint, trigger)
 
 
 def start_ingest(

@@ -1,0 +1,66 @@
+"""Streams that compare a row with the last one seen before the current micro-batch."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from aerometry.operators.changes import last_values
+from aerometry.streaming.sinks import UNTIL_READ
+
+# (rows of the micro-batch, remembered (key, value) rows or None, batch number)
+# -> the rows whose last values are to be remembered.
+Step = Callable[[DataFrame, DataFrame | None, int], DataFrame]
+
+
+def start_remembering(
+    rows: DataFrame,
+    value: str,
+    order: Sequence[str],
+    key: str,
+    step: Step,
+    checkpoint: str,
+    trigger: dict = UNTIL_READ,
+    count_missing: bool = False,
+) -> StreamingQuery:
+    """Run a batch operator on every micro-batch, with the last value per key at hand.
+
+    Keyed state would put all rows of a key into one task, and in memory, as
+    they have to be ordered first. A batch operator sorts with spilling and may
+    cut a key that holds a third of all rows.
+
+    The remembered values are a table beside the checkpoint with two slots:
+    batch n reads the slot batch n-1 wrote and replaces the other one. A batch
+    that fails and runs again thus starts from the same values; if its output is
+    replaced per batch number too, every row counts exactly once.
+    ``count_missing`` remembers that a key's last row had no value.
+    """
+
+    def slot(epoch: int) -> str:
+        return f"{checkpoint}/remembered/slot={epoch % 2}"
+
+    schema = rows.select(key, value).schema
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        seen = batch
+        try:
+            before = None
+            if epoch > 0:
+                before = batch.sparkSession.read.schema(schema).parquet(slot(epoch - 1))
+            seen = step(batch, before, epoch)
+            remembered = last_values(seen, value, order, key, before, count_missing)
+            remembered.write.mode("overwrite").parquet(slot(epoch))
+        finally:
+            seen.unpersist()
+            batch.unpersist()
+
+    return (
+        rows.writeStream.outputMode("append")
+        .foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )

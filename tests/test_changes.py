@@ -103,3 +103,10 @@ def test_last_values_prefer_new_readings(spark):
     before = spark.createDataFrame([("d", "X"), ("e", "Y"), ("f", "Z")], "deviceId string, value string")
     found = last_values(df, "value", ("timestamp", "seq"), before=before)
     assert rows(found) == [("d", "B"), ("e", "Y"), ("f", "Z")]
+
+
+def test_last_values_may_count_a_missing_value(spark):
+    df = frame(spark, [("d", 2, 2, None), ("d", 1, 1, "A")])
+    before = spark.createDataFrame([("d", "X"), ("f", "Z")], "deviceId string, value string")
+    found = last_values(df, "value", ("timestamp", "seq"), before=before, count_missing=True)
+    assert rows(found) == [("d", None), ("f", "Z")]

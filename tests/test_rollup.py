@@ -93,3 +93,14 @@ def test_notices_name_each_city_once(spark):
         ("ALARM: Average temperature below 12.5 in unknown city",),
     ]
     assert alarm_notice(data.where(F.lit(False))).count() == 0
+
+
+def test_change_alarm_of_a_long_history_is_cut(spark):
+    data = [
+        (f"{i // 120:02d}:{i // 2 % 60:02d}:{i % 2 * 30:02d}", "a", float(i * i % 50))
+        for i in range(600)
+    ]
+    df = averages(spark, data)
+    cut = temperature_changes(df, hot_rows=50)
+    assert rows(cut) == rows(temperature_changes(df))
+    assert cut.count() > 100

@@ -143,6 +143,24 @@ def test_first_window_and_missing_means_raise_no_change_alarm(spark, streams, ba
     assert found == [(at("00:00:30"), "a", 10.0)]
 
 
+def test_a_missing_mean_is_remembered_between_triggers(spark, streams, base):
+    """As in the batch form, the window after one without a mean raises no alarm."""
+    for when, temperature in (
+        ("00:00:01", 25),
+        ("00:00:31", "null"),
+        ("00:01:01", 90),
+        ("00:01:31", 50),
+        ("00:09:00", 50),
+        ("00:19:00", 50),
+    ):
+        land(spark, f"{base}/in", [message(when, "a", temperature)])
+    alarms.start_temperature_change_alarm(
+        source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="10 seconds"
+    ).awaitTermination()
+    found = rows(spark.read.parquet(f"{base}/out"), "window.start", "temperature_change")
+    assert found == [(at("00:01:30"), 40.0)]
+
+
 def test_change_filter_equals_batch_for_any_split(spark, streams, base):
     chance = random.Random(3)
     schema = "deviceId string, timestamp timestamp, seq bigint, value string"
