@@ -83,27 +83,27 @@ def parse_payloads(payloads: DataFrame, body: str = "body") -> DataFrame:
     apart), ``time``, the six numbers, and ``reject_reason`` (NULL when usable).
     Input columns stay; the payload's own deviceId or city is not looked at.
     """
-    fields = F.col("_fields")
-    typed = {"reading_key": fields["first"], "time": strict_bigint(field_text(fields, "time"))}
-    typed.update({name: strict_double(field_text(fields, name)) for name in READING_VALUES})
+    names = ("time", *READING_VALUES)
+    found = {name: field_text(F.col("_fields"), name) for name in names}
+    texts = split_payload(payloads, body).withColumn(
+        "_texts", F.struct(*[text.alias(name) for name, text in found.items()])
+    )
+    text = F.col("_texts")
+    typed = {"reading_key": F.col("_fields.first"), "time": strict_bigint(text["time"])}
+    typed.update({name: strict_double(text[name]) for name in READING_VALUES})
     # The one-row generator makes columns of the typed values. Without it a
     # filter on the result would parse again for each column it looks at.
-    parsed = split_payload(payloads, body).select(
+    parsed = texts.select(
         "*", F.inline(F.array(F.struct(*[value.alias(name) for name, value in typed.items()])))
     )
-    missing = {name: field_text(fields, name).isNull() for name in ("time", *READING_VALUES)}
-    reasons = [
-        F.when(
-            F.col("reading_key").isNull(),
-            F.when(fields["texts"].isNull(), F.lit("no value line")).otherwise(
-                F.lit("no separator in value line")
-            ),
-        )
-    ]
-    for name, absent in missing.items():
-        reason = F.when(absent, F.lit(f"missing {name}")).otherwise(F.lit(f"bad {name}"))
-        reasons.append(F.when(F.col(name).isNull(), reason))
-    return parsed.withColumn("reject_reason", F.coalesce(*reasons)).drop("_fields")
+    no_key = F.when(F.col("_fields.texts").isNull(), F.lit("no value line")).otherwise(
+        F.lit("no separator in value line")
+    )
+    reasons = [F.when(F.col("reading_key").isNull(), no_key)]
+    for name in names:
+        unfit = F.when(text[name].isNull(), F.lit(f"missing {name}"))
+        reasons.append(F.when(F.col(name).isNull(), unfit.otherwise(F.lit(f"bad {name}"))))
+    return parsed.withColumn("reject_reason", F.coalesce(*reasons)).drop("_fields", "_texts")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
