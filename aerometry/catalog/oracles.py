@@ -103,7 +103,8 @@ ORACLES["monthly_temperature"] = (
 _MONTH = "cast(year(l_shipdate) as integer) as year, cast(month(l_shipdate) as integer) as month"
 _AIR = """air as (
   select l_shipdate,
-         case when l_returnflag = 'R' then 'BAD' else cast(cast(l_quantity as integer) as varchar) end as x
+         case when l_returnflag = 'R' then 'BAD'
+              else cast(cast(l_quantity as integer) as varchar) end as x
   from lineitem)"""
 ORACLES["monthly_air_quality"] = (
     f"with {_AIR} select {_MONTH}, round(avg(try_cast(x as double)), 6) as avg_air_quality, "

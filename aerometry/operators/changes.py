@@ -36,7 +36,7 @@ def with_previous(
     before: DataFrame | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Add ``previous``: the ``value`` of the key's row just ahead along ``order``.
+    """Add ``_previous``: the ``value`` of the key's row just ahead along ``order``.
 
     ``before`` holds one (key, value) row per key remembered from earlier input;
     it comes ahead of all rows of that key.
@@ -60,9 +60,9 @@ def with_previous(
         )
     along = Window.partitionBy(*group).orderBy(F.desc("_start"), *order)
     return (
-        ordered.withColumn("previous", F.lag(value).over(along))
+        ordered.withColumn("_previous", F.lag(value).over(along))
         .where(~F.col("_start"))
-        .select(*rows.columns, "previous")
+        .select(*rows.columns, "_previous")
     )
 
 
@@ -82,8 +82,8 @@ def changed_readings(
     """
     valued = readings.where(F.col(value).isNotNull())
     compared = with_previous(valued, value, order, slices, key, before, hot_rows)
-    changed = F.col("previous").isNull() | (F.col("previous") != F.col(value))
-    return compared.where(changed).drop("previous")
+    changed = F.col("_previous").isNull() | (F.col("_previous") != F.col(value))
+    return compared.where(changed).drop("_previous")
 
 
 def last_values(

@@ -121,8 +121,8 @@ def _attach(
 def _hot_keys(counts: DataFrame, key: Sequence[str], hot_rows: int) -> DataFrame | None:
     """Hot keys with the table that leads the split and how it is split.
 
-    ``lead`` is the table with the most rows of the key. Its rows are dealt to
-    ``fan`` cells in chunks of ``chunk`` rows; the other tables' rows go to
+    ``_lead`` is the table with the most rows of the key. Its rows are dealt to
+    ``_fan`` cells in chunks of ``_chunk`` rows; the other tables' rows go to
     every cell. At most total/hot_rows keys are hot.
     """
     names = [c for c in counts.columns if c.startswith("n_")]
@@ -132,7 +132,7 @@ def _hot_keys(counts: DataFrame, key: Sequence[str], hot_rows: int) -> DataFrame
     largest = F.greatest(*[F.col(c) for c in names])
     found = counts.select(
         *key,
-        (F.array_position(F.array(*names), largest) - 1).cast("int").alias("lead"),
+        (F.array_position(F.array(*names), largest) - 1).cast("int").alias("_lead"),
         largest.alias("_largest"),
         rows.alias("_rows"),
     ).where(F.col("_rows") > hot_rows)
@@ -140,9 +140,9 @@ def _hot_keys(counts: DataFrame, key: Sequence[str], hot_rows: int) -> DataFrame
     return written_if_any(
         found.select(
             *key,
-            "lead",
-            chunk.cast("int").alias("chunk"),
-            F.ceil(F.col("_largest") / chunk).cast("int").alias("fan"),
+            "_lead",
+            chunk.cast("int").alias("_chunk"),
+            F.ceil(F.col("_largest") / chunk).cast("int").alias("_fan"),
         ),
         "hot-keys",
     )
@@ -160,24 +160,24 @@ def _with_cells(
     """
     columns = list(df.columns)
     marked = df.join(hot, list(key), "left")
-    cold = F.col("lead").isNull()
-    straight = marked.where(cold | (F.col("lead") != index)).select(
+    cold = F.col("_lead").isNull()
+    straight = marked.where(cold | (F.col("_lead") != index)).select(
         *columns,
         F.explode(
-            F.when(cold, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("fan") - 1))
+            F.when(cold, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_fan") - 1))
         ).alias("_cell"),
         cold.alias("_owner"),
         F.lit(None).cast("bigint").alias(f"_copies_{name}"),
     )
-    together = F.least(F.col("chunk"), F.lit(COPIES_PER_ROW))
+    together = F.least(F.col("_chunk"), F.lit(COPIES_PER_ROW))
     dealt = (
-        df.join(hot.where(F.col("lead") == index), list(key))
-        .groupBy(*columns, "chunk", "fan")
+        df.join(hot.where(F.col("_lead") == index), list(key))
+        .groupBy(*columns, "_chunk", "_fan")
         .agg(F.count("*").alias("_n"))
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / together) - 1)))
         .select(
             *columns,
-            F.pmod(F.xxhash64(*columns, "_part"), F.col("fan")).cast("int").alias("_cell"),
+            F.pmod(F.xxhash64(*columns, "_part"), F.col("_fan")).cast("int").alias("_cell"),
             F.lit(True).alias("_owner"),
             F.least(together, F.col("_n") - F.col("_part") * together)
             .cast("bigint")

@@ -65,11 +65,11 @@ def temperature_changes(
         before,
         hot_rows,
     )
-    change = F.abs(F.col("avg_temperature") - F.col("previous"))
+    change = F.abs(F.col("avg_temperature") - F.col("_previous"))
     return (
         compared.withColumn("temperature_change", change)
         .where(F.col("temperature_change") >= threshold)
-        .drop("previous")
+        .drop("_previous")
     )
 
 

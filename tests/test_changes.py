@@ -35,7 +35,8 @@ def test_returning_value_is_a_change(spark):
 
 
 def test_devices_do_not_mix_and_missing_values_are_skipped(spark):
-    data = [("d", 1, 1, "A"), ("e", 2, 2, "A"), ("d", 3, 3, None), ("d", 4, 4, "A"), (None, 5, 5, "A")]
+    data = [("d", 1, 1, "A"), ("e", 2, 2, "A"), ("d", 3, 3, None), ("d", 4, 4, "A")]
+    data.append((None, 5, 5, "A"))
     assert kept(frame(spark, data)) == sorted(
         [("d", 1, "A"), ("e", 2, "A"), (None, 5, "A")], key=repr
     )
@@ -81,7 +82,9 @@ def test_no_group_to_order_exceeds_the_limit(spark):
     """A device with a third of all rows is ordered in pieces below the limit."""
     limit = 500
     df = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 1000).cast("string")).alias("deviceId"),
+        F.when(F.col("id") % 3 == 0, "hot")
+        .otherwise((F.col("id") % 1000).cast("string"))
+        .alias("deviceId"),
         F.timestamp_seconds(F.col("id")).alias("timestamp"),
         F.col("id").alias("seq"),
         F.lit("A").alias("value"),
@@ -100,7 +103,8 @@ def test_no_group_to_order_exceeds_the_limit(spark):
 
 def test_last_values_prefer_new_readings(spark):
     df = frame(spark, [("d", 2, 2, "B"), ("d", 1, 1, "A"), ("e", 1, 1, None)])
-    before = spark.createDataFrame([("d", "X"), ("e", "Y"), ("f", "Z")], "deviceId string, value string")
+    remembered = [("d", "X"), ("e", "Y"), ("f", "Z")]
+    before = spark.createDataFrame(remembered, "deviceId string, value string")
     found = last_values(df, "value", ("timestamp", "seq"), before=before)
     assert rows(found) == [("d", "B"), ("e", "Y"), ("f", "Z")]
 

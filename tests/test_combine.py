@@ -20,12 +20,6 @@ SMALL = settings(
 )
 
 
-def sensor(spark, name, data):
-    return spark.createDataFrame(data, f"deviceId string, timestamp timestamp, {name} int").select(
-        "deviceId", "timestamp", name
-    )
-
-
 def instant(spark, data):
     """Rows of (device, hour or None, value) as a frame with timestamps of one day."""
     return [(d, None if h is None else f"2024-01-01 {h:02d}:00:00", v) for d, h, v in data]
@@ -102,7 +96,9 @@ def test_copies_of_one_row_come_back_whole(spark):
     """A third of the rows being one row: counted, cut into parts, and returned."""
     tables = {
         "x": spark.range(3000).select(
-            F.when(F.col("id") < 1000, "hot").otherwise(F.col("id").cast("string")).alias("deviceId"),
+            F.when(F.col("id") < 1000, "hot")
+            .otherwise(F.col("id").cast("string"))
+            .alias("deviceId"),
             F.timestamp_seconds(F.lit(0)).alias("timestamp"),
             F.lit(7).alias("x"),
         ),
@@ -116,7 +112,12 @@ def test_copies_of_one_row_come_back_whole(spark):
     ).count()
     assert rows(found) == rows(
         spark.createDataFrame(
-            [("hot", 7, 1, 1000), ("hot", 7, 2, 1000), ("cold", 7, None, 2000), ("cold", None, 3, 1)],
+            [
+                ("hot", 7, 1, 1000),
+                ("hot", 7, 2, 1000),
+                ("cold", 7, None, 2000),
+                ("cold", None, 3, 1),
+            ],
             "kind string, x int, y int, count bigint",
         )
     )

@@ -53,13 +53,14 @@ def test_rollup_columns_and_values(spark):
 
 
 def test_malformed_messages_group_under_no_city(spark):
-    df = decode_readings(messages(spark, [("00:00:00", "garbage"), ("00:00:01", reading("Nis", 5))]))
+    data = [("00:00:00", "garbage"), ("00:00:01", reading("Nis", 5))]
+    df = decode_readings(messages(spark, data))
     assert rows(city_temperature(df), "city", "avg_temperature") == [("Nis", 5.0), (None, None)]
 
 
 def test_low_temperature_is_strict_and_ignores_missing_means(spark):
-    data = averages(spark, [("00:00:00", "a", 20.0), ("00:00:00", "b", 19.9), ("00:00:00", "c", None)])
-    assert rows(low_temperature(data), "city") == [("b",)]
+    data = [("00:00:00", "a", 20.0), ("00:00:00", "b", 19.9), ("00:00:00", "c", None)]
+    assert rows(low_temperature(averages(spark, data)), "city") == [("b",)]
 
 
 def test_change_alarm(spark):
@@ -77,7 +78,8 @@ def test_change_alarm(spark):
         ],
     )
     found = temperature_changes(data)
-    assert rows(found, "window.start", "city", "temperature_change") == [(at("00:01:00"), "a", 10.0)]
+    columns = ("window.start", "city", "temperature_change")
+    assert rows(found, *columns) == [(at("00:01:00"), "a", 10.0)]
     assert rows(change_notice(found)) == [
         ("ALARM: Temperature in a changed by 10.0 in the last window.",)
     ]

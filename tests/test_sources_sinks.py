@@ -161,5 +161,11 @@ def test_scratch_lies_in_the_folder_the_session_names(spark):
 def test_streaming_session_leaves_the_callers_settings_alone(spark):
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name)
-    assert "RocksDB" in streaming_session(spark).conf.get(name)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1234567")
+    try:
+        sibling = streaming_session(spark)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert "RocksDB" in sibling.conf.get(name)
+    assert sibling.conf.get("spark.sql.files.maxPartitionBytes") == "1234567"
     assert spark.conf.get(name) == before

@@ -226,7 +226,12 @@ def payload(device, key, seq, pm10="3"):
 
 
 def test_ingest_filters_rejects_and_publishes(spark, streams, base):
-    land(spark, f"{base}/feed", [payload("1", 100, 1), payload("1", 100, 2), payload("2", 100, 3)], PAYLOAD)
+    land(
+        spark,
+        f"{base}/feed",
+        [payload("1", 100, 1), payload("1", 100, 2), payload("2", 100, 3)],
+        PAYLOAD,
+    )
     land(
         spark,
         f"{base}/feed",
