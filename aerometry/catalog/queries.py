@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,17 +197,18 @@ for _table, _value, _name in (
 # Rollups and alarms over stored readings
 
 
-def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_readings(tables.event_messages(tables.table(spark, sf_dir, "events")))
+def _readings(spark: SparkSession, sf_dir: str, fields: Sequence[str]) -> DataFrame:
+    messages = tables.event_messages(tables.table(spark, sf_dir, "events"))
+    return decode_readings(messages, fields=fields)
 
 
 def _city_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.city_temperature(_readings(spark, sf_dir))
+    return rollup.city_temperature(_readings(spark, sf_dir, rollup.CITY_FIELDS))
 
 
 @query
 def window_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(rollup.window_rollup(_readings(spark, sf_dir)))
+    return comparable(rollup.window_rollup(_readings(spark, sf_dir, READING_VALUES)))
 
 
 @query
@@ -239,7 +240,8 @@ def alarm_notice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def temp_change_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    averages = rollup.city_temperature(_readings(spark, sf_dir), "data.time")
+    readings = _readings(spark, sf_dir, rollup.CHANGE_FIELDS)
+    averages = rollup.city_temperature(readings, "data.time")
     return comparable(rollup.temperature_changes(averages))
 
 
@@ -391,9 +393,12 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams: run to the end of the source, then read what they wrote
 
 
-def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = tables.events_stream(streaming_session(spark), sf_dir)
-    return decode_readings(tables.event_messages(events))
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.event_messages(tables.events_stream(streaming_session(spark), sf_dir))
+
+
+def _reading_stream(spark: SparkSession, sf_dir: str, fields: Sequence[str]) -> DataFrame:
+    return decode_readings(_messages(spark, sf_dir), fields=fields)
 
 
 def _result(spark: SparkSession, start: Callable, *args, **options) -> DataFrame:
@@ -404,24 +409,25 @@ def _result(spark: SparkSession, start: Callable, *args, **options) -> DataFrame
 
 @query
 def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(_result(spark, alarms.start_rollup, _message_stream(spark, sf_dir)))
+    readings = _reading_stream(spark, sf_dir, READING_VALUES)
+    return comparable(_result(spark, alarms.start_rollup, readings))
 
 
 @query
 def stream_low_temp_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = _message_stream(spark, sf_dir)
+    readings = _reading_stream(spark, sf_dir, rollup.CITY_FIELDS)
     return comparable(_result(spark, alarms.start_low_temperature_alarm, readings))
 
 
 @query
 def stream_rollup_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = _message_stream(spark, sf_dir)
+    readings = _reading_stream(spark, sf_dir, ("time", *READING_VALUES))
     return comparable(_result(spark, alarms.start_closed_rollup, readings, delay=DELAY))
 
 
 @query
 def stream_change_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = _message_stream(spark, sf_dir)
+    readings = _reading_stream(spark, sf_dir, rollup.CHANGE_FIELDS)
     found = _result(spark, alarms.start_temperature_change_alarm, readings, delay=DELAY)
     return comparable(found.drop("epoch"))
 
@@ -459,7 +465,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "stream")
-    for running in alarms.start_all(_message_stream(spark, sf_dir), base, delay=DELAY):
+    for running in alarms.start_all(_messages(spark, sf_dir), base, delay=DELAY):
         running.awaitTermination()
     counts = [
         spark.read.parquet(f"{base}/{sink}").agg(

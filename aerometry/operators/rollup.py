@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from aerometry.operators.changes import time_slices, with_previous
 from aerometry.schemas import READING_VALUES, TIME
 
+# The reading fields the mean per city and its change need; the rollup needs READING_VALUES.
+CITY_FIELDS = ("temperature", "city")
+CHANGE_FIELDS = ("time", *CITY_FIELDS)
+
 WINDOW_LENGTH = "30 seconds"
 LOW_TEMPERATURE = 20.0
 TEMPERATURE_CHANGE = 10.0

@@ -6,7 +6,6 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from aerometry.functions.readings import decode_readings
 from aerometry.session import streaming_session
 from aerometry.sinks.messages import FilePublisher, KafkaPublisher
 from aerometry.sources.feeds import read_payload_table
@@ -20,7 +19,7 @@ def run_alarms(
 ) -> None:
     """Rollup and both alarms until one of the queries ends."""
     session = streaming_session(spark)
-    start_all(decode_readings(read_messages(session, source)), base, trigger)
+    start_all(read_messages(session, source), base, trigger)
     session.streams.awaitAnyTermination()
 
 

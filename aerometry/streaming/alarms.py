@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from aerometry.functions.readings import decode_readings
 from aerometry.operators.rollup import (
+    CHANGE_FIELDS,
+    CITY_FIELDS,
     LOW_TEMPERATURE,
     TEMPERATURE_CHANGE,
     WINDOW_LENGTH,
@@ -16,6 +21,7 @@ from aerometry.operators.rollup import (
     temperature_changes,
     window_rollup,
 )
+from aerometry.schemas import READING_VALUES
 from aerometry.streaming.memory import start_remembering
 from aerometry.streaming.sinks import UNTIL_READ, start_appending, start_replacing
 
@@ -101,19 +107,35 @@ def start_temperature_change_alarm(
 
 
 def start_all(
-    readings: DataFrame, base: str, trigger: dict = UNTIL_READ, delay: str = "5 minutes"
+    messages: DataFrame, base: str, trigger: dict = UNTIL_READ, delay: str = "5 minutes"
 ) -> list[StreamingQuery]:
-    """Rollup, low-temperature alarm and change alarm, side by side over one stream."""
+    """Rollup, low-temperature alarm and change alarm, side by side over one stream.
+
+    Each query reads the source for itself and so decodes only the fields it
+    needs. Messages that come with ``data`` are taken as decoded.
+    """
+
+    def readings(fields: Sequence[str]) -> DataFrame:
+        if "data" in messages.columns:
+            return messages
+        return decode_readings(messages, fields=fields)
+
     return [
-        start_rollup(readings, f"{base}/aggs", f"{base}/_checkpoints/aggs", trigger),
+        start_rollup(
+            readings(READING_VALUES), f"{base}/aggs", f"{base}/_checkpoints/aggs", trigger
+        ),
         start_low_temperature_alarm(
-            readings,
+            readings(CITY_FIELDS),
             f"{base}/alarms",
             f"{base}/_checkpoints/alarms",
             trigger,
             notices_path=f"{base}/notices",
         ),
         start_temperature_change_alarm(
-            readings, f"{base}/alarmdiffs", f"{base}/_checkpoints/alarmdiffs", trigger, delay
+            readings(CHANGE_FIELDS),
+            f"{base}/alarmdiffs",
+            f"{base}/_checkpoints/alarmdiffs",
+            trigger,
+            delay,
         ),
     ]

@@ -42,6 +42,18 @@ def test_bad_fields_and_garbage(spark):
     assert set(decoded(spark, "garbage").asDict().values()) == {None}
 
 
+def test_some_fields_only(spark):
+    text = '{"deviceId": "d", "city": "Nis", "time": 1681000000500, "temperature": 3}'
+    row = decoded(spark, text, fields=("temperature", "city"))
+    assert row.asDict() == {"temperature": 3.0, "city": "Nis"}
+    row = decoded(spark, text, fields=("time",), time_unit="milliseconds")
+    assert row.time == datetime(2023, 4, 9, 0, 26, 40, 500000)
+    assert set(decoded(spark, "garbage", fields=("city",)).asDict().values()) == {None}
+    with pytest.raises(ValueError):
+        messages = spark.createDataFrame([(bytearray(b""),)], "value binary")
+        decode_readings(messages, drop_malformed=True, fields=("city",))
+
+
 def test_malformed_messages_stay_unless_dropped(spark):
     messages = spark.createDataFrame(
         [(bytearray(b"garbage"),), (bytearray(b'{"city": "Nis"}'),)], "value binary"

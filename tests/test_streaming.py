@@ -270,3 +270,17 @@ def test_all_alarms_run_side_by_side(spark, streams, base):
     assert spark.read.parquet(f"{base}/out/aggs").count() == 3
     assert rows(spark.read.parquet(f"{base}/out/alarms"), "city") == [("a",)]
     assert rows(spark.read.parquet(f"{base}/out/alarmdiffs"), "city") == [("a",)]
+
+
+def test_all_alarms_decode_what_they_need(spark, streams, base):
+    """Undecoded messages give the same three tables."""
+    data = [message(f"00:{i:02d}:01", "ab"[i % 2], i * 7 % 40) for i in range(20)]
+    land(spark, f"{base}/in", data + [message("00:00:05", text="garbage")])
+    messages = read_messages(streams, MessageFiles(f"{base}/in"))
+    for name, stream in (("raw", messages), ("decoded", decode_readings(messages))):
+        for one in alarms.start_all(stream, f"{base}/{name}", delay="10 seconds"):
+            one.awaitTermination()
+    for sink in ("aggs", "alarms", "alarmdiffs"):
+        found = rows(spark.read.parquet(f"{base}/raw/{sink}"))
+        assert found == rows(spark.read.parquet(f"{base}/decoded/{sink}"))
+        assert found
