@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerometry.catalog.queries import DELAY, TEMPERATURE_YEAR
+from aerometry.catalog.queries import DELAY, EVENT_YEAR, TEMPERATURE_YEAR
 from aerometry.operators.rollup import LOW_TEMPERATURE, TEMPERATURE_CHANGE
 from aerometry.schemas import CITIES, READING_VALUES, SENSORS, TIME
 
@@ -261,6 +261,31 @@ select list_extract({_NAMES}, cast(k + 1 as integer)) as sensor, "deviceId", "ti
        case when k <> 0 then cast(value as float) end as reading
 from keyed"""
 
+_BY_DEVICE = 'select distinct "deviceId" from keyed where k = {}'
+_BY_MONTH = 'select distinct year("timestamp"), month("timestamp") from keyed where k = {}'
+_INDEX = {name: i for i, name in enumerate(SENSORS)}
+_RESULT_ROWS = {
+    "total_measurements": 'select distinct "deviceId" from keyed',
+    "hourly_measurements": 'select distinct "deviceId", hour("timestamp") from keyed',
+    "max_temperature": _BY_DEVICE.format(_INDEX["temperature"]),
+    "min_atmospheric_pressure": _BY_DEVICE.format(_INDEX["atmospheric_pressure"]),
+    "avg_pressure_by_device": _BY_DEVICE.format(_INDEX["atmospheric_pressure"]),
+    "stddev_humidity": _BY_DEVICE.format(_INDEX["humidity"]),
+    "monthly_temperature": _BY_MONTH.format(_INDEX["temperature"])
+    + f""" and year("timestamp") = {EVENT_YEAR} and cast(value as float) > -100
+           and cast(value as float) < 100""",
+    "monthly_air_quality": _BY_MONTH.format(_INDEX["air_quality"]),
+    "monthly_pressure": _BY_MONTH.format(_INDEX["atmospheric_pressure"]),
+    "monthly_humidity": _BY_MONTH.format(_INDEX["humidity"]),
+    "monthly_pm1": _BY_MONTH.format(_INDEX["pm_1"]),
+    "monthly_pm10": _BY_MONTH.format(_INDEX["pm_10"]),
+    "monthly_pm25": _BY_MONTH.format(_INDEX["pm_2_5"]),
+}
+ORACLES["batch_pipeline"] = f"with {_KEYED} " + " union all ".join(
+    f"select '{name}' as result, count(*) as n from ({rows})"
+    for name, rows in _RESULT_ROWS.items()
+)
+
 # Streams
 
 ORACLES["stream_rollup"] = ORACLES["window_rollup"]

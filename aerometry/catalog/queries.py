@@ -13,6 +13,7 @@ from aerometry.functions.payload import accepted, parse_payloads, rejected
 from aerometry.functions.readings import decode_readings, encode_readings, reading_from_json
 from aerometry.operators import combine, rollup, stats
 from aerometry.operators.changes import changed_readings, time_slices
+from aerometry.plans import batch
 from aerometry.schemas import DEVICE, READING_VALUES, SENSORS, TIME
 from aerometry.session import pin_utc, scratch_path, streaming_session
 from aerometry.sinks import tables as sinks
@@ -26,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 TEMPERATURE_YEAR = 1997
+EVENT_YEAR = 2024
 DELAY = "5 minutes"
 
 
@@ -390,6 +392,24 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(feeds.fan_in(*parts))
 
 
+@query
+def batch_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch pipeline, from CSV sensor files to rows per written result."""
+    base = scratch_path(spark, "batch")
+    for name, df in tables.event_sensors(spark, sf_dir).items():
+        sinks.write_table(df, sensor_path(SENSORS[name], f"{base}/raw"))
+    batch.run_batch(
+        spark, f"{base}/raw", f"{base}/out", file_format="parquet", year=EVENT_YEAR
+    )
+    counts = [
+        spark.read.parquet(f"{base}/out/{name}.parquet").agg(
+            F.lit(name).alias("result"), F.count("*").alias("n")
+        )
+        for name in batch.RESULTS
+    ]
+    return feeds.fan_in(*counts)
+
+
 # Streams: run to the end of the source, then read what they wrote
 
 

@@ -12,7 +12,7 @@ from aerometry.operators import stats
 from aerometry.operators.combine import hourly_measurements, key_counts
 from aerometry.schemas import DEVICE, SENSORS
 from aerometry.session import pin_utc
-from aerometry.sinks.tables import write_table
+from aerometry.sinks.tables import preview, write_table
 from aerometry.sources.sensors import read_sensors, sensor_path
 
 DEFAULT_YEAR = 2021
@@ -27,6 +27,28 @@ MONTHLY = {
 }
 
 
+RESULTS = (
+    "total_measurements",
+    "hourly_measurements",
+    "max_temperature",
+    "min_atmospheric_pressure",
+    "avg_pressure_by_device",
+    "stddev_humidity",
+    "monthly_temperature",
+    "monthly_air_quality",
+    *MONTHLY,
+)
+
+# Results worth a look, and the column that must be positive to be shown.
+PREVIEWED = {
+    "total_measurements": None,
+    "hourly_measurements": None,
+    "max_temperature": None,
+    "min_atmospheric_pressure": "min_atmospheric_pressure",
+    "stddev_humidity": "stddev_humidity",
+}
+
+
 def copy_sensors(tables: Mapping[str, DataFrame], root: str) -> None:
     """Keep the tables as parquet, so that later reads skip columns and row groups."""
     for name, df in tables.items():
@@ -60,6 +82,12 @@ def result_tables(
     return results
 
 
+def result_preview(name: str, result: DataFrame) -> DataFrame:
+    """The first rows of a result, without non-positive values where those are noise."""
+    positive = PREVIEWED[name]
+    return preview(result if positive is None else stats.positive_only(result, positive))
+
+
 def run_batch(
     spark: SparkSession,
     raw_root: str,
@@ -69,9 +97,15 @@ def run_batch(
     mode: str = "errorifexists",
     year: int = DEFAULT_YEAR,
     columnar_root: str | None = None,
+    show: bool = False,
 ) -> None:
-    """Read, compute, write. ``columnar_root`` first copies CSV input to parquet."""
+    """Read, compute, write. ``columnar_root`` first copies CSV input to parquet.
+
+    ``show`` prints the first rows of some written tables. Two of them show
+    positive values only; what is written holds all.
+    """
     pin_utc(spark)
+    out = transform_root.rstrip("/")
     tables = read_sensors(spark, raw_root, raw_format)
     if columnar_root is not None:
         copy_sensors(tables, columnar_root)
@@ -85,7 +119,11 @@ def run_batch(
     ).persist()
     try:
         for name, df in result_tables(tables, hourly, pressure, year).items():
-            write_table(df, f"{transform_root.rstrip('/')}/{name}.{file_format}", file_format, mode)
+            path = f"{out}/{name}.{file_format}"
+            write_table(df, path, file_format, mode)
+            if show and name in PREVIEWED:
+                written = spark.read.schema(df.schema).format(file_format).load(path)
+                result_preview(name, written).show()
     finally:
         hourly.unpersist()
         pressure.unpersist()
@@ -100,6 +138,7 @@ def main() -> None:
     parser.add_argument("--mode", default="errorifexists")
     parser.add_argument("--year", type=int, default=DEFAULT_YEAR)
     parser.add_argument("--columnar-root")
+    parser.add_argument("--show", action="store_true")
     args = parser.parse_args()
     run_batch(SparkSession.builder.getOrCreate(), **vars(args))
 

@@ -4,7 +4,8 @@ import pytest
 from conftest import at, rows
 
 from aerometry.operators.combine import combine_sensors
-from aerometry.plans.batch import run_batch
+from aerometry.plans import batch
+from aerometry.plans.batch import result_preview, run_batch
 from aerometry.plans.realtime import run_alarms, run_ingest
 from aerometry.schemas import DEVICE, ENVELOPE, PAYLOAD, SENSORS, TIME
 from aerometry.sinks.messages import FilePublisher
@@ -51,6 +52,7 @@ def test_batch_writes_every_result(spark, base, raw):
         name: rows(spark.read.schema(schema).csv(f"{base}/out/{name}.csv"))
         for name, schema in RESULTS.items()
     }
+    assert set(RESULTS) == set(batch.RESULTS)
     assert sorted(p.stem for p in Path(f"{base}/out").iterdir()) == sorted(RESULTS)
     assert read["total_measurements"] == [("d1", 256), ("d2", 1)]
     assert read["hourly_measurements"] == [("d1", 5, 256), ("d2", 6, 1)]
@@ -63,6 +65,14 @@ def test_batch_writes_every_result(spark, base, raw):
     assert read["monthly_pm25"] == [(2021, 3, 30.0, 10.0, 50.0)]
 
 
+def test_previews_leave_out_what_is_not_positive(spark, base, raw, capfd):
+    run_batch(spark, raw, f"{base}/out", show=True)
+    shown = spark.read.schema(RESULTS["stddev_humidity"]).csv(f"{base}/out/stddev_humidity.csv")
+    assert [row.deviceId for row in result_preview("stddev_humidity", shown).collect()] == ["d1"]
+    assert shown.count() == 2
+    assert capfd.readouterr().out.count("+-") > 5
+
+
 def test_second_batch_run_fails_unless_replacing(spark, base, raw):
     run_batch(spark, raw, f"{base}/out")
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):

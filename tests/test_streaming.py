@@ -13,7 +13,7 @@ from aerometry.operators.rollup import city_temperature, temperature_changes, wi
 from aerometry.schemas import ENVELOPE, PAYLOAD
 from aerometry.session import streaming_session
 from aerometry.sinks.messages import FilePublisher
-from aerometry.sources.feeds import read_payload_table
+from aerometry.sources.feeds import read_payload_files, read_payload_table
 from aerometry.sources.messages import MessageFiles, read_messages
 from aerometry.streaming import alarms, changes
 
@@ -257,6 +257,24 @@ def test_ingest_filters_rejects_and_publishes(spark, streams, base):
     assert rows(rejects, "epoch", "deviceId", "reject_reason") == [(1, "1", "bad pm10")]
 
 
+def test_ingest_from_one_file_per_payload(spark, streams, base):
+    for i, (device, key) in enumerate([("1", 100), ("1", 100), ("2", 100), ("1", 200)]):
+        folder = Path(f"{base}/feed/deviceId={device}")
+        folder.mkdir(parents=True, exist_ok=True)
+        target = folder / f"{i}.txt"
+        target.write_text(payload(device, key, i)[1])
+        os.utime(target, (1700000000 + i, 1700000000 + i))
+    changes.start_ingest(
+        read_payload_files(streams, f"{base}/feed", stream=True, maxFilesPerTrigger="3"),
+        FilePublisher(f"{base}/out"),
+        f"{base}/rejects",
+        f"{base}/ck",
+    ).awaitTermination()
+    published = decode_readings(spark.read.parquet(f"{base}/out"))
+    found = rows(published, "epoch", "data.deviceId", F.unix_seconds("data.time"))
+    assert found == [(0, "1", 100), (0, "2", 100), (1, "1", 200)]
+
+
 def test_all_alarms_run_side_by_side(spark, streams, base):
     data = [
         message("00:00:01", "a", 30),
