@@ -10,11 +10,11 @@ from aerometry.schemas import DEVICE, READING_VALUES
 FIELD_SEPARATOR = "|"
 
 # Number texts a reading may hold. Casting alone would also take surrounding
-# blanks and Java's type suffixes.
-_INTEGER = r"^[+-]?[0-9]+$"
+# blanks and Java's type suffixes; "$" alone would pass over a carriage return.
+_INTEGER = r"^[+-]?[0-9]+\z"
 _DOUBLE = (
     r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
-    r"|[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])|[nN][aA][nN])$"
+    r"|[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])|[nN][aA][nN])\z"
 )
 
 

@@ -143,14 +143,14 @@ def test_rejects_name_their_reason(spark):
 
 
 def test_strict_numbers(spark):
-    texts = ["5", "+5", "-5", " 5", "5 ", "1.5", "", "99999999999999999999", "5L"]
+    texts = ["5", "+5", "-5", " 5", "5 ", "1.5", "", "99999999999999999999", "5L", "5\r"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     found = [r[0] for r in df.select(strict_bigint(F.col("t"))).collect()]
-    assert found == [5, 5, -5] + [None] * 6
-    texts = ["1", ".5", "5.", "-1e3", "1.5d", " 1", "x", "", "."]
+    assert found == [5, 5, -5] + [None] * 7
+    texts = ["1", ".5", "5.", "-1e3", "1.5d", " 1", "x", "", ".", "1.0\r"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     found = [r[0] for r in df.select(strict_double(F.col("t"))).collect()]
-    assert found == [1.0, 0.5, 5.0, -1000.0] + [None] * 5
+    assert found == [1.0, 0.5, 5.0, -1000.0] + [None] * 6
     infinite = spark.createDataFrame([("inf",), ("-Infinity",)], "t string")
     found = [r[0] for r in infinite.select(strict_double(F.col("t"))).collect()]
     assert found == [float("inf"), float("-inf")]
