@@ -35,6 +35,7 @@ def with_previous(
     key: str = DEVICE,
     before: DataFrame | None = None,
     hot_rows: int | None = HOT_ROWS,
+    cut_all: Column | None = None,
 ) -> DataFrame:
     """Add ``_previous``: the ``value`` of the key's row just ahead along ``order``.
 
@@ -45,9 +46,14 @@ def with_previous(
     is cut by the first of ``slices`` (expressions that never decrease along
     ``order``), slices still too large by the second, and so on. Each slice is
     ordered on its own and starts from the last value of the slice before it,
-    so the result is the same. Other keys stay whole. ``None`` never cuts.
+    so the result is the same. Other keys stay whole. ``None`` never looks for
+    such keys. ``cut_all`` cuts every key to begin with, without a look.
     """
-    cut_rows, cuts = _cut_hot_groups(rows, key, slices, hot_rows)
+    cut_rows, cuts = rows, []
+    if cut_all is not None:
+        cuts = ["_cut_all"]
+        cut_rows = rows.withColumn("_cut_all", cut_all).withColumn("_is_cut", F.lit(True))
+    cut_rows, cuts = _cut_hot_groups(cut_rows, key, slices, hot_rows, cuts)
     group = [key, *cuts]
     starts = [] if before is None else [before.select(key, value)]
     if cuts:
@@ -133,10 +139,14 @@ def _values_before_slices(
 
 
 def _cut_hot_groups(
-    rows: DataFrame, key: str, slices: Sequence[Column], hot_rows: int | None
+    rows: DataFrame,
+    key: str,
+    slices: Sequence[Column],
+    hot_rows: int | None,
+    cuts: Sequence[str] = (),
 ) -> tuple[DataFrame, list[str]]:
     """Add a column per slice level in use: the level's value in groups that need it."""
-    cuts: list[str] = []
+    cuts = list(cuts)
     if hot_rows is None:
         return rows, cuts
     for level, cut in enumerate(slices):
@@ -151,7 +161,7 @@ def _cut_hot_groups(
             Column.__and__, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in group]
         )
         rows = rows.join(marks, same, "left").withColumn(f"_cut{level}", F.when(F.col("_hot"), cut))
-        if level == 0:
+        if "_is_cut" not in rows.columns:
             rows = rows.withColumn("_is_cut", F.col("_hot").isNotNull())
         rows = rows.drop("_hot", *[f"_hot_{c}" for c in group])
         cuts.append(f"_cut{level}")

@@ -56,9 +56,9 @@ def temperature_changes(
 ) -> DataFrame:
     """Windows whose mean differs from the city's previous window by the threshold or more.
 
-    A city has one row per window here, so the group one task orders grows with
-    the covered time (a year of 30-second windows is a million rows), not with
-    the number of readings. ``hot_rows`` cuts longer histories.
+    A city has one row per window here. Its windows are put in order year by
+    year, so one task orders a million rows at most (30-second windows), however
+    long the history and however many the readings. ``hot_rows`` cuts finer.
     """
     compared = with_previous(
         averages,
@@ -68,6 +68,7 @@ def temperature_changes(
         "city",
         before,
         hot_rows,
+        cut_all=F.date_trunc("year", "window.start"),
     )
     change = F.abs(F.col("avg_temperature") - F.col("_previous"))
     return (

@@ -106,3 +106,29 @@ def test_change_alarm_of_a_long_history_is_cut(spark):
     cut = temperature_changes(df, hot_rows=50)
     assert rows(cut) == rows(temperature_changes(df))
     assert cut.count() > 100
+
+
+def test_change_alarm_across_the_turn_of_a_year(spark):
+    df = spark.sql(
+        """select named_struct('start', t, 'end', t) as window, 'a' as city, x as avg_temperature
+        from values (timestamp '2023-12-31 23:59:30', 10d), (timestamp '2024-01-01 00:00:00', 30d),
+                    (timestamp '2025-05-05 00:00:00', 31d), (timestamp '2026-01-01 00:00:00', 0d)
+             as v(t, x)"""
+    )
+    found = rows(temperature_changes(df), F.year("window.start"), "temperature_change")
+    assert found == [(2024, 20.0), (2026, 31.0)]
+
+
+def test_change_alarm_aggregates_once(spark, base):
+    """The years' last means come from the same shuffled averages, not a second pass."""
+    data = messages(spark, [("00:00:00", reading("Nis", 5))])
+    data.write.parquet(f"{base}/in")
+    stored = decode_readings(spark.read.parquet(f"{base}/in"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        changes = temperature_changes(city_temperature(stored))
+        plan = changes._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("FileScan parquet") == 1
+    assert "ReusedExchange" in plan
