@@ -58,7 +58,8 @@ def temperature_changes(
 
     A city has one row per window here. Its windows are put in order year by
     year, so one task orders a million rows at most (30-second windows), however
-    long the history and however many the readings. ``hot_rows`` cuts finer.
+    long the history and however many the readings. With ``hot_rows`` only cities
+    with more windows are cut; that counts them first and suits averages at hand.
     """
     compared = with_previous(
         averages,
@@ -68,7 +69,7 @@ def temperature_changes(
         "city",
         before,
         hot_rows,
-        cut_all=F.date_trunc("year", "window.start"),
+        cut_all=F.date_trunc("year", "window.start") if hot_rows is None else None,
     )
     change = F.abs(F.col("avg_temperature") - F.col("_previous"))
     return (

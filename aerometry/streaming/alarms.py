@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aerometry.functions.readings import decode_readings
+from aerometry.operators.changes import HOT_ROWS
 from aerometry.operators.rollup import (
     CHANGE_FIELDS,
     CITY_FIELDS,
@@ -90,7 +91,7 @@ def start_temperature_change_alarm(
     """
 
     def compare(closed: DataFrame, before: DataFrame | None, epoch: int) -> DataFrame:
-        found = temperature_changes(closed, threshold, before)
+        found = temperature_changes(closed, threshold, before, HOT_ROWS)
         found.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
         return closed
 
