@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from aerometry.llm import bpe_automaton, packing, pii, secret_scan
+from aerometry.llm import (
+    bpe_automaton,
+    decision_list,
+    hamming_search,
+    packing,
+    pii,
+    preference,
+    secret_scan,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +43,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+@query
+def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.conversation_pairs(_table(spark, sf_dir, "conversations"))
+    return preference.format_preferences(pairs)
+
+
 @query
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(_table(spark, sf_dir, "documents"))
@@ -44,3 +58,14 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return bpe_automaton.encode_documents(_table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query
+def op8_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_search.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return decision_list.apply_quality_rules(documents, labels)
