@@ -14,6 +14,7 @@ from aerometry.llm import (
     packing,
     pii,
     preference,
+    ranking,
     secret_scan,
 )
 
@@ -65,6 +66,12 @@ def op8_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_search.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op9_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return ranking.score_quality(documents, labels)
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
