@@ -34,7 +34,7 @@ UNIT = 512
 END_TOKEN = 2
 
 #: A cell holds about so many tokens, and so many pieces, at most.
-CELL_TOKENS = 512 * CAPACITY
+CELL_TOKENS = 256 * CAPACITY
 CELL_PIECES = 20_000
 
 #: Distinct words a worker remembers.
