@@ -38,11 +38,11 @@ CELL_TOKENS = 256 * CAPACITY
 CELL_PIECES = 20_000
 
 #: Distinct words a worker remembers.
-MEMO_LIMIT = 1_000_000
+MEMO_LIMIT = 1_500_000
 
-#: A word of plain letters, the mark behind it left to the next match, or any other word.
-LETTERS = "a-zA-Z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-WORD = re.compile(rf"[{LETTERS}]++(?=[.,]?(?:[ \t-\r]|\Z))|[^ \t-\r]+")
+WORD = re.compile(r"[^ \t-\r]+")
+#: Separators to ``str.split`` that are no white space to a vocabulary.
+CONTROL = re.compile("[\x1c-\x1f]")
 
 
 if sys.byteorder != "little" or array("I").itemsize != 4:
@@ -69,7 +69,7 @@ class WordTokens:
 
     def encode(self, text: str) -> bytes:
         """The tokens of a text, four bytes each."""
-        words = WORD.findall(text.lower() if _plain(text) else text)
+        words = text.lower().split() if _plain(text) else WORD.findall(text)
         found = list(map(self.memo.get, words))
         if None in found:
             self._learn({w for w, known in zip(words, found, strict=True) if known is None})
@@ -80,15 +80,23 @@ class WordTokens:
         return encoded
 
     def _learn(self, words: set[str]) -> None:
-        new = list(words)
+        """Letters and one mark behind them are encoded apart, as the vocabulary splits them.
+
+        Some letters beyond Latin-1 end with a mark of their own in lower case.
+        """
+        marked = [w for w in words if w[-1] in ".," and w[:-1].isalpha() and w[-2] < "\u0100"]
+        new = words.difference(marked).union(w[:-1] for w in marked).union(w[-1] for w in marked)
+        new = list(new.difference(self.memo))
         encodings = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         for word, encoding in zip(new, encodings, strict=True):
             self.memo[word] = array("I", encoding.ids).tobytes()
+        for word in marked:
+            self.memo[word] = self.memo[word[:-1]] + self.memo[word[-1]]
 
 
 def _plain(text: str) -> bool:
-    """Whether lower-casing the text changes neither marked-up tokens nor composition."""
-    if "<|" in text:
+    """Whether the text can be lower-cased and split as a whole, with the same tokens."""
+    if "<|" in text or CONTROL.search(text):
         return False
     try:
         text.encode("latin-1")
