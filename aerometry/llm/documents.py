@@ -28,23 +28,26 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def map_texts(docs: DataFrame, function: BatchFunction, schema: str) -> DataFrame:
+def map_texts(
+    docs: DataFrame, function: BatchFunction, schema: str, batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
     """Apply ``function(ids, texts)`` to every row in batches of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.large_string())
-            for start, end in _slices(texts):
+            for start, end in slices(texts, batch_bytes):
                 yield function(batch.column(0)[start:end], texts[start:end])
 
     return texts_of(docs).mapInArrow(run, schema)
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, batch_bytes: int) -> Iterator[tuple[int, int]]:
+    """Cut a batch so that no part has more bytes, unless one text has."""
     _, offsets = text_bytes(texts)
     start = 0
     while start < len(texts):
-        limit = offsets[start] + BATCH_BYTES
+        limit = offsets[start] + batch_bytes
         end = max(start + 1, int(np.searchsorted(offsets, limit, side="right")) - 1)
         yield start, min(end, len(texts))
         start = end
@@ -67,9 +70,8 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     inside[1:-1] = ~SPACE[data]
     starts = inside[1:] & ~inside[:-1]
     ends = inside[:-1] & ~inside[1:]
-    for at in (offsets[1:-1],):
-        joined = at[inside[at] & inside[at + 1]]
-        starts[joined] = True
-        ends[joined] = True
+    edges = offsets[1:-1]
+    joined = edges[inside[edges] & inside[edges + 1]]
+    starts[joined] = ends[joined] = True
     starts, ends = np.flatnonzero(starts), np.flatnonzero(ends)
     return starts, ends, np.searchsorted(starts, offsets)

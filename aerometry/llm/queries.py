@@ -11,11 +11,13 @@ from aerometry.llm import (
     bpe_automaton,
     decision_list,
     hamming_search,
+    minhash,
     packing,
     pii,
     preference,
     ranking,
     secret_scan,
+    substring_dedup,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +35,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
@@ -44,6 +51,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+@query
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = preference.conversation_pairs(_table(spark, sf_dir, "conversations"))
