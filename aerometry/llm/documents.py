@@ -7,11 +7,13 @@ character, so splitting bytes splits characters alike.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPACE = np.zeros(256, dtype=bool)
@@ -23,6 +25,26 @@ BATCH_BYTES = 16 << 20
 BatchFunction = Callable[[pa.Array, pa.Array], pa.RecordBatch]
 
 
+def share_library(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver does.
+
+    A cluster that installs the library elsewhere is not affected.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def texts_of(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` of every row; a null text counts as empty."""
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerometry.llm.documents import slices, text_bytes, texts_of, word_bounds
+from aerometry.llm.documents import slices, text_bytes, texts_of, unused, word_bounds
 from aerometry.llm.recompression import Windows, mix, word_names
 from aerometry.session import scratch_path
 
@@ -414,5 +414,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows without ``doc_id`` stay; all columns stay as they are.
     """
     dropped = near_duplicates(docs).where(F.col("doc_id") != F.col("class_id"))
-    dropped = dropped.select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"].cast("long") == F.col("__dropped"), "left_anti")
+    name = unused(docs, "dropped_id")
+    dropped = dropped.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(dropped, F.col("doc_id").cast("long") == F.col(name), "left_anti")

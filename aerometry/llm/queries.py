@@ -19,6 +19,7 @@ from aerometry.llm import (
     secret_scan,
     substring_dedup,
 )
+from aerometry.llm.documents import share_library
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +28,12 @@ QUERIES: dict[str, Query] = {}
 
 def query(build: Query) -> Query:
     """Register a query under its function's name."""
-    QUERIES[build.__name__] = build
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        share_library(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
     return build
 
 

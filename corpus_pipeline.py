@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from aerometry.llm import minhash, packing, ranking, secret_scan, substring_dedup
+from aerometry.llm.documents import share_library
 from aerometry.session import scratch_path
 
 
@@ -52,6 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is kept as a table in the shared folder."""
+    share_library(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         kept = scratch_path(spark, name)
