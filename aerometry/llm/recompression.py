@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Longest symbol, in words, that a round still merges.
-BOUNDS = (1, 1, 2, 2, 4)
+BOUNDS = (1, 1, 2, 2)
 REACH = 2 * sum(BOUNDS)
 #: No symbol is longer unless it is a run.
 LONGEST = 2 * BOUNDS[-1]

@@ -2,8 +2,11 @@
 
 A window is ``WINDOW`` consecutive words of one document. Recompression gives every
 window an anchor, a symbol that equal windows share. Anchors that occur in one
-document only rule out most windows at once; the windows of the others are named
-by 128 bits, and each name's smallest document keeps its words.
+document only rule out most windows at once. Successive windows with one anchor
+make a bundle, which is named by 128 bits of its words: a bundle that a smaller
+document has too goes as a whole. Where an anchor has several different bundles,
+which overlap in part, the windows of each bundle's smallest document are named
+and compared one by one; bundles of larger documents have no other windows.
 
 Exact copies of a whole document are settled by the digests of their texts, so
 large groups of copies meet neither as anchors nor as windows. Anchors and windows
@@ -20,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerometry.llm.documents import slices, text_bytes, texts_of, word_bounds
+from aerometry.llm.documents import slices, text_bytes, texts_of, unused, word_bounds
 from aerometry.llm.recompression import Windows, anchors, word_names
 from aerometry.llm.secret_scan import with_char_counts
 from aerometry.session import scratch_path
@@ -34,7 +37,12 @@ BATCH_BYTES = 4 << 20
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 PARSED = "doc_id long, digest binary, n_words long, words_sha256 string, anchors array<long>"
-FOUND = "doc_id long, digest binary, packed binary, starts array<int>, high array<long>, low array<long>"
+FOUND = (
+    "doc_id long, digest binary, packed binary, anchors array<long>, starts array<int>, "
+    "counts array<int>, high array<long>, low array<long>"
+)
+NAMED = "doc_id long, digest binary, starts array<int>, high array<long>, low array<long>"
+KEY = ["doc_id", "digest"]
 KEPT = "doc_id long, digest binary, n_removed long, kept_sha256 string, text string"
 
 
@@ -85,44 +93,84 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows whose anchors are shared, with their names."""
+def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Successive windows that share an anchor other documents have, with their names."""
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         for doc_id, digest, packed, shared in zip(*batch.columns, strict=True):
-            text = unpack.decompress(packed.as_py())
-            names, before = _words(pa.array([text.decode()], pa.large_string()))
+            names, before = _words(_unpacked(unpack, packed))
             starts, found = anchors(names, before, WINDOW)
-            wanted = np.asarray(shared.values).view(np.uint64)
-            starts = starts[np.isin(found, wanted)]
+            wanted = np.isin(found, np.asarray(shared.values).view(np.uint64))
+            starts, found = starts[wanted], found[wanted]
             if not len(starts):
                 continue
-            windows = Windows(names)
-            high, low = (windows.named(starts, WINDOW, k).view(np.int64) for k in (0, 1))
+            new = (np.diff(starts) != 1) | (found[1:] != found[:-1])
+            first = np.flatnonzero(np.concatenate([[True], new]))
+            counts = np.diff(np.append(first, len(starts)))
+            starts, windows = starts[first], Windows(names)
             one = np.array([0, len(starts)])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([doc_id.as_py()], pa.int64()),
                     pa.array([digest.as_py()], pa.binary()),
                     pa.array([packed.as_py()], pa.binary()),
+                    _lists(found[first].view(np.int64), one, pa.int64()),
                     _lists(starts, one, pa.int32()),
-                    _lists(high, one, pa.int64()),
-                    _lists(low, one, pa.int64()),
+                    _lists(counts, one, pa.int32()),
+                    *[
+                        _lists(windows.named(starts, counts + WINDOW - 1, k).view(np.int64), one, pa.int64())
+                        for k in (0, 1)
+                    ],
                 ],
-                ["doc_id", "digest", "packed", "starts", "high", "low"],
+                ["doc_id", "digest", "packed", "anchors", "starts", "counts", "high", "low"],
             )
 
 
-def _without(text: bytes, starts: np.ndarray) -> tuple[int, bytes, bytes]:
+def _unpacked(unpack: zstandard.ZstdDecompressor, packed: pa.Scalar) -> pa.Array:
+    return pa.array([unpack.decompress(packed.as_py()).decode()], pa.large_string())
+
+
+def _ranges(column: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and counts from a list of pairs."""
+    pairs = column.values
+    return np.asarray(pairs.field("start")), np.asarray(pairs.field("count"))
+
+
+def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of some bundles, named one by one."""
+    unpack = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for doc_id, digest, packed, ranges in zip(*batch.columns, strict=True):
+            names, _ = _words(_unpacked(unpack, packed))
+            first, counts = _ranges(ranges)
+            starts = np.unique(
+                np.concatenate([np.arange(a, a + n) for a, n in zip(first, counts, strict=True)])
+            )
+            windows, one = Windows(names), np.array([0, len(starts)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([doc_id.as_py()], pa.int64()),
+                    pa.array([digest.as_py()], pa.binary()),
+                    _lists(starts, one, pa.int32()),
+                    *[
+                        _lists(windows.named(starts, WINDOW, k).view(np.int64), one, pa.int64())
+                        for k in (0, 1)
+                    ],
+                ],
+                ["doc_id", "digest", "starts", "high", "low"],
+            )
+
+
+def _without(text: bytes, starts: np.ndarray, counts: np.ndarray) -> tuple[int, bytes, bytes]:
     """Removed words, the words that stay, and the text that stays.
 
-    Of the white space around removed words, what stands before them stays.
+    ``counts`` are the successive windows that go from each of ``starts`` on. Of the white space around removed words, what stands before them stays.
     """
     data = np.frombuffer(text, dtype=np.uint8)
     first, end, _ = word_bounds(data, np.array([0, len(data)]))
     marks = np.zeros(len(first) + 1, dtype=np.int64)
     np.add.at(marks, starts, 1)
-    np.add.at(marks, starts + WINDOW, -1)
+    np.add.at(marks, starts + counts + WINDOW - 1, -1)
     gone = np.cumsum(marks)[:-1] > 0
     stays = [text[a:b] for a, b in zip(first[~gone].tolist(), end[~gone].tolist(), strict=True)]
     edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
@@ -139,9 +187,9 @@ def _cut(with_text: bool):
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
-            for packed, starts in zip(batch.column(2), batch.column(3), strict=True):
+            for packed, ranges in zip(batch.column(2), batch.column(3), strict=True):
                 text = unpack.decompress(packed.as_py())
-                removed, words, left = _without(text, np.asarray(starts.values))
+                removed, words, left = _without(text, *_ranges(ranges))
                 digest = hashlib.sha256(words).hexdigest()
                 rows.append((removed, digest, left.decode() if with_text else None))
             removed, digests, left = zip(*rows, strict=True) if rows else ((), (), ())
@@ -195,42 +243,92 @@ def _repeats(docs: DataFrame, with_text: bool) -> tuple[DataFrame, DataFrame]:
     originals = rows.where(~F.col("copy")).select("doc_id").distinct()
     hits = hits.join(originals, "doc_id", "left_semi")
     packed = texts.mapInArrow(_pack, "doc_id long, digest binary, packed binary")
-    windows = scratch_path(spark, "windows")
+    found = scratch_path(spark, "found")
     (
         packed.join(hits, "doc_id")
         .select("doc_id", "digest", "packed", "shared")
-        .mapInArrow(_candidates, FOUND)
+        .mapInArrow(_bundles, FOUND)
+        .write.option("compression", "zstd")
+        .parquet(found)
+    )
+    covered = _covered(spark, found)
+    sources = spark.read.schema(FOUND).parquet(found).select("doc_id", "digest", "packed")
+    left = (
+        sources.join(covered, KEY)
+        .select("doc_id", "digest", "packed", "ranges")
+        .mapInArrow(_cut(with_text), KEPT)
+        .dropDuplicates(KEY)
+    )
+    return rows, left
+
+
+def _covered(spark: SparkSession, found: str) -> DataFrame:
+    """Per text the ranges of windows that a smaller document has too."""
+
+    def occurrences() -> DataFrame:
+        lists = ("anchors", "starts", "counts", "high", "low")
+        rows = spark.read.schema(FOUND).parquet(found)
+        rows = rows.select(*KEY, F.explode(F.arrays_zip(*lists)).alias("b"))
+        return rows.select(
+            *KEY,
+            F.col("b.anchors").alias("anchor"),
+            F.col("b.starts").alias("start"),
+            F.col("b.counts").alias("count"),
+            "b.high",
+            "b.low",
+        )
+
+    name = ["anchor", "high", "low"]
+    least = occurrences().groupBy(name).agg(F.min("doc_id").alias("least"))
+    placed = scratch_path(spark, "bundles")
+    occurrences().join(least, name).write.option("compression", "zstd").parquet(placed)
+
+    def bundles() -> DataFrame:
+        return spark.read.parquet(placed)
+
+    ranges = F.collect_set(F.struct("start", "count")).alias("ranges")
+    mixed = (
+        bundles()
+        .groupBy("anchor")
+        .agg(*[f(c).alias(f"{c}_{f.__name__}") for c in ("high", "low") for f in (F.min, F.max)])
+        .where((F.col("high_min") < F.col("high_max")) | (F.col("low_min") < F.col("low_max")))
+        .select("anchor")
+    )
+    firsts = bundles().where(F.col("doc_id") == F.col("least")).join(mixed, "anchor")
+    named = scratch_path(spark, "named")
+    (
+        spark.read.schema(FOUND)
+        .parquet(found)
+        .select(*KEY, "packed")
+        .join(firsts.groupBy(KEY).agg(ranges), KEY)
+        .select(*KEY, "packed", "ranges")
+        .mapInArrow(_single_windows, NAMED)
         .write.option("compression", "zstd")
-        .parquet(windows)
+        .parquet(named)
     )
 
-    def named() -> DataFrame:
-        zipped = F.explode(F.arrays_zip("starts", "high", "low")).alias("w")
-        source = spark.read.schema(FOUND).parquet(windows).select("doc_id", "digest", zipped)
-        return source.select("doc_id", "digest", F.col("w.starts").alias("start"), "w.high", "w.low")
+    def windows() -> DataFrame:
+        rows = spark.read.schema(NAMED).parquet(named)
+        rows = rows.select(*KEY, F.explode(F.arrays_zip("starts", "high", "low")).alias("w"))
+        return rows.select(*KEY, F.col("w.starts").alias("start"), "w.high", "w.low")
 
-    first = (
-        named()
+    earliest = (
+        windows()
         .groupBy("high", "low")
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
         .where(F.col("least") < F.col("most"))
         .drop("most")
     )
-    covered = (
-        named()
-        .join(first, ["high", "low"])
-        .where(F.col("doc_id") > F.col("least"))
-        .groupBy("doc_id", "digest")
-        .agg(F.collect_set("start").alias("starts"))
-    )
-    sources = spark.read.schema(FOUND).parquet(windows).select("doc_id", "digest", "packed")
-    left = (
-        sources.dropDuplicates(["doc_id", "digest"])
-        .join(covered, ["doc_id", "digest"])
-        .select("doc_id", "digest", "packed", "starts")
-        .mapInArrow(_cut(with_text), KEPT)
+    single = windows().join(earliest, ["high", "low"]).withColumn("count", F.lit(1))
+    gone = F.col("doc_id") > F.col("least")
+    return (
+        bundles()
+        .where(gone)
+        .select(*KEY, "start", "count")
+        .unionByName(single.where(gone).select(*KEY, "start", "count"))
+        .groupBy(KEY)
+        .agg(ranges)
     )
-    return rows, left
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
@@ -244,7 +342,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     """
     rows, left = _repeats(docs, with_text=False)
     return (
-        rows.join(left.drop("text"), ["doc_id", "digest"], "left")
+        rows.join(left.drop("text"), KEY, "left")
         .select(
             "doc_id",
             "n_words",
@@ -267,16 +365,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     rows, left = _repeats(docs, with_text=True)
     copies = rows.where("copy").select("doc_id", "digest", F.lit("").alias("text"))
-    changed = left.select("doc_id", "digest", "text").unionByName(copies).dropDuplicates(["doc_id", "digest"])
-    changed = changed.select(
-        F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("text").alias("__left")
-    )
+    changed = left.select("doc_id", "digest", "text").unionByName(copies).dropDuplicates(KEY)
+    own_id, own_digest, left_text = (unused(docs, n) for n in ("left_id", "left_digest", "left_text"))
+    changed = changed.toDF(own_id, own_digest, left_text)
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
-    marked = docs.withColumn("__own", digest)
-    joined = marked.join(
-        changed,
-        (marked["doc_id"].cast("long") == F.col("__id")) & (F.col("__own") == F.col("__digest")),
-        "left",
+    joined = docs.join(
+        changed, (F.col("doc_id").cast("long") == F.col(own_id)) & (digest == F.col(own_digest)), "left"
     )
-    text = F.coalesce("__left", "text")
+    text = F.coalesce(left_text, "text")
     return with_char_counts(joined.withColumn("text", text).select(*docs.columns))
