@@ -53,6 +53,7 @@ _PLACE = np.uint64(0xC2B2AE3D27D4EB4F)
 SIGNED = "doc_id long, digest binary, bands array<long>"
 CELL = "leader long, part int, other int, doc_id long, component long, packed binary"
 LINKS = "doc_id long, other long"
+PACKED = "doc_id long, packed binary"
 
 
 def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -253,7 +254,7 @@ def _parts(sizes: list[int]) -> Iterator[tuple[int, int]]:
 
 def _linked(cells: DataFrame, packed: DataFrame) -> DataFrame:
     """Verify all cells; one task handles many, in order."""
-    rows = cells.join(packed, "doc_id").select(*[c.split()[0] for c in CELL.split(", ")])
+    rows = packed.hint("merge").join(cells, "doc_id").select(*[c.split()[0] for c in CELL.split(", ")])
     return (
         rows.repartition("leader", "part")
         .sortWithinPartitions("leader", "part", "other", "doc_id")
@@ -364,7 +365,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = chunks.unionByName(everywhere).select(
         "leader", "part", F.lit(0).alias("other"), "doc_id", F.col("doc_id").alias("component")
     )
-    packed = texts.mapInArrow(_pack, "doc_id long, packed binary")
+    # Whole texts are shuffled once, then only those of cells.
+    members_only = scratch_path(spark, "packed")
+    (
+        texts.mapInArrow(_pack, PACKED)
+        .hint("merge")
+        .join(followers().select("doc_id").distinct(), "doc_id", "left_semi")
+        .write.parquet(members_only)
+    )
+    packed = spark.read.schema(PACKED).parquet(members_only)
     first_links = scratch_path(spark, "links")
     _linked(own, packed).distinct().write.parquet(first_links)
     links = spark.read.schema(LINKS).parquet(first_links)
@@ -416,4 +425,5 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     dropped = near_duplicates(docs).where(F.col("doc_id") != F.col("class_id"))
     name = unused(docs, "dropped_id")
     dropped = dropped.select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col(name), "left_anti")
+    same = F.col("doc_id").cast("long") == F.col(name)
+    return docs.hint("merge").join(dropped, same, "left_anti")
