@@ -50,7 +50,29 @@ ORACLES["hourly_measurements"] = (
 )
 _WIDE = _JOINED + "select * from combined"
 ORACLES["combined_wide"] = _WIDE
-ORACLES["combined_wide_split"] = _WIDE
+
+# Two-day instants from the epoch on; zeros of both signs and NaN, each with its text.
+_SPECIAL = {0: "-0.0", 1: "0.0", 2: "NaN"}
+_SPECIAL_VALUE = " ".join(
+    f"when event_id // 8 % 4 = {k} then cast('{text}' as double)" for k, text in _SPECIAL.items()
+)
+_FLOATS = [v for spec in SENSORS.values() for v in spec.values if v not in ("airQuality", "name")]
+_SPLIT = (
+    _JOINED.replace(
+        "time_bucket(interval '6 hours', ts)",
+        "time_bucket(interval '48 hours', ts, timestamp '1970-01-01')",
+    )
+    .replace("cast(value as float)", f"cast(case {_SPECIAL_VALUE} else value end as float)")
+    + "select *, "
+    + ", ".join(
+        f"""case when isnan("{v}") then 'NaN' when "{v}" = 0 """
+        f"""then case when cast("{v}" as varchar) like '-%' then '-0.0' else '0.0' end """
+        f"""end as "{v}_text\""""
+        for v in _FLOATS
+    )
+    + " from combined"
+)
+ORACLES["combined_wide_split"] = _SPLIT
 
 # Statistics per device
 

@@ -34,22 +34,31 @@ def sensor_number() -> Column:
     return F.pmod(F.col("event_id"), F.lit(len(SENSORS)))
 
 
-def event_keys(events: DataFrame) -> DataFrame:
-    """Events with device and instant; six-hour instants make keys meet and repeat."""
+def event_keys(events: DataFrame, instants: str = "6 hours") -> DataFrame:
+    """Events with device and instant; instants hours apart make keys meet and repeat."""
     return events.withColumns(
-        {DEVICE: F.col("user_id").cast("string"), TIME: F.window("ts", "6 hours")["start"]}
+        {DEVICE: F.col("user_id").cast("string"), TIME: F.window("ts", instants)["start"]}
     )
 
 
-def event_sensors(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def special_number() -> Column:
+    """An event's value, but zeros of both signs and NaN in three quarters of the rows."""
+    kind = F.pmod(F.floor(F.col("event_id") / len(SENSORS)), F.lit(4))
+    special = F.when(kind == 0, F.lit(-0.0)).when(kind == 1, 0.0).when(kind == 2, float("nan"))
+    return special.otherwise(F.col("value"))
+
+
+def event_sensors(
+    spark: SparkSession, sf_dir: str, instants: str = "6 hours", special: bool = False
+) -> dict[str, DataFrame]:
     """The eight sensor tables, by ``event_id`` modulo eight."""
-    events = event_keys(table(spark, sf_dir, "events"))
-    number = F.col("value").cast("float")
+    events = event_keys(table(spark, sf_dir, "events"), instants)
+    number = (special_number() if special else F.col("value")).cast("float")
     text = F.col("value").cast("decimal(12,2)").cast("string")
     columns = {
         "airQuality": F.when(F.col("user_id") % 10 == 0, F.lit("BAD")).otherwise(text),
         "name": F.col("event_type"),
-        "lat": F.col("value").cast("float"),
+        "lat": number,
         "lon": (-F.col("value")).cast("float"),
     }
     return {

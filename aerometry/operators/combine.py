@@ -9,16 +9,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerometry.operators.skew import written_if_any
 from aerometry.schemas import DEVICE, KEY, TIME
+from aerometry.session import scratch_path
 
 # Most rows of the combined table that one task should make from one key.
 HOT_ROWS = 2_000_000
-# Most equal rows that travel as one row with a count through the split joins.
-COPIES_PER_ROW = 10_000
 
 
 def with_key(df: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
@@ -84,104 +83,135 @@ def combine_sensors(
 
     Equal to a chain of full outer joins. A chain reshuffles its growing result
     at every step, as the merged key of a full outer join has no known
-    partitioning. Here the distinct keys of all tables are shuffled once and
-    each table is left-joined to them, which keeps partitioning and order: the
-    wide rows are never moved.
-
-    Keys that make more than ``hot_rows`` rows are looked for first, with one
-    pass over the key columns, and split into cells that join separately.
-    ``None`` skips the look.
+    partitioning. Here the distinct keys of all tables are found once and each
+    table is left-joined to them, which keeps partitioning and order: the wide
+    rows are never moved.
+
+    The keys are counted per table in one pass over the key columns and kept as
+    a table, which is the left side of the joins. Keys that make more than
+    ``hot_rows`` rows leave it; they are split into cells of about that many
+    rows, which join separately. ``None`` splits nothing.
     """
     keyed = {name: with_key(df, key) for name, df in tables.items()}
-    hot = None if hot_rows is None else _hot_keys(key_counts(keyed, key), key, hot_rows)
+    counted = key_counts(keyed, key)
+    if hot_rows is None:
+        return _attach(counted.select(*key), keyed, key)
+    kept = scratch_path(counted.sparkSession, "key-counts")
+    counted.write.parquet(kept)
+    counts = counted.sparkSession.read.schema(counted.schema).parquet(kept)
+    sizes = _sizes(list(keyed))
+    hot = hot_keys(counts, list(keyed), key, hot_rows)
     if hot is None:
-        return _attach(keyed, key)
-    cells = {
-        name: _with_cells(df, hot, name, i, key) for i, (name, df) in enumerate(keyed.items())
-    }
-    wide = _attach(cells, [*key, "_cell"], owners_only=True)
-    copies = F.coalesce(*[F.col(f"_copies_{name}") for name in cells], F.lit(1))
-    values = [c for df in keyed.values() for c in df.columns if c not in key]
-    return wide.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select(*key, *values)
+        return _attach(counts.select(*key), keyed, key)
+    cold_tables = {name: df.join(hot, list(key), "left_anti") for name, df in keyed.items()}
+    cold_keys = counts.where(_product(sizes) <= hot_rows).select(*key)
+    cold = _attach(cold_keys, cold_tables, key)
+    return cold.unionByName(_split(keyed, hot, key))
 
 
-def _attach(
-    tables: Mapping[str, DataFrame], key: Sequence[str], owners_only: bool = False
-) -> DataFrame:
-    keys = []
+def _attach(keys: DataFrame, tables: Mapping[str, DataFrame], key: Sequence[str]) -> DataFrame:
+    wide = keys
     for df in tables.values():
-        own = df.where("_owner") if owners_only else df
-        keys.append(own.select(*key))
-    wide = reduce(DataFrame.union, keys).distinct()
-    for df in tables.values():
-        wide = wide.join(df.drop("_owner"), list(key), "left")
+        wide = wide.join(df, list(key), "left")
     return wide
 
 
-def _hot_keys(counts: DataFrame, key: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Hot keys with the table that leads the split and how it is split.
+def _sizes(names: Sequence[str]) -> list[Column]:
+    """Rows per table that a key contributes to the product."""
+    return [F.greatest(F.col(f"n_{name}"), F.lit(1)).cast("double") for name in names]
+
 
-    ``_lead`` is the table with the most rows of the key. Its rows are dealt to
-    ``_fan`` cells in chunks of ``_chunk`` rows; the other tables' rows go to
-    every cell. At most total/hot_rows keys are hot.
+def _product(sizes: Sequence[Column]) -> Column:
+    return reduce(Column.__mul__, sizes)
+
+
+def hot_keys(
+    counts: DataFrame, names: Sequence[str], key: Sequence[str], hot_rows: int
+) -> DataFrame | None:
+    """Keys that make more than ``hot_rows`` rows, and how each is split; None without any.
+
+    The rows a key makes are a grid with one side per table. Every side is cut
+    into chunks of at most s rows, where s is the largest number with which no
+    cell holds more than ``hot_rows``: small tables stay whole, large ones are
+    cut alike, and so rows are copied no more often than the cells need.
+    ``_chunk_<table>`` is the length of a table's chunks, ``_fan_<table>`` their
+    number. At most total/hot_rows keys are hot.
     """
-    names = [c for c in counts.columns if c.startswith("n_")]
-    rows = reduce(
-        Column.__mul__, [F.greatest(F.col(c), F.lit(1)).cast("double") for c in names]
-    )
-    largest = F.greatest(*[F.col(c) for c in names])
-    found = counts.select(
+    found = counts.where(_product(_sizes(names)) > hot_rows)
+    ordered = F.array_sort(F.array(*_sizes(names)))
+    side = None
+    below = F.lit(1.0)
+    for whole in range(len(names)):
+        # The smallest tables whole, the others cut at the same length.
+        length = F.pow(F.lit(float(hot_rows)) / below, F.lit(1.0 / (len(names) - whole)))
+        following = F.element_at(ordered, whole + 1)
+        side = (F if side is None else side).when(length <= following, length)
+        below = below * following
+    cut = found.withColumn("_side", F.greatest(F.floor(side + F.lit(1e-9)), F.lit(1)))
+    chunks = {
+        name: F.least(F.greatest(F.col(f"n_{name}"), F.lit(1)), F.col("_side")) for name in names
+    }
+    fans = {
+        name: F.ceil(F.greatest(F.col(f"n_{name}"), F.lit(1)) / F.col(f"_chunk_{name}"))
+        for name in names
+    }
+    cut = cut.withColumns({f"_chunk_{name}": c.cast("bigint") for name, c in chunks.items()})
+    cut = cut.withColumns({f"_fan_{name}": c.cast("bigint") for name, c in fans.items()})
+    parameters = [c for name in names for c in (f"_chunk_{name}", f"_fan_{name}")]
+    return written_if_any(cut.select(*key, *parameters), "hot-keys")
+
+
+def _split(tables: Mapping[str, DataFrame], hot: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The combined rows of the hot keys: every cell of every key joins separately."""
+    names = list(tables)
+    cells = hot.select(
         *key,
-        (F.array_position(F.array(*names), largest) - 1).cast("int").alias("_lead"),
-        largest.alias("_largest"),
-        rows.alias("_rows"),
-    ).where(F.col("_rows") > hot_rows)
-    chunk = F.greatest(F.lit(1.0), F.floor(hot_rows * F.col("_largest") / F.col("_rows")))
-    return written_if_any(
-        found.select(
-            *key,
-            "_lead",
-            chunk.cast("int").alias("_chunk"),
-            F.ceil(F.col("_largest") / chunk).cast("int").alias("_fan"),
-        ),
-        "hot-keys",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), _cells(names) - 1)).alias("_cell"),
     )
+    dealt = {name: dealt_rows(df, hot, name, names, key) for name, df in tables.items()}
+    return _attach(cells, dealt, [*key, "_cell"]).drop("_cell")
+
+
+def _cells(names: Sequence[str]) -> Column:
+    return reduce(Column.__mul__, [F.col(f"_fan_{name}") for name in names], F.lit(1).cast("bigint"))
 
 
-def _with_cells(
-    df: DataFrame, hot: DataFrame, name: str, index: int, key: Sequence[str]
+def dealt_rows(
+    df: DataFrame, hot: DataFrame, name: str, names: Sequence[str], key: Sequence[str]
 ) -> DataFrame:
-    """Give every row of table ``index`` the cell(s) in which it joins.
+    """A table's rows of the hot keys with ``_cell``, once for every cell of its chunk.
 
-    Cold rows join in cell 0. Equal rows of a hot key's leading table are
-    counted first, on the map side, so that a third of all rows being copies of
-    one row shrinks to a few chunks; the copies come back after the joins. The
-    cell depends on row content only, so a repeated task deals the same way.
+    Rows are numbered, so that chunks are full whatever the rows hold: first
+    within the part of a key that one task has written, then by adding up the
+    parts before it. The rows are written once; a repeated task numbers alike.
     """
-    columns = list(df.columns)
-    marked = df.join(hot, list(key), "left")
-    cold = F.col("_lead").isNull()
-    straight = marked.where(cold | (F.col("_lead") != index)).select(
-        *columns,
-        F.explode(
-            F.when(cold, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_fan") - 1))
-        ).alias("_cell"),
-        cold.alias("_owner"),
-        F.lit(None).cast("bigint").alias(f"_copies_{name}"),
-    )
-    together = F.least(F.col("_chunk"), F.lit(COPIES_PER_ROW))
-    dealt = (
-        df.join(hot.where(F.col("_lead") == index), list(key))
-        .groupBy(*columns, "_chunk", "_fan")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / together) - 1)))
-        .select(
-            *columns,
-            F.pmod(F.xxhash64(*columns, "_part"), F.col("_fan")).cast("int").alias("_cell"),
-            F.lit(True).alias("_owner"),
-            F.least(together, F.col("_n") - F.col("_part") * together)
-            .cast("bigint")
-            .alias(f"_copies_{name}"),
+    at = names.index(name)
+    path = scratch_path(df.sparkSession, "hot-rows")
+    marked = df.join(hot, list(key)).withColumn("_at", F.monotonically_increasing_id())
+    marked.write.parquet(path)
+    rows = df.sparkSession.read.schema(marked.schema).parquet(path)
+    rows = rows.withColumn("_part", F.shiftright("_at", 33))
+    parts = rows.groupBy(*key, "_part").agg(F.count("*").alias("_n"))
+    along = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(along), F.lit(0)))
+    within = Window.partitionBy(*key, "_part").orderBy("_at")
+    numbered = (
+        rows.withColumn("_number", F.row_number().over(within) - 1)
+        .join(parts.drop("_n"), [*key, "_part"])
+        .withColumn(
+            "_own", F.floor((F.col("_number") + F.col("_before")) / F.col(f"_chunk_{name}"))
         )
     )
-    return straight.union(dealt)
+    own = F.col(f"_fan_{name}")
+    inner = reduce(
+        Column.__mul__, [F.col(f"_fan_{n}") for n in names[at + 1 :]], F.lit(1).cast("bigint")
+    )
+    others = F.sequence(F.lit(0).cast("bigint"), (_cells(names) / own).cast("bigint") - 1)
+    cell = (
+        F.floor(F.col("_other") / inner) * (inner * own)
+        + F.col("_own") * inner
+        + F.pmod(F.col("_other"), inner)
+    )
+    return numbered.withColumn("_other", F.explode(others)).select(
+        *df.columns, cell.cast("bigint").alias("_cell")
+    )

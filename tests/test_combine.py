@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from aerometry.operators.combine import (
     combine_sensors,
+    dealt_rows,
+    hot_keys,
     hourly_measurements,
     key_counts,
     key_counts_long,
@@ -16,7 +18,7 @@ from aerometry.operators.combine import (
 from aerometry.schemas import KEY
 
 SMALL = settings(
-    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 
@@ -28,7 +30,8 @@ def instant(spark, data):
 def tables_of(spark, contents):
     made = {}
     for name, data in contents.items():
-        df = spark.createDataFrame(instant(spark, data), f"deviceId string, t string, {name} int")
+        data = [(d, h, None if v is None else float(v)) for d, h, v in data]
+        df = spark.createDataFrame(instant(spark, data), f"deviceId string, t string, {name} double")
         made[name] = df.select("deviceId", F.col("t").cast("timestamp").alias("timestamp"), name)
     return made
 
@@ -40,7 +43,9 @@ def joined(tables):
 
 
 reading = st.tuples(
-    st.sampled_from(["a", "b", None]), st.sampled_from([0, 1, None]), st.sampled_from([1, 2, None])
+    st.sampled_from(["a", "b", None]),
+    st.sampled_from([0, 1, None]),
+    st.sampled_from([1.5, 0.0, -0.0, float("nan"), None]),
 )
 three_tables = st.fixed_dictionaries(
     {name: st.lists(reading, max_size=8) for name in ("x", "y", "z")}
@@ -53,10 +58,12 @@ def test_combining_equals_outer_join_chain(spark, contents):
     tables = tables_of(spark, contents)
     expected = joined(tables)
     columns = expected.columns
-    want = rows(expected)
-    assert rows(combine_sensors(tables), *columns) == want
+    # Written out, so that NaN equals NaN and zeros of either sign differ.
+    want = list(map(repr, rows(expected)))
+    assert list(map(repr, rows(combine_sensors(tables), *columns))) == want
     for hot_rows in (1, 3):
-        assert rows(combine_sensors(tables, hot_rows=hot_rows), *columns) == want
+        found = rows(combine_sensors(tables, hot_rows=hot_rows), *columns)
+        assert list(map(repr, found)) == want
 
 
 @SMALL
@@ -167,3 +174,45 @@ def test_product_beyond_bigint_is_an_error(spark):
     )
     with pytest.raises(Exception, match="exceed bigint"):
         total_measurements(counts).collect()
+
+
+def test_grid_keeps_cells_small_and_copies_few(spark):
+    """One key of 1,000 x 1,000 rows: no cell above the limit, copies far below the output."""
+    at = F.timestamp_seconds(F.lit(0)).alias("timestamp")
+    tables = {
+        name: spark.range(1000).select(F.lit("hot").alias("deviceId"), at, F.col("id").alias(name))
+        for name in ("x", "y")
+    }
+    hot = hot_keys(key_counts(tables), list(tables), KEY, 500)
+    dealt = {name: dealt_rows(df, hot, name, list(tables), KEY) for name, df in tables.items()}
+    copies = sum(df.count() for df in dealt.values())
+    cells = dealt["x"].join(dealt["y"], [*KEY, "_cell"]).groupBy("_cell").count()
+    assert cells.agg(F.max("count")).first()[0] <= 500
+    assert copies <= 100_000
+    assert combine_sensors(tables, hot_rows=500).count() == 1_000_000
+
+
+def test_three_large_tables_share_the_split(spark):
+    """The product of two tables alone exceeds the limit; all three are cut."""
+    at = F.timestamp_seconds(F.lit(0)).alias("timestamp")
+    tables = {
+        name: spark.range(n).select(F.lit("hot").alias("deviceId"), at, F.col("id").alias(name))
+        for name, n in (("x", 30), ("y", 25), ("z", 20), ("w", 0))
+    }
+    hot = hot_keys(key_counts(tables), list(tables), KEY, 64).first()
+    assert (hot["_chunk_x"], hot["_chunk_y"], hot["_chunk_z"], hot["_chunk_w"]) == (4, 4, 4, 1)
+    wide = combine_sensors(tables, hot_rows=64)
+    assert wide.count() == 15_000 and wide.distinct().count() == 15_000
+
+
+def test_tables_are_read_twice_where_nothing_is_hot(spark):
+    tables = {
+        name: spark.range(5).select(
+            F.col("id").cast("string").alias("deviceId"),
+            F.timestamp_seconds("id").alias("timestamp"),
+            F.col("id").alias(name),
+        )
+        for name in ("x", "y")
+    }
+    plan = combine_sensors(tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range") == 2
