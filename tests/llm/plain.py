@@ -4,6 +4,22 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+PROSE = "the cat sat on the mat and looked at the moon while rain fell on old roofs"
+
+#: Null, empty, blank, unusual white space, repeated rows, a missing identifier.
+TEXTS = [
+    (1, None),
+    (2, ""),
+    (3, " \t\n\x0b\x0c\r "),
+    (4, PROSE),
+    (4, PROSE),
+    (5, "one word \x1cand  another"),
+    (6, "É" * 3000 + " " + "x" * 5000),
+    (None, "no identifier, password = hunter2hunter2"),
+    (7, "mail me@here.org or +1 (555) 010-9999 and\npassword: abcdefgh12"),
+    (8, " ".join(f"w{i % 97}" for i in range(3000))),
+]
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 

@@ -6,7 +6,8 @@ import numpy as np
 import plain
 import pyarrow as pa
 import pytest
-from conftest import TEXTS
+from given import documents, edges, empty  # noqa: F401
+from plain import TEXTS
 
 from aerometry.llm import minhash, substring_dedup
 from aerometry.llm.recompression import Windows, anchors

@@ -6,7 +6,8 @@ import zlib
 import numpy as np
 import plain
 import pytest
-from conftest import TEXTS
+from given import documents, edges, empty, labels  # noqa: F401
+from plain import TEXTS
 
 from aerometry.llm import decision_list, hamming_search, preference, ranking
 

@@ -5,7 +5,8 @@ import random
 import plain
 import pyarrow as pa
 import pytest
-from conftest import TEXTS
+from given import documents, edges, empty  # noqa: F401
+from plain import TEXTS
 
 from aerometry.llm import pii, secret_scan
 from aerometry.llm.automata import Automaton

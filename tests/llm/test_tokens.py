@@ -6,9 +6,9 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import TEXTS
-from plain import sha
+from plain import TEXTS, sha
 from tokenizers import Tokenizer
+from given import documents, edges, empty  # noqa: F401
 
 from aerometry.llm import bpe_automaton, packing
 
