@@ -210,7 +210,7 @@ ORACLES["city_temperature_valid"] = (
 ORACLES["low_temp_alarm"] = _BY_WINDOW + f"select {_AVERAGE} from averages where {_LOW}"
 ORACLES["alarm_cities"] = _BY_WINDOW + f"select distinct city from averages where {_LOW}"
 ORACLES["alarm_notice"] = (
-    _BY_WINDOW + "select distinct concat('ALARM: Average temperature below 20 in ', city) "
+    _BY_WINDOW + "select distinct concat('Low temperature: the mean in ', city, ' is below 20') "
     f"as message from averages where {_LOW}"
 )
 
@@ -283,30 +283,64 @@ select list_extract({_NAMES}, cast(k + 1 as integer)) as sensor, "deviceId", "ti
        case when k <> 0 then cast(value as float) end as reading
 from keyed"""
 
-_BY_DEVICE = 'select distinct "deviceId" from keyed where k = {}'
-_BY_MONTH = 'select distinct year("timestamp"), month("timestamp") from keyed where k = {}'
 _INDEX = {name: i for i, name in enumerate(SENSORS)}
-_RESULT_ROWS = {
-    "total_measurements": 'select distinct "deviceId" from keyed',
-    "hourly_measurements": 'select distinct "deviceId", hour("timestamp") from keyed',
-    "max_temperature": _BY_DEVICE.format(_INDEX["temperature"]),
-    "min_atmospheric_pressure": _BY_DEVICE.format(_INDEX["atmospheric_pressure"]),
-    "avg_pressure_by_device": _BY_DEVICE.format(_INDEX["atmospheric_pressure"]),
-    "stddev_humidity": _BY_DEVICE.format(_INDEX["humidity"]),
-    "monthly_temperature": _BY_MONTH.format(_INDEX["temperature"])
-    + f""" and year("timestamp") = {EVENT_YEAR} and cast(value as float) > -100
-           and cast(value as float) < 100""",
-    "monthly_air_quality": _BY_MONTH.format(_INDEX["air_quality"]),
-    "monthly_pressure": _BY_MONTH.format(_INDEX["atmospheric_pressure"]),
-    "monthly_humidity": _BY_MONTH.format(_INDEX["humidity"]),
-    "monthly_pm1": _BY_MONTH.format(_INDEX["pm_1"]),
-    "monthly_pm10": _BY_MONTH.format(_INDEX["pm_10"]),
-    "monthly_pm25": _BY_MONTH.format(_INDEX["pm_2_5"]),
+
+
+def _of(sensor: str, value: str = "cast(value as float) as x") -> str:
+    return (
+        f"""(select "deviceId", year("timestamp") as year, month("timestamp") as month, {value} """
+        f"from keyed where k = {_INDEX[sensor]})"
+    )
+
+
+def _per_device(sensor: str, aggregate: str) -> str:
+    return f"""select "deviceId", {aggregate} from {_of(sensor)} group by 1"""
+
+
+def _per_month(sensor: str, label: str) -> str:
+    return (
+        f"select cast(year as double) as year, cast(month as double) as month, "
+        f"round(avg(x), 6) as avg_{label}, min(x) as min_{label}, max(x) as max_{label} "
+        f"from {_of(sensor)} group by 1, 2"
+    )
+
+
+_STDDEV = "cast(stddev_samp(cast(x as double)) as float) as stddev_humidity"
+_AIR = _of("air_quality", f"{_SENSOR_COLUMNS['airQuality']} as x")
+_RESULT_SQL = {
+    "total_measurements": """select "deviceId", cast(count(*) as double) as total_measurements
+        from combined group by 1""",
+    "hourly_measurements": """select "deviceId", cast(hour("timestamp") as double) as hour,
+        cast(count(*) as double) as num_measurements from combined group by 1, 2""",
+    "max_temperature": _per_device("temperature", "max(x) as max_temperature"),
+    "min_atmospheric_pressure": _per_device(
+        "atmospheric_pressure", "min(x) as min_atmospheric_pressure"
+    ),
+    "avg_pressure_by_device": _per_device(
+        "atmospheric_pressure", "round(avg(x), 6) as avg_atmospheric_pressure"
+    ),
+    "stddev_humidity": _per_device("humidity", _STDDEV),
+    "monthly_temperature": f"""select cast(month as double) as month,
+        round(avg(x), 6) as avg_temperature, min(x) as min_temperature, max(x) as max_temperature
+        from {_of("temperature")} where year = {EVENT_YEAR} and x > -100 and x < 100 group by 1""",
+    "monthly_air_quality": f"""select cast(year as double) as year, cast(month as double) as month,
+        round(avg(try_cast(x as double)), 6) as avg_air_quality, min(x) as min_air_quality,
+        max(x) as max_air_quality from {_AIR} group by 1, 2""",
+    "monthly_pressure": _per_month("atmospheric_pressure", "atmospheric_pressure"),
+    "monthly_humidity": _per_month("humidity", "humidity"),
+    "monthly_pm1": _per_month("pm_1", "pm1"),
+    "monthly_pm10": _per_month("pm_10", "pm10"),
+    "monthly_pm25": _per_month("pm_2_5", "pm25"),
 }
-ORACLES["batch_pipeline"] = f"with {_KEYED} " + " union all ".join(
-    f"select '{name}' as result, count(*) as n from ({rows})"
-    for name, rows in _RESULT_ROWS.items()
-)
+
+
+def _together(label: str, tables: dict[str, str]) -> str:
+    return " union all by name ".join(
+        f"(select '{name}' as {label}, * from ({sql}))" for name, sql in tables.items()
+    )
+
+
+ORACLES["batch_pipeline"] = _JOINED + _together("result", _RESULT_SQL)
 
 # Streams
 
@@ -325,6 +359,31 @@ ORACLES["stream_ingest"] = f"""with ordered as (
 select cast(user_id as varchar) as "deviceId", date_trunc('day', ts) + interval '0 seconds' as time,
        {_NUMBERS}, {_CITY} as city
 from ordered where previous is null or previous <> clock"""
-ORACLES["stream_all"] = f"""select 'aggs' as sink, count(*) as n from ({ORACLES["window_rollup"]})
-union all select 'alarms', count(*) from ({ORACLES["low_temp_alarm"]})
-union all select 'alarmdiffs', count(*) from ({ORACLES["stream_change_alarm"]})"""
+ORACLES["stream_low_temp_alarm_closed"] = (
+    f"with {_READINGS}, {_averages('time')} select {_AVERAGE} from averages where {_LOW} and {_CLOSED}"
+)
+ORACLES["stream_replay"] = (
+    f"with {_READINGS}, averages as (select {_window('time')}, city, avg(temperature) as a, "
+    f"count(temperature) as n_temperature from readings where time is not null group by 1, 2, 3) "
+    f"select {_AVERAGE}, n_temperature from averages where {_CLOSED}"
+)
+ORACLES["change_notice"] = (
+    _CHANGES + f"select coalesce(city, 'unknown city') as city, count(*) as notices from changes "
+    f"where c >= {TEMPERATURE_CHANGE} and {_CLOSED} group by 1"
+)
+ORACLES["stream_all"] = _together(
+    "sink",
+    {
+        "aggs": ORACLES["window_rollup"],
+        "alarms": ORACLES["low_temp_alarm"],
+        "alarmdiffs": ORACLES["stream_change_alarm"],
+    },
+)
+ORACLES["stream_all_closed"] = _together(
+    "sink",
+    {
+        "aggs": ORACLES["stream_rollup_append"],
+        "alarms": ORACLES["stream_low_temp_alarm_closed"],
+        "alarmdiffs": ORACLES["stream_change_alarm"],
+    },
+)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +19,11 @@ from aerometry.session import pin_utc, scratch_path, streaming_session
 from aerometry.sinks import tables as sinks
 from aerometry.sinks.messages import FilePublisher
 from aerometry.sources import feeds
+from aerometry.sources.messages import MessageFiles, read_messages
 from aerometry.sources.sensors import read_sensors, sensor_path
 from aerometry.streaming import alarms, changes
+from aerometry.streaming.sinks import start_per_batch
+from aerometry.streaming.windows import ClosedWindows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -413,27 +416,47 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole batch pipeline, from CSV sensor files to rows per written result."""
+    """The whole batch pipeline, from CSV sensor files to all rows of all written results."""
     base = scratch_path(spark, "batch")
     for name, df in tables.event_sensors(spark, sf_dir).items():
         sinks.write_table(df, sensor_path(SENSORS[name], f"{base}/raw"))
     batch.run_batch(
         spark, f"{base}/raw", f"{base}/out", file_format="parquet", year=EVENT_YEAR
     )
-    counts = [
-        spark.read.parquet(f"{base}/out/{name}.parquet").agg(
-            F.lit(name).alias("result"), F.count("*").alias("n")
-        )
-        for name in batch.RESULTS
-    ]
-    return feeds.fan_in(*counts)
+    return _contents(spark, "result", {r: f"{base}/out/{r}.parquet" for r in batch.RESULTS})
+
+
+def _contents(spark: SparkSession, label: str, paths: Mapping[str, str]) -> DataFrame:
+    """All rows of several tables, with the table's name; columns a table lacks are NULL.
+
+    Whole numbers become doubles, as other readers write missing ones differently.
+    """
+    parts = []
+    for name, path in paths.items():
+        rows = comparable(spark.read.parquet(path))
+        whole = [c for c, kind in rows.dtypes if kind in ("int", "bigint")]
+        rows = rows.withColumns({c: F.col(c).cast("double") for c in whole})
+        parts.append(rows.withColumn(label, F.lit(name)))
+    return feeds.fan_in(*parts)
 
 
 # Streams: run to the end of the source, then read what they wrote
 
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.event_messages(tables.events_stream(streaming_session(spark), sf_dir))
+def _landed(spark: SparkSession, rows: DataFrame, newest_first: bool = False) -> str:
+    """Rows of ``events`` as four lots of files that arrive one after the other."""
+    path = scratch_path(spark, "landed")
+    lots = [F.floor((F.dayofmonth("ts") - 1) / 8) == lot for lot in range(4)]
+    for lot in reversed(lots) if newest_first else lots:
+        rows.where(lot).drop("ts").write.mode("append").parquet(path)
+    return path
+
+
+def _messages(spark: SparkSession, sf_dir: str, newest_first: bool = False) -> DataFrame:
+    """Events as a message stream, one file per trigger."""
+    events = tables.table(spark, sf_dir, "events")
+    path = _landed(spark, tables.event_messages(events, keep=("ts",)), newest_first)
+    return read_messages(streaming_session(spark), MessageFiles(path, max_per_trigger=1))
 
 
 def _reading_stream(spark: SparkSession, sf_dir: str, fields: Sequence[str]) -> DataFrame:
@@ -461,7 +484,8 @@ def stream_low_temp_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_rollup_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = _reading_stream(spark, sf_dir, ("time", *READING_VALUES))
-    return comparable(_result(spark, alarms.start_closed_rollup, readings, delay=DELAY))
+    found = _result(spark, alarms.start_closed_rollup, readings, delay=DELAY)
+    return comparable(found.drop("epoch"))
 
 
 @query
@@ -471,11 +495,59 @@ def stream_change_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(found.drop("epoch"))
 
 
+@query
+def stream_low_temp_alarm_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readings = _reading_stream(spark, sf_dir, rollup.CHANGE_FIELDS)
+    found = _result(spark, alarms.start_closed_low_temperature_alarm, readings, delay=DELAY)
+    return comparable(found.drop("epoch"))
+
+
+@query
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lots replayed newest first: closed windows and late readings hold every reading."""
+    base = scratch_path(spark, "stream")
+    messages = _messages(spark, sf_dir, newest_first=True)
+    readings = decode_readings(messages, fields=rollup.CHANGE_FIELDS)
+    windows = ClosedWindows(
+        ("temperature",), f"{base}/checkpoint", f"{base}/late", ("city",), DELAY
+    )
+    start_per_batch(readings, windows.close, f"{base}/closed", f"{base}/checkpoint").awaitTermination()
+    closed = spark.read.parquet(f"{base}/closed").drop("epoch")
+    late = windows.partial(spark.read.parquet(f"{base}/late"))
+    return comparable(windows.means(windows.merge([closed, late]), "n_temperature"))
+
+
+@query
+def change_notice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices of change alarms, as the stream writes them."""
+    readings = _reading_stream(spark, sf_dir, rollup.CHANGE_FIELDS)
+    base = scratch_path(spark, "stream")
+    alarms.start_temperature_change_alarm(
+        readings,
+        f"{base}/out",
+        f"{base}/checkpoint",
+        delay=DELAY,
+        notices_path=f"{base}/notices",
+    ).awaitTermination()
+    city = F.regexp_extract("message", "the mean in (.*) moved by", 1)
+    notices = spark.read.parquet(f"{base}/notices").select(city.alias("city"))
+    return notices.groupBy("city").agg(F.count("*").alias("notices"))
+
+
 @query
 def stream_change_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "stream")
+    events = tables.table(spark, sf_dir, "events")
+    path = _landed(spark, events.withColumn("at", F.col("ts")))
+    landed = (
+        streaming_session(spark)
+        .readStream.schema(tables.EVENT_COLUMNS.replace("ts ", "at "))
+        .option("maxFilesPerTrigger", "1")
+        .parquet(path)
+        .withColumnRenamed("at", "ts")
+    )
     changes.start_changed_readings(
-        _typed_events(tables.events_stream(streaming_session(spark), sf_dir)),
+        _typed_events(landed),
         "event_type",
         (TIME, "event_id"),
         FilePublisher(f"{base}/out").publish,
@@ -488,8 +560,12 @@ def stream_change_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "stream")
+    events = tables.table(spark, sf_dir, "events")
+    path = _landed(spark, tables.event_payloads(events, keep=("ts",)))
     changes.start_ingest(
-        tables.event_payloads(tables.events_stream(streaming_session(spark), sf_dir)),
+        feeds.read_payload_table(
+            streaming_session(spark), path, stream=True, maxFilesPerTrigger="1"
+        ),
         FilePublisher(f"{base}/out"),
         f"{base}/rejects",
         f"{base}/checkpoint",
@@ -506,10 +582,15 @@ def stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "stream")
     for running in alarms.start_all(_messages(spark, sf_dir), base, delay=DELAY):
         running.awaitTermination()
-    counts = [
-        spark.read.parquet(f"{base}/{sink}").agg(
-            F.lit(sink).alias("sink"), F.count("*").alias("n")
-        )
-        for sink in ("aggs", "alarms", "alarmdiffs")
-    ]
-    return feeds.fan_in(*counts)
+    found = {sink: f"{base}/{sink}" for sink in ("aggs", "alarms", "alarmdiffs")}
+    return _contents(spark, "sink", found).drop("epoch")
+
+
+@query
+def stream_all_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As stream_all, with the bounded forms of rollup and alarm."""
+    base = scratch_path(spark, "stream")
+    for running in alarms.start_all(_messages(spark, sf_dir), base, delay=DELAY, closed=True):
+        running.awaitTermination()
+    found = {sink: f"{base}/{sink}" for sink in ("aggs", "alarms", "alarmdiffs")}
+    return _contents(spark, "sink", found).drop("epoch")

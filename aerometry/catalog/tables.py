@@ -7,6 +7,8 @@ their watermark and cast.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a stream. The pattern matches the one path, be it file or folder."""
-    return spark.readStream.schema(EVENT_COLUMNS).parquet(f"{sf_dir}/events.parque[t]")
-
-
 def sensor_number() -> Column:
     """Which of the eight sensors an event belongs to."""
     return F.pmod(F.col("event_id"), F.lit(len(SENSORS)))
@@ -123,7 +120,7 @@ def reading_values() -> dict[str, Column]:
     return {name: scaled[name] for name in READING_VALUES}
 
 
-def event_messages(events: DataFrame) -> DataFrame:
+def event_messages(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Events as envelopes of JSON readings; every fiftieth user sends garbage."""
     readings = events.select(
         F.col("user_id").cast("string").alias(DEVICE),
@@ -132,16 +129,18 @@ def event_messages(events: DataFrame) -> DataFrame:
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("time"),
         *[number.alias(name) for name, number in reading_values().items()],
         (F.col("user_id") % 50 == 0).alias("garbage"),
+        *keep,
     )
-    return encode_readings(readings, keep=(TIME, "garbage")).select(
+    return encode_readings(readings, keep=(TIME, "garbage", *keep)).select(
         F.when(F.col("garbage"), F.lit("garbage").cast("binary"))
         .otherwise(F.col("value"))
         .alias("value"),
         TIME,
+        *keep,
     )
 
 
-def event_payloads(events: DataFrame) -> DataFrame:
+def event_payloads(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Events as raw payloads, in arrival order of ``seq``.
 
     Users of the last decades send what must be rejected: a header only, a word
@@ -168,4 +167,5 @@ def event_payloads(events: DataFrame) -> DataFrame:
         F.when(kind == 6, header).otherwise(F.concat_ws("\n", header, line)).alias("body"),
         F.col("ts").cast("timestamp").alias("arrived"),
         F.col("event_id").alias("seq"),
+        *keep,
     )

@@ -88,7 +88,7 @@ def alarm_notice(alarms: DataFrame, threshold: float = LOW_TEMPERATURE) -> DataF
     """One message per city with a low-temperature alarm; none if there is no alarm."""
     return alarm_cities(alarms).select(
         F.format_string(
-            f"ALARM: Average temperature below {threshold:g} in %s",
+            f"Low temperature: the mean in %s is below {threshold:g}",
             F.coalesce("city", F.lit("unknown city")),
         ).alias("message")
     )
@@ -98,7 +98,7 @@ def change_notice(changes: DataFrame) -> DataFrame:
     """One message per change alarm."""
     return changes.select(
         F.format_string(
-            "ALARM: Temperature in %s changed by %s in the last window.",
+            "Temperature change: the mean in %s moved by %s since the window before",
             F.coalesce("city", F.lit("unknown city")),
             F.col("temperature_change").cast("string"),
         ).alias("message")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -10,16 +11,25 @@ from aerometry.session import streaming_session
 from aerometry.sinks.messages import FilePublisher, KafkaPublisher
 from aerometry.sources.feeds import read_payload_table
 from aerometry.sources.messages import KafkaTopic, MessageFiles, read_messages
-from aerometry.streaming.alarms import start_all
+from aerometry.streaming.alarms import DELAY, start_all
 from aerometry.streaming.changes import start_ingest
 
+#: Sizes of a micro-batch that a long replay is cut into.
+FILES_PER_TRIGGER = 1000
+MESSAGES_PER_TRIGGER = 50_000_000
+
 
 def run_alarms(
-    spark: SparkSession, source: KafkaTopic | MessageFiles, base: str, trigger: dict
+    spark: SparkSession,
+    source: KafkaTopic | MessageFiles,
+    base: str,
+    trigger: dict,
+    delay: str = DELAY,
+    closed: bool = False,
 ) -> None:
     """Rollup and both alarms until one of the queries ends."""
     session = streaming_session(spark)
-    start_all(read_messages(session, source), base, trigger)
+    start_all(read_messages(session, source), base, trigger, delay, closed)
     session.streams.awaitAnyTermination()
 
 
@@ -29,7 +39,7 @@ def run_ingest(
     publisher: KafkaPublisher | FilePublisher,
     base: str,
     trigger: dict,
-    files_per_trigger: int = 1000,
+    files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> None:
     """Publish changed readings from landed payloads until stopped."""
     payloads = read_payload_table(
@@ -40,7 +50,8 @@ def run_ingest(
     ).awaitTermination()
 
 
-def main() -> None:
+def arguments(words: Sequence[str] | None = None) -> argparse.Namespace:
+    """Parsed and checked arguments; a missing place is an error, not a folder called None."""
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("pipeline", choices=("alarms", "ingest"))
     parser.add_argument("base", help="where results and checkpoints go")
@@ -49,19 +60,44 @@ def main() -> None:
     parser.add_argument("--files", help="folder of messages, in place of a topic")
     parser.add_argument("--feed", help="folder of landed payloads")
     parser.add_argument("--every", default="10 seconds", help="time between triggers")
-    args = parser.parse_args()
+    parser.add_argument("--delay", default=DELAY, help="how long windows wait for readings")
+    parser.add_argument(
+        "--closed", action="store_true", help="bounded rollup and alarm, by reading time"
+    )
+    parser.add_argument(
+        "--max-per-trigger", type=int, help="messages of a topic, or files, in one micro-batch"
+    )
+    args = parser.parse_args(words)
+    if (args.servers is None) == (args.files is None):
+        parser.error("give either --servers or --files")
+    if args.pipeline == "ingest" and args.feed is None:
+        parser.error("ingest needs --feed")
+    if args.max_per_trigger is None:
+        files = args.pipeline == "ingest" or args.servers is None
+        args.max_per_trigger = FILES_PER_TRIGGER if files else MESSAGES_PER_TRIGGER
+    if args.max_per_trigger < 1:
+        parser.error("--max-per-trigger must be positive")
+    return args
+
+
+def main() -> None:
+    args = arguments()
     spark = SparkSession.builder.getOrCreate()
     trigger = {"processingTime": args.every}
+    by_topic = args.servers is not None
     if args.pipeline == "alarms":
-        by_topic = args.servers is not None
-        source = KafkaTopic(args.servers, args.topic) if by_topic else MessageFiles(args.files)
-        run_alarms(spark, source, args.base, trigger)
+        limit = {"max_per_trigger": args.max_per_trigger}
+        source = (
+            KafkaTopic(args.servers, args.topic, **limit)
+            if by_topic
+            else MessageFiles(args.files, **limit)
+        )
+        run_alarms(spark, source, args.base, trigger, args.delay, args.closed)
     else:
-        by_topic = args.servers is not None
         publisher = (
             KafkaPublisher(args.servers, args.topic) if by_topic else FilePublisher(args.files)
         )
-        run_ingest(spark, args.feed, publisher, args.base, trigger)
+        run_ingest(spark, args.feed, publisher, args.base, trigger, args.max_per_trigger)
 
 
 if __name__ == "__main__":

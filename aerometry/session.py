@@ -22,17 +22,13 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     Window state lives in RocksDB, which does not need it all in memory. Setting
     that on a sibling keeps the caller's session as it was. The number of state
     partitions follows ``spark.sql.shuffle.partitions`` and is fixed by the
-    first start; a local master needs no more than it has threads.
+    first start.
     """
     sibling = spark.newSession()
     for name, value in spark.conf.getAll.items():
         if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
             sibling.conf.set(name, value)
     pin_utc(sibling).conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    if spark.sparkContext.master.startswith("local"):
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        threads = spark.sparkContext.defaultParallelism
-        sibling.conf.set("spark.sql.shuffle.partitions", min(partitions, threads))
     return sibling
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aerometry.functions.readings import decode_readings
@@ -17,6 +16,7 @@ from aerometry.operators.rollup import (
     TEMPERATURE_CHANGE,
     WINDOW_LENGTH,
     alarm_notice,
+    change_notice,
     city_temperature,
     low_temperature,
     temperature_changes,
@@ -24,16 +24,11 @@ from aerometry.operators.rollup import (
 )
 from aerometry.schemas import READING_VALUES
 from aerometry.streaming.memory import start_remembering
-from aerometry.streaming.sinks import UNTIL_READ, start_appending, start_replacing
+from aerometry.streaming.sinks import UNTIL_READ, start_per_batch, start_replacing
+from aerometry.streaming.windows import ClosedWindows
 
-
-def with_reading_time(readings: DataFrame, delay: str) -> DataFrame:
-    """The reading's own time as column ``time``, watermarked.
-
-    Windows close once a reading ``delay`` past their end is seen, which bounds
-    the state; readings for closed windows are dropped.
-    """
-    return readings.withColumn("time", F.col("data.time")).withWatermark("time", delay)
+#: How far behind the latest reading a window stays open.
+DELAY = "5 minutes"
 
 
 def start_rollup(
@@ -48,13 +43,47 @@ def start_closed_rollup(
     path: str,
     checkpoint: str,
     trigger: dict = UNTIL_READ,
-    delay: str = "5 minutes",
+    delay: str = DELAY,
+    late_path: str | None = None,
 ) -> StreamingQuery:
-    """Rollup by reading time with bounded state: each window is written once, when closed."""
-    return start_appending(
-        window_rollup(with_reading_time(readings, delay), "time"), path, checkpoint, trigger
+    """Rollup by reading time: each window is written once, when closed; late readings are kept."""
+    windows = ClosedWindows(READING_VALUES, checkpoint, late_path or f"{path}_late", (), delay)
+    extremes = [f"{kind}_{v}" for kind in ("max", "min") for v in READING_VALUES]
+
+    def step(batch: DataFrame, epoch: int) -> DataFrame:
+        return windows.means(windows.close(batch, epoch), *extremes)
+
+    return start_per_batch(readings, step, path, checkpoint, trigger)
+
+
+def start_closed_low_temperature_alarm(
+    readings: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict = UNTIL_READ,
+    delay: str = DELAY,
+    threshold: float = LOW_TEMPERATURE,
+    notices_path: str | None = None,
+    late_path: str | None = None,
+) -> StreamingQuery:
+    """Low-temperature alarms of closed windows of reading time, each written once."""
+    windows = ClosedWindows(
+        ("temperature",), checkpoint, late_path or f"{path}_late", ("city",), delay
     )
 
+    def step(batch: DataFrame, epoch: int) -> DataFrame:
+        found = low_temperature(windows.means(windows.close(batch, epoch)), threshold)
+        _write_notices(alarm_notice(found, threshold), notices_path, epoch)
+        return found
+
+    return start_per_batch(readings, step, path, checkpoint, trigger)
+
+
+def _write_notices(messages: DataFrame, path: str | None, epoch: int) -> None:
+    """Messages of one micro-batch, if they are wanted and there are any."""
+    if path is not None and not messages.isEmpty():
+        messages.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
 
 def start_low_temperature_alarm(
     readings: DataFrame,
@@ -80,23 +109,32 @@ def start_temperature_change_alarm(
     path: str,
     checkpoint: str,
     trigger: dict = UNTIL_READ,
-    delay: str = "5 minutes",
+    delay: str = DELAY,
     threshold: float = TEMPERATURE_CHANGE,
     length: str = WINDOW_LENGTH,
+    notices_path: str | None = None,
+    late_path: str | None = None,
 ) -> StreamingQuery:
     """Change alarms over windows of reading time: each written once, and nothing else.
 
-    A window is compared when it closes. The watermark hands closed windows over
-    in time order from trigger to trigger; a city's last mean is remembered.
+    A window is compared when it closes. Windows close in time order from batch to
+    batch; a city's last mean is remembered.
     """
+    windows = ClosedWindows(
+        ("temperature",), checkpoint, late_path or f"{path}_late", ("city",), delay, length
+    )
 
-    def compare(closed: DataFrame, before: DataFrame | None, epoch: int) -> DataFrame:
+    def compare(batch: DataFrame, before: DataFrame | None, epoch: int) -> DataFrame:
+        closed = windows.means(windows.close(batch, epoch))
         found = temperature_changes(closed, threshold, before, HOT_ROWS)
         found.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        if notices_path is not None:
+            written = batch.sparkSession.read.schema(found.schema).parquet(f"{path}/epoch={epoch}")
+            _write_notices(change_notice(written), notices_path, epoch)
         return closed
 
     return start_remembering(
-        city_temperature(with_reading_time(readings, delay), "time", length),
+        readings,
         "avg_temperature",
         ("window.start",),
         "city",
@@ -104,16 +142,23 @@ def start_temperature_change_alarm(
         checkpoint,
         trigger,
         count_missing=True,
+        schema="city string, avg_temperature double",
     )
 
 
 def start_all(
-    messages: DataFrame, base: str, trigger: dict = UNTIL_READ, delay: str = "5 minutes"
+    messages: DataFrame,
+    base: str,
+    trigger: dict = UNTIL_READ,
+    delay: str = DELAY,
+    closed: bool = False,
 ) -> list[StreamingQuery]:
     """Rollup, low-temperature alarm and change alarm, side by side over one stream.
 
     Each query reads the source for itself and so decodes only the fields it
-    needs. Messages that come with ``data`` are taken as decoded.
+    needs. Messages that come with ``data`` are taken as decoded. By default the
+    first two hold every window seen, by arrival, and rewrite their tables every
+    trigger; ``closed`` takes their bounded forms, by reading time.
     """
 
     def readings(fields: Sequence[str]) -> DataFrame:
@@ -121,22 +166,27 @@ def start_all(
             return messages
         return decode_readings(messages, fields=fields)
 
+    def places(name: str) -> tuple[str, str, dict]:
+        return f"{base}/{name}", f"{base}/_checkpoints/{name}", trigger
+
+    changes = start_temperature_change_alarm(
+        readings(CHANGE_FIELDS),
+        *places("alarmdiffs"),
+        delay,
+        notices_path=f"{base}/change_notices",
+    )
+    if closed:
+        return [
+            start_closed_rollup(readings(("time", *READING_VALUES)), *places("aggs"), delay),
+            start_closed_low_temperature_alarm(
+                readings(CHANGE_FIELDS), *places("alarms"), delay, notices_path=f"{base}/notices"
+            ),
+            changes,
+        ]
     return [
-        start_rollup(
-            readings(READING_VALUES), f"{base}/aggs", f"{base}/_checkpoints/aggs", trigger
-        ),
+        start_rollup(readings(READING_VALUES), *places("aggs")),
         start_low_temperature_alarm(
-            readings(CITY_FIELDS),
-            f"{base}/alarms",
-            f"{base}/_checkpoints/alarms",
-            trigger,
-            notices_path=f"{base}/notices",
-        ),
-        start_temperature_change_alarm(
-            readings(CHANGE_FIELDS),
-            f"{base}/alarmdiffs",
-            f"{base}/_checkpoints/alarmdiffs",
-            trigger,
-            delay,
+            readings(CITY_FIELDS), *places("alarms"), notices_path=f"{base}/notices"
         ),
+        changes,
     ]

@@ -24,6 +24,7 @@ def start_remembering(
     checkpoint: str,
     trigger: dict = UNTIL_READ,
     count_missing: bool = False,
+    schema: str | None = None,
 ) -> StreamingQuery:
     """Run a batch operator on every micro-batch, with the last value per key at hand.
 
@@ -35,13 +36,14 @@ def start_remembering(
     batch n reads the slot batch n-1 wrote and replaces the other one. A batch
     that fails and runs again thus starts from the same values; if its output is
     replaced per batch number too, every row counts exactly once.
-    ``count_missing`` remembers that a key's last row had no value.
+    ``count_missing`` remembers that a key's last row had no value. ``schema`` is
+    that of (key, value) where the step makes them from other rows.
     """
 
     def slot(epoch: int) -> str:
         return f"{checkpoint}/remembered/slot={epoch % 2}"
 
-    schema = rows.select(key, value).schema
+    remembered_schema = schema or rows.select(key, value).schema
 
     def each(batch: DataFrame, epoch: int) -> None:
         batch.persist()
@@ -49,7 +51,7 @@ def start_remembering(
         try:
             before = None
             if epoch > 0:
-                before = batch.sparkSession.read.schema(schema).parquet(slot(epoch - 1))
+                before = batch.sparkSession.read.schema(remembered_schema).parquet(slot(epoch - 1))
             seen = step(batch, before, epoch)
             remembered = last_values(seen, value, order, key, before, count_missing)
             remembered.write.mode("overwrite").parquet(slot(epoch))

@@ -51,18 +51,28 @@ def start_replacing(
     )
 
 
-def start_appending(
-    result: DataFrame,
+def start_per_batch(
+    readings: DataFrame,
+    step: Callable[[DataFrame, int], DataFrame],
     path: str,
     checkpoint: str,
     trigger: dict = UNTIL_READ,
-    file_format: str = "parquet",
 ) -> StreamingQuery:
-    """Append mode into files; the sink's log makes each row count exactly once."""
+    """Write what ``step`` makes of every micro-batch to a folder of its own.
+
+    A batch that runs again replaces its folder, so every row counts once.
+    """
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        try:
+            step(batch, epoch).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        finally:
+            batch.unpersist()
+
     return (
-        result.writeStream.outputMode("append")
-        .format(file_format)
-        .option("path", path)
+        readings.writeStream.outputMode("append")
+        .foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -1,0 +1,101 @@
+"""Windows of reading time that close as a stream goes on, without losing a reading."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from aerometry.operators.rollup import WINDOW_LENGTH
+
+TIME_FIELD = "data.time"
+
+
+@dataclass(frozen=True)
+class ClosedWindows:
+    """Tumbling windows over micro-batches.
+
+    A window closes once a reading ``delay`` past its end was seen. Until then its
+    partial aggregates are kept in a table beside the checkpoint with two slots:
+    batch n reads the slot of batch n - 1 and replaces the other one, so a batch
+    that runs again starts from the same windows. What is kept is bounded by the
+    windows of one delay, however long the stream.
+
+    Readings of windows that closed in an earlier batch are late. They are written
+    below ``late_path`` with their batch number; a replay in any order thus ends
+    with closed windows and late readings that together hold every reading.
+    """
+
+    values: Sequence[str]
+    checkpoint: str
+    late_path: str
+    keys: Sequence[str] = ()
+    delay: str = "5 minutes"
+    length: str = WINDOW_LENGTH
+
+    def _slot(self, kind: str, epoch: int) -> str:
+        return f"{self.checkpoint}/windows/{kind}/slot={epoch % 2}"
+
+    def _name(self) -> list[str]:
+        return ["window", *self.keys]
+
+    def partial(self, readings: DataFrame) -> DataFrame:
+        """Sums, counts and extremes per window and key."""
+        aggregates = []
+        for v in self.values:
+            number = F.col(f"data.{v}")
+            aggregates += [
+                F.sum(number.cast("double")).alias(f"sum_{v}"),
+                F.count(number).alias(f"n_{v}"),
+                F.max(number).alias(f"max_{v}"),
+                F.min(number).alias(f"min_{v}"),
+            ]
+        keys = [F.col(f"data.{key}").alias(key) for key in self.keys]
+        window = F.window(TIME_FIELD, self.length).alias("window")
+        return readings.groupBy(window, *keys).agg(*aggregates)
+
+    def merge(self, partials: Sequence[DataFrame]) -> DataFrame:
+        """Partial aggregates of the same windows added up."""
+        hows = (("sum", F.sum), ("n", F.sum), ("max", F.max), ("min", F.min))
+        together = reduce(DataFrame.unionByName, partials)
+        return together.groupBy(*self._name()).agg(
+            *[how(f"{kind}_{v}").alias(f"{kind}_{v}") for v in self.values for kind, how in hows]
+        )
+
+    def means(self, windows: DataFrame, *kept: str) -> DataFrame:
+        """Windows with the mean of every value, and the columns asked for."""
+        means = [F.try_divide(f"sum_{v}", f"n_{v}").alias(f"avg_{v}") for v in self.values]
+        return windows.select(*self._name(), *means, *kept)
+
+    def _before(self, seen) -> Column:
+        return F.lit(seen) - F.expr(f"interval {self.delay}")
+
+    def close(self, batch: DataFrame, epoch: int) -> DataFrame:
+        """Take in a micro-batch; the partial aggregates of the windows it closes."""
+        spark = batch.sparkSession
+        timed = batch.where(F.col(TIME_FIELD).isNotNull())
+        seen = before = None
+        earlier = []
+        if epoch > 0:
+            before = spark.read.parquet(self._slot("seen", epoch - 1)).first()["seen"]
+            earlier = [spark.read.parquet(self._slot("state", epoch - 1)).where("not closed")]
+        latest = timed.agg(F.max(TIME_FIELD).alias("seen")).first()["seen"]
+        seen = max((t for t in (before, latest) if t is not None), default=None)
+        fresh = timed
+        if before is not None:
+            end = F.window(TIME_FIELD, self.length)["end"]
+            late = end <= self._before(before)
+            timed.where(late).write.mode("overwrite").parquet(f"{self.late_path}/epoch={epoch}")
+            fresh = timed.where(~late)
+        merged = self.merge([self.partial(fresh), *[e.drop("closed") for e in earlier]])
+        closed = F.col("window.end") <= self._before(seen) if seen is not None else F.lit(False)
+        merged.withColumn("closed", closed).write.mode("overwrite").parquet(
+            self._slot("state", epoch)
+        )
+        spark.createDataFrame([(seen,)], "seen timestamp").write.mode("overwrite").parquet(
+            self._slot("seen", epoch)
+        )
+        return spark.read.parquet(self._slot("state", epoch)).where("closed").drop("closed")

@@ -4,7 +4,7 @@ import pytest
 from conftest import at, rows
 
 from aerometry.operators.combine import combine_sensors
-from aerometry.plans import batch
+from aerometry.plans import batch, realtime
 from aerometry.plans.batch import result_preview, run_batch
 from aerometry.plans.realtime import run_alarms, run_ingest
 from aerometry.schemas import DEVICE, ENVELOPE, PAYLOAD, SENSORS, TIME
@@ -115,3 +115,24 @@ def test_ingest_pipeline(spark, base):
     publisher = FilePublisher(f"{base}/out")
     run_ingest(spark, f"{base}/feed", publisher, base, {"availableNow": True})
     assert spark.read.parquet(f"{base}/out").count() == 1
+
+
+@pytest.mark.parametrize(
+    "words",
+    [
+        ["alarms", "out"],
+        ["alarms", "out", "--servers", "b", "--files", "f"],
+        ["ingest", "out", "--files", "f"],
+        ["alarms", "out", "--files", "f", "--max-per-trigger", "0"],
+    ],
+)
+def test_missing_or_clashing_arguments_are_errors(words):
+    with pytest.raises(SystemExit):
+        realtime.arguments(words)
+
+
+def test_micro_batches_are_bounded_unless_told_otherwise():
+    by_files = realtime.arguments(["alarms", "out", "--files", "f", "--closed", "--delay", "1 hour"])
+    assert (by_files.max_per_trigger, by_files.closed, by_files.delay) == (1000, True, "1 hour")
+    by_topic = realtime.arguments(["alarms", "out", "--servers", "b"])
+    assert by_topic.max_per_trigger == realtime.MESSAGES_PER_TRIGGER

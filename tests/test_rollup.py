@@ -81,7 +81,7 @@ def test_change_alarm(spark):
     columns = ("window.start", "city", "temperature_change")
     assert rows(found, *columns) == [(at("00:01:00"), "a", 10.0)]
     assert rows(change_notice(found)) == [
-        ("ALARM: Temperature in a changed by 10.0 in the last window.",)
+        ("Temperature change: the mean in a moved by 10.0 since the window before",)
     ]
 
 
@@ -91,8 +91,8 @@ def test_notices_name_each_city_once(spark):
     )
     assert rows(alarm_cities(data)) == [("a",), (None,)]
     assert rows(alarm_notice(data, 12.5)) == [
-        ("ALARM: Average temperature below 12.5 in a",),
-        ("ALARM: Average temperature below 12.5 in unknown city",),
+        ("Low temperature: the mean in a is below 12.5",),
+        ("Low temperature: the mean in unknown city is below 12.5",),
     ]
     assert alarm_notice(data.where(F.lit(False))).count() == 0
 

@@ -84,23 +84,51 @@ def test_alarm_is_withdrawn_and_survives_a_restart(spark, streams, base):
     assert run() == []
     notices = spark.read.parquet(f"{base}/notices")
     assert rows(notices, "epoch", "message") == [
-        (0, "ALARM: Average temperature below 20 in a"),
-        (0, "ALARM: Average temperature below 20 in b"),
-        (1, "ALARM: Average temperature below 20 in b"),
+        (0, "Low temperature: the mean in a is below 20"),
+        (0, "Low temperature: the mean in b is below 20"),
+        (1, "Low temperature: the mean in b is below 20"),
     ]
 
 
-def test_closed_windows_are_written_once_and_late_readings_dropped(spark, streams, base):
+def test_closed_windows_are_written_once_and_late_readings_kept(spark, streams, base):
     land(spark, f"{base}/in", [message("00:00:01", "a", 10)])
-    land(spark, f"{base}/in", [message("00:02:00", "a", 20)])
-    land(spark, f"{base}/in", [message("00:02:01", "a", 30)])  # closes the first window
-    land(spark, f"{base}/in", [message("00:00:02", "a", 99)])
+    land(spark, f"{base}/in", [message("00:02:00", "a", 20)])  # closes the first window
+    land(spark, f"{base}/in", [message("00:02:01", "a", 30)])
+    land(spark, f"{base}/in", [message("00:00:02", "a", 99), message("00:00:03", text="garbage")])
     land(spark, f"{base}/in", [message("00:04:00", "a", 1)])
     alarms.start_closed_rollup(
         source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="30 seconds"
     ).awaitTermination()
     found = rows(spark.read.parquet(f"{base}/out"), "window.start", "avg_temperature")
     assert found == [(at("00:00:00"), 10.0), (at("00:02:00"), 25.0)]
+    late = spark.read.parquet(f"{base}/out_late")
+    assert rows(late, "epoch", "data.temperature") == [(3, 99.0)]
+
+
+def test_open_windows_stay_few(spark, streams, base):
+    """What is kept between batches follows the delay, not the length of the stream."""
+    for minute in range(0, 40, 4):
+        land(spark, f"{base}/in", [message(f"00:{minute:02d}:{s:02d}", "a", 5) for s in (1, 31)])
+    alarms.start_closed_low_temperature_alarm(
+        source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="1 minute"
+    ).awaitTermination()
+    kept = spark.read.parquet(f"{base}/ck/windows/state")
+    assert kept.where("not closed").groupBy("slot").count().agg({"count": "max"}).first()[0] <= 4
+    assert spark.read.parquet(f"{base}/out").count() == 18
+
+
+def test_change_notices_are_written_with_the_alarms(spark, streams, base):
+    data = [("00:00:01", 25), ("00:00:31", 15), ("00:09:00", 15)]
+    land(spark, f"{base}/in", [message(when, "a", t) for when, t in data])
+    alarms.start_temperature_change_alarm(
+        source(streams, f"{base}/in"),
+        f"{base}/out",
+        f"{base}/ck",
+        delay="10 seconds",
+        notices_path=f"{base}/notices",
+    ).awaitTermination()
+    notices = rows(spark.read.parquet(f"{base}/notices"), "message")
+    assert len(notices) == 1 and "a" in notices[0][0] and "10.0" in notices[0][0]
 
 
 def test_change_alarm_across_batches_equals_batch(spark, streams, base):
