@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerometry.session import scratch_path
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -37,6 +39,18 @@ def share_library(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def kept(rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows as a table in the shared folder, read back.
+
+    Besides cutting the lineage, a table that was grouped before it is joined lets
+    adaptive execution split a skewed partition of the join, which it cannot while
+    the grouping is part of the same stage.
+    """
+    path = scratch_path(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def unused(docs: DataFrame, name: str) -> str:
     """A column name that ``docs`` does not have."""
     taken = {column.lower() for column in docs.columns}
