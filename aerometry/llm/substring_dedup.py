@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerometry.llm.documents import slices, text_bytes, texts_of, unused, word_bounds
+from aerometry.llm.documents import kept, slices, text_bytes, texts_of, unused, word_bounds
 from aerometry.llm.recompression import Windows, anchors, word_names
 from aerometry.llm.secret_scan import with_char_counts
 from aerometry.session import scratch_path
@@ -216,12 +216,13 @@ def _repeats(docs: DataFrame, with_text: bool) -> tuple[DataFrame, DataFrame]:
     """Every row's counts and copies, and what is left of documents with repeats."""
     spark = docs.sparkSession
     texts = with_digest(docs)
-    kept = scratch_path(spark, "parsed")
-    texts.mapInArrow(_parse, PARSED).write.option("compression", "zstd").parquet(kept)
-    parsed = spark.read.schema(PARSED).parquet(kept)
+    parsed_path = scratch_path(spark, "parsed")
+    texts.mapInArrow(_parse, PARSED).write.option("compression", "zstd").parquet(parsed_path)
+    parsed = spark.read.schema(PARSED).parquet(parsed_path)
 
-    smallest = (
-        spark.read.schema(PARSED).parquet(kept).groupBy("digest").agg(F.min("doc_id").alias("smallest"))
+    texts_seen = spark.read.schema(PARSED).parquet(parsed_path)
+    smallest = kept(
+        texts_seen.groupBy("digest").agg(F.min("doc_id").alias("smallest")), "smallest"
     )
     rows = parsed.drop("anchors").join(smallest, "digest", "left")
     rows = rows.withColumn(
@@ -229,15 +230,16 @@ def _repeats(docs: DataFrame, with_text: bool) -> tuple[DataFrame, DataFrame]:
     ).drop("smallest")
 
     def exploded() -> DataFrame:
-        source = spark.read.schema(PARSED).parquet(kept).where(F.col("doc_id").isNotNull())
+        source = spark.read.schema(PARSED).parquet(parsed_path).where(F.col("doc_id").isNotNull())
         return source.select("doc_id", F.explode("anchors").alias("anchor"))
 
-    shared = (
+    shared = kept(
         exploded()
         .groupBy("anchor")
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
         .where(F.col("least") < F.col("most"))
-        .select("anchor")
+        .select("anchor"),
+        "shared",
     )
     hits = exploded().join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
     originals = rows.where(~F.col("copy")).select("doc_id").distinct()
@@ -279,7 +281,7 @@ def _covered(spark: SparkSession, found: str) -> DataFrame:
         )
 
     name = ["anchor", "high", "low"]
-    least = occurrences().groupBy(name).agg(F.min("doc_id").alias("least"))
+    least = kept(occurrences().groupBy(name).agg(F.min("doc_id").alias("least")), "least")
     placed = scratch_path(spark, "bundles")
     occurrences().join(least, name).write.option("compression", "zstd").parquet(placed)
 
@@ -287,12 +289,13 @@ def _covered(spark: SparkSession, found: str) -> DataFrame:
         return spark.read.parquet(placed)
 
     ranges = F.collect_set(F.struct("start", "count")).alias("ranges")
-    mixed = (
+    mixed = kept(
         bundles()
         .groupBy("anchor")
         .agg(*[f(c).alias(f"{c}_{f.__name__}") for c in ("high", "low") for f in (F.min, F.max)])
         .where((F.col("high_min") < F.col("high_max")) | (F.col("low_min") < F.col("low_max")))
-        .select("anchor")
+        .select("anchor"),
+        "mixed",
     )
     firsts = bundles().where(F.col("doc_id") == F.col("least")).join(mixed, "anchor")
     named = scratch_path(spark, "named")
@@ -312,12 +315,13 @@ def _covered(spark: SparkSession, found: str) -> DataFrame:
         rows = rows.select(*KEY, F.explode(F.arrays_zip("starts", "high", "low")).alias("w"))
         return rows.select(*KEY, F.col("w.starts").alias("start"), "w.high", "w.low")
 
-    earliest = (
+    earliest = kept(
         windows()
         .groupBy("high", "low")
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
         .where(F.col("least") < F.col("most"))
-        .drop("most")
+        .drop("most"),
+        "earliest",
     )
     single = windows().join(earliest, ["high", "low"]).withColumn("count", F.lit(1))
     gone = F.col("doc_id") > F.col("least")
