@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerometry.llm.documents import slices, text_bytes, texts_of, unused, word_bounds
+from aerometry.llm.documents import kept, slices, text_bytes, texts_of, unused, word_bounds
 from aerometry.llm.recompression import Windows, mix, word_names
 from aerometry.session import scratch_path
 
@@ -262,23 +262,20 @@ def _linked(cells: DataFrame, packed: DataFrame) -> DataFrame:
     )
 
 
-def connected(links: DataFrame, purpose: str = "links") -> DataFrame:
+def connected(links: DataFrame) -> DataFrame:
     """``doc_id`` and ``component`` (its smallest document) of all linked documents.
 
     Alternates two steps until nothing changes: every document's larger neighbours
     are linked to its smallest one, then its smaller neighbours. Each step keeps
     the links as a table in the shared folder.
     """
-    spark = links.sparkSession
 
-    def kept(rows: DataFrame) -> tuple[DataFrame, tuple]:
-        path = scratch_path(spark, purpose)
-        rows.write.parquet(path)
-        found = spark.read.schema("high long, low long").parquet(path)
+    def written(rows: DataFrame) -> tuple[DataFrame, tuple]:
+        found = kept(rows, "edges")
         mark = F.xxhash64("high", "low").cast("decimal(38,0)")
         return found, tuple(found.agg(F.count("*"), F.sum(mark)).first())
 
-    edges, state = kept(
+    edges, state = written(
         links.select(
             F.greatest("doc_id", "other").alias("high"), F.least("doc_id", "other").alias("low")
         )
@@ -289,15 +286,17 @@ def connected(links: DataFrame, purpose: str = "links") -> DataFrame:
         both = edges.select(F.col("high").alias("node"), F.col("low").alias("near")).unionAll(
             edges.select(F.col("low").alias("node"), F.col("high").alias("near"))
         )
-        least = both.groupBy("node").agg(F.least(F.min("near"), F.first("node")).alias("least"))
+        least = kept(
+            both.groupBy("node").agg(F.least(F.min("near"), F.first("node")).alias("least")), "least"
+        )
         large = (
             both.where(F.col("near") > F.col("node"))
             .join(least, "node")
             .select(F.col("near").alias("high"), F.col("least").alias("low"))
             .distinct()
         )
-        middle, _ = kept(large)
-        smallest = middle.groupBy("high").agg(F.min("low").alias("least"))
+        middle = kept(large, "edges")
+        smallest = kept(middle.groupBy("high").agg(F.min("low").alias("least")), "least")
         small = (
             middle.join(smallest, "high")
             .select(F.col("low").alias("high"), F.col("least").alias("low"))
@@ -305,7 +304,7 @@ def connected(links: DataFrame, purpose: str = "links") -> DataFrame:
             .unionAll(smallest.select("high", F.col("least").alias("low")))
             .distinct()
         )
-        edges, changed = kept(small)
+        edges, changed = written(small)
         if changed == state:
             break
         state = changed
@@ -324,31 +323,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = texts_of(docs)
-    kept = scratch_path(spark, "signed")
-    texts.mapInArrow(_sign, SIGNED).write.option("compression", "zstd").parquet(kept)
+    signed_path = scratch_path(spark, "signed")
+    texts.mapInArrow(_sign, SIGNED).write.option("compression", "zstd").parquet(signed_path)
 
     def signed() -> DataFrame:
-        return spark.read.schema(SIGNED).parquet(kept)
+        return spark.read.schema(SIGNED).parquet(signed_path)
 
     # Equal texts: only their smallest document goes on.
     usable = signed().where(F.col("doc_id").isNotNull() & (F.size("bands") > 0))
-    firsts = usable.groupBy("digest").agg(F.min("doc_id").alias("original"))
+    firsts = kept(usable.groupBy("digest").agg(F.min("doc_id").alias("original")), "firsts")
     originals = usable.join(firsts, "digest").where(F.col("doc_id") == F.col("original"))
 
     members = scratch_path(spark, "members")
     exploded = originals.select("doc_id", F.explode("bands").alias("band"))
-    leaders = (
+    leaders = kept(
         exploded.groupBy("band")
         .agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"))
         .where(F.col("leader") < F.col("last"))
-        .drop("last")
+        .drop("last"),
+        "leaders",
     )
     exploded.join(leaders, "band").select("leader", "doc_id").distinct().write.parquet(members)
 
     def followers() -> DataFrame:
         return spark.read.schema("leader long, doc_id long").parquet(members)
 
-    sizes = followers().groupBy("leader").agg(F.count("*").alias("size"))
+    sizes = kept(followers().groupBy("leader").agg(F.count("*").alias("size")), "sizes")
     parts = F.ceil(F.col("size") / CHUNK).cast("int")
     dealt = (
         followers()
