@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerometry.session import scratch_path
+from aerometry.llm.documents import kept
 
 #: Vectors the rotation and the radius are fitted on, at most.
 SAMPLE = 8_000
@@ -228,9 +228,7 @@ def nearest(
     task, as a radius wide enough for this recall leaves values to probe everywhere.
     """
     spark = vectors.sparkSession
-    kept = scratch_path(spark, "vectors")
-    taking_part(vectors).write.parquet(kept)
-    rows = spark.read.parquet(kept)
+    rows = kept(taking_part(vectors), "vectors")
     most = neighbours + 1  # a query's own identifier may be among them
 
     # Of equal vectors only the smallest identifiers can be found.
@@ -247,11 +245,10 @@ def nearest(
         return spark.createDataFrame([], RESULT)
     codes = fit(sample, neighbours, bits)
 
-    indexed = scratch_path(spark, "index")
-    encoded(entries, codes).write.parquet(indexed)
-    index = spark.read.parquet(indexed)
+    index = kept(encoded(entries, codes), "index")
     queries = rows.where(F.col("vec_id") % every == 0).select("entry", F.col("vec_id").alias("query_id"))
-    asked = spark.read.parquet(indexed).join(queries.select("entry").distinct(), "entry").drop("ids")
+    asked = index.drop("ids").join(queries.select("entry").distinct(), "entry")
+    asked = kept(asked, "asked")
     blocks = -(-index.count() // BLOCK)
     query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     left = _dealt(index, "block", blocks, "query_block", query_blocks)
@@ -263,9 +260,10 @@ def nearest(
     )
     best = Window.partitionBy("entry").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
+    found = kept(found.drop("place"), "found")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        queries.join(found.drop("place"), "entry")
+        queries.join(found, "entry")
         .where(F.col("vec_id") != F.col("query_id"))
         .withColumn("rank", F.row_number().over(ranked).cast("int"))
         .where(F.col("rank") <= neighbours)
