@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,4 +57,33 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder; nothing exists there yet."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    for made in getattr(_scopes, "open", []):
+        made.append(path)
+    return path
+
+
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the scratch tables that this thread makes meanwhile.
+
+    For work that repeats without end, such as a stream's triggers. Results that
+    are read later must not be made of them.
+    """
+    made: list[str] = []
+    _scopes.open = [*getattr(_scopes, "open", []), made]
+    try:
+        yield
+    finally:
+        _scopes.open = _scopes.open[:-1]
+        for path in made:
+            delete_tree(spark, path)
+
+
+def delete_tree(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any file system that Spark reaches; none is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

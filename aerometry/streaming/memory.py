@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from aerometry.operators.changes import last_values
+from aerometry.session import scratch_scope
 from aerometry.streaming.sinks import UNTIL_READ
 
 # (rows of the micro-batch, remembered (key, value) rows or None, batch number)
@@ -52,9 +53,11 @@ def start_remembering(
             before = None
             if epoch > 0:
                 before = batch.sparkSession.read.schema(remembered_schema).parquet(slot(epoch - 1))
-            seen = step(batch, before, epoch)
-            remembered = last_values(seen, value, order, key, before, count_missing)
-            remembered.write.mode("overwrite").parquet(slot(epoch))
+            # The operators' own tables are of no use once the batch is done.
+            with scratch_scope(batch.sparkSession):
+                seen = step(batch, before, epoch)
+                remembered = last_values(seen, value, order, key, before, count_missing)
+                remembered.write.mode("overwrite").parquet(slot(epoch))
         finally:
             seen.unpersist()
             batch.unpersist()

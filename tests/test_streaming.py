@@ -11,7 +11,7 @@ from aerometry.functions.readings import decode_readings
 from aerometry.operators.changes import changed_readings, time_slices
 from aerometry.operators.rollup import city_temperature, temperature_changes, window_rollup
 from aerometry.schemas import ENVELOPE, PAYLOAD
-from aerometry.session import streaming_session
+from aerometry.session import shared_root, streaming_session
 from aerometry.sinks.messages import FilePublisher
 from aerometry.sources.feeds import read_payload_files, read_payload_table
 from aerometry.sources.messages import MessageFiles, read_messages
@@ -219,6 +219,29 @@ def test_change_filter_equals_batch_for_any_split(spark, streams, base):
     assert rows(found.drop("epoch")) == rows(expected)
 
 
+def test_triggers_leave_no_scratch_tables(spark, streams, base):
+    """A hot device makes every trigger write lists of hot groups; they go with it."""
+    shared = Path(shared_root(spark))
+    before = set(shared.glob("hot-*"))
+    for start in range(4):
+        data = [("d", at(f"00:{start:02d}:{i:02d}"), str(i % 3)) for i in range(12)]
+        frame = spark.createDataFrame(data, "deviceId string, timestamp timestamp, v string")
+        frame.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    changes.start_changed_readings(
+        streams.readStream.schema("deviceId string, timestamp timestamp, v string")
+        .option("maxFilesPerTrigger", "1")
+        .parquet(f"{base}/in"),
+        "v",
+        ("timestamp",),
+        FilePublisher(f"{base}/out").publish,
+        f"{base}/ck",
+        slices=time_slices("timestamp", None, 5),
+        hot_rows=5,
+    ).awaitTermination()
+    assert spark.read.parquet(f"{base}/out").select("epoch").distinct().count() == 4
+    assert set(shared.glob("hot-*")) == before
+
+
 def test_change_filter_repeats_a_failed_batch(spark, streams, base):
     """A batch that fails after part of its work starts again from the same memory."""
     schema = "deviceId string, seq bigint, value string"
