@@ -41,7 +41,7 @@ FOUND = (
     "doc_id long, digest binary, packed binary, anchors array<long>, starts array<int>, "
     "counts array<int>, high array<long>, low array<long>"
 )
-NAMED = "doc_id long, digest binary, starts array<int>, high array<long>, low array<long>"
+NAMED = "doc_id long, digest binary, starts array<array<int>>, high array<long>, low array<long>"
 KEY = ["doc_id", "digest"]
 KEPT = "doc_id long, digest binary, n_removed long, kept_sha256 string, text string"
 
@@ -137,7 +137,7 @@ def _ranges(column: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows of some bundles, named one by one."""
+    """The windows of some bundles, named one by one, with all starts of each name."""
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         for doc_id, digest, packed, ranges in zip(*batch.columns, strict=True):
@@ -146,16 +146,19 @@ def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             starts = np.unique(
                 np.concatenate([np.arange(a, a + n) for a, n in zip(first, counts, strict=True)])
             )
-            windows, one = Windows(names), np.array([0, len(starts)])
+            windows = Windows(names)
+            high, low = (windows.named(starts, WINDOW, k) for k in (0, 1))
+            order = np.lexsort((starts, low, high))
+            starts, high, low = starts[order], high[order], low[order]
+            new = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+            first = np.flatnonzero(np.concatenate([[True], new]))
+            each, one = np.append(first, len(starts)), np.array([0, len(first)])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([doc_id.as_py()], pa.int64()),
                     pa.array([digest.as_py()], pa.binary()),
-                    _lists(starts, one, pa.int32()),
-                    *[
-                        _lists(windows.named(starts, WINDOW, k).view(np.int64), one, pa.int64())
-                        for k in (0, 1)
-                    ],
+                    pa.ListArray.from_arrays(pa.array(one, pa.int32()), _lists(starts, each, pa.int32())),
+                    *[_lists(x[first].view(np.int64), one, pa.int64()) for x in (high, low)],
                 ],
                 ["doc_id", "digest", "starts", "high", "low"],
             )
@@ -313,7 +316,7 @@ def _covered(spark: SparkSession, found: str) -> DataFrame:
     def windows() -> DataFrame:
         rows = spark.read.schema(NAMED).parquet(named)
         rows = rows.select(*KEY, F.explode(F.arrays_zip("starts", "high", "low")).alias("w"))
-        return rows.select(*KEY, F.col("w.starts").alias("start"), "w.high", "w.low")
+        return rows.select(*KEY, "w.starts", "w.high", "w.low")
 
     earliest = kept(
         windows()
@@ -323,16 +326,19 @@ def _covered(spark: SparkSession, found: str) -> DataFrame:
         .drop("most"),
         "earliest",
     )
-    single = windows().join(earliest, ["high", "low"]).withColumn("count", F.lit(1))
     gone = F.col("doc_id") > F.col("least")
-    return (
-        bundles()
+    whole = bundles().where(gone).select(*KEY, F.array(F.struct("start", "count")).alias("ranges"))
+    one = F.lit(1).alias("count")
+    single = (
+        windows()
+        .join(earliest, ["high", "low"])
         .where(gone)
-        .select(*KEY, "start", "count")
-        .unionByName(single.where(gone).select(*KEY, "start", "count"))
-        .groupBy(KEY)
-        .agg(ranges)
+        .select(
+            *KEY, F.transform("starts", lambda at: F.struct(at.alias("start"), one)).alias("ranges")
+        )
     )
+    together = F.flatten(F.collect_list("ranges")).alias("ranges")
+    return whole.unionByName(single).groupBy(KEY).agg(together)
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
