@@ -14,7 +14,7 @@ from aerometry.functions.readings import encode_readings
 from aerometry.operators.changes import HOT_ROWS, changed_readings, time_slices
 from aerometry.schemas import DEVICE, READING_VALUES
 from aerometry.sinks.messages import FilePublisher, KafkaPublisher
-from aerometry.streaming.memory import start_remembering
+from aerometry.streaming.memory import COMPACT_EVERY, start_remembering
 from aerometry.streaming.sinks import UNTIL_READ
 
 
@@ -29,6 +29,7 @@ def start_changed_readings(
     key: str = DEVICE,
     hot_rows: int | None = HOT_ROWS,
     aside: Callable[[DataFrame, int], DataFrame] | None = None,
+    every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Hand ``sink`` the readings that differ from the device's previous one.
 
@@ -43,7 +44,9 @@ def start_changed_readings(
         # A device's last reading has the value of its last change.
         return changed
 
-    return start_remembering(readings, value, order, key, compare, checkpoint, trigger)
+    return start_remembering(
+        readings, value, order, key, compare, checkpoint, trigger, every=every
+    )
 
 
 def start_ingest(

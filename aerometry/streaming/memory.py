@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from aerometry.operators.changes import last_values
-from aerometry.session import scratch_scope
+from aerometry.session import delete_tree, scratch_scope
 from aerometry.streaming.sinks import UNTIL_READ
 
 # (rows of the micro-batch, remembered (key, value) rows or None, batch number)
@@ -16,6 +19,66 @@ from aerometry.streaming.sinks import UNTIL_READ
 Step = Callable[[DataFrame, DataFrame | None, int], DataFrame]
 
 
+# Micro-batches after which the remembered values are written together.
+COMPACT_EVERY = 20
+
+
+class RememberedValues:
+    """The last value per key, as a base table and a table per micro-batch since.
+
+    A batch writes the keys it has seen and no others; every ``every`` batches all
+    tables so far become a new base. What batch n reads was complete before it,
+    and what it writes replaces what an earlier try of it wrote, so a batch that
+    fails and runs again starts from the same values.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, value: str, schema: StructType | str, every: int
+    ) -> None:
+        self.spark, self.path, self.key, self.value = spark, path, key, value
+        self.schema, self.every = schema, every
+
+    def _delta(self, epoch: int) -> str:
+        return f"{self.path}/batch={epoch}"
+
+    def _base(self, epoch: int) -> str:
+        return f"{self.path}/base={epoch}"
+
+    def _read(self, path: str, epoch: int) -> DataFrame:
+        rows = self.spark.read.schema(self.schema).parquet(path)
+        return rows.withColumn("_epoch", F.lit(epoch))
+
+    def before(self, epoch: int, batch: DataFrame | None = None) -> DataFrame | None:
+        """Values ahead of a batch; only of the keys of ``batch``, if given."""
+        if epoch == 0:
+            return None
+        return self._since((epoch - 1) // self.every * self.every, epoch, batch)
+
+    def _since(self, base: int, end: int, batch: DataFrame | None = None) -> DataFrame:
+        """Latest values of a base (none is numbered 0) and the batches after it, below ``end``."""
+        parts = [self._read(self._delta(e), e) for e in range(base + 1 if base else 0, end)]
+        if base:
+            parts.append(self._read(self._base(base), base))
+        if batch is not None and self.key in batch.columns:
+            asked = batch.select(F.col(self.key).alias("_asked")).distinct()
+            same = F.col(self.key).eqNullSafe(F.col("_asked"))
+            parts = [part.join(asked, same, "left_semi") for part in parts]
+        together = reduce(DataFrame.unionByName, parts)
+        return together.groupBy(self.key).agg(F.max_by(self.value, "_epoch").alias(self.value))
+
+    def remember(self, values: DataFrame, epoch: int) -> None:
+        """Keep the values of a batch's keys."""
+        values.write.mode("overwrite").parquet(self._delta(epoch))
+        if epoch and epoch % self.every == 0:
+            # This batch, if it runs again, reads the base before this one, if any.
+            last = epoch - self.every
+            self._since(last, epoch + 1).write.mode("overwrite").parquet(self._base(epoch))
+            if last > 0:
+                for old in range(last - self.every, last + 1):
+                    delete_tree(self.spark, self._delta(old))
+                delete_tree(self.spark, self._base(last - self.every))
+
+
 def start_remembering(
     rows: DataFrame,
     value: str,
@@ -26,6 +89,7 @@ def start_remembering(
     trigger: dict = UNTIL_READ,
     count_missing: bool = False,
     schema: str | None = None,
+    every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Run a batch operator on every micro-batch, with the last value per key at hand.
 
@@ -33,31 +97,26 @@ def start_remembering(
     they have to be ordered first. A batch operator sorts with spilling and may
     cut a key that holds a third of all rows.
 
-    The remembered values are a table beside the checkpoint with two slots:
-    batch n reads the slot batch n-1 wrote and replaces the other one. A batch
-    that fails and runs again thus starts from the same values; if its output is
-    replaced per batch number too, every row counts exactly once.
+    The values are kept beside the checkpoint by :class:`RememberedValues`; if the
+    output of ``step`` is replaced per batch number too, every row counts once.
     ``count_missing`` remembers that a key's last row had no value. ``schema`` is
     that of (key, value) where the step makes them from other rows.
     """
 
-    def slot(epoch: int) -> str:
-        return f"{checkpoint}/remembered/slot={epoch % 2}"
-
     remembered_schema = schema or rows.select(key, value).schema
 
     def each(batch: DataFrame, epoch: int) -> None:
+        memory = RememberedValues(
+            batch.sparkSession, f"{checkpoint}/remembered", key, value, remembered_schema, every
+        )
         batch.persist()
         seen = batch
         try:
-            before = None
-            if epoch > 0:
-                before = batch.sparkSession.read.schema(remembered_schema).parquet(slot(epoch - 1))
             # The operators' own tables are of no use once the batch is done.
             with scratch_scope(batch.sparkSession):
-                seen = step(batch, before, epoch)
-                remembered = last_values(seen, value, order, key, before, count_missing)
-                remembered.write.mode("overwrite").parquet(slot(epoch))
+                seen = step(batch, memory.before(epoch, batch), epoch)
+                latest = last_values(seen, value, order, key, None, count_missing)
+                memory.remember(latest, epoch)
         finally:
             seen.unpersist()
             batch.unpersist()

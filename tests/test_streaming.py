@@ -219,6 +219,39 @@ def test_change_filter_equals_batch_for_any_split(spark, streams, base):
     assert rows(found.drop("epoch")) == rows(expected)
 
 
+def test_a_trigger_remembers_its_own_devices_only(spark, streams, base):
+    """Values are kept per batch and put together every second one; results stay the same."""
+    schema = "deviceId string, timestamp timestamp, v string"
+    data = [
+        [("a", 1, "x"), ("b", 1, "x")],
+        [("a", 2, "x")],
+        [("b", 3, "y"), ("c", 3, "x")],
+        [("a", 4, "y")],
+        [("d", 5, "x"), ("b", 5, "y")],
+        [("a", 6, "y"), ("c", 6, "x"), ("b", 6, "x")],
+    ]
+    for lot in data:
+        frame = [(d, at(f"00:00:{t:02d}"), v) for d, t, v in lot]
+        spark.createDataFrame(frame, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    changes.start_changed_readings(
+        streams.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/in"),
+        "v",
+        ("timestamp",),
+        FilePublisher(f"{base}/out").publish,
+        f"{base}/ck",
+        every=2,
+    ).awaitTermination()
+    columns = ("deviceId", "timestamp", "v")
+    expected = changed_readings(spark.read.schema(schema).parquet(f"{base}/in"), "v")
+    assert rows(spark.read.parquet(f"{base}/out"), *columns) == rows(expected, *columns)
+    kept = Path(f"{base}/ck/remembered")
+    assert rows(spark.read.parquet(str(kept / "batch=4"))) == [("d", "x")]
+    assert rows(spark.read.parquet(str(kept / "base=4"))) == [
+        ("a", "y"), ("b", "y"), ("c", "x"), ("d", "x"),
+    ]
+    assert sorted(p.name for p in kept.iterdir() if p.name.startswith("base")) == ["base=2", "base=4"]
+
+
 def test_triggers_leave_no_scratch_tables(spark, streams, base):
     """A hot device makes every trigger write lists of hot groups; they go with it."""
     shared = Path(shared_root(spark))
