@@ -38,7 +38,7 @@ CELL_TOKENS = 256 * CAPACITY
 CELL_PIECES = 20_000
 
 #: Distinct words a worker remembers.
-MEMO_LIMIT = 1_500_000
+MEMO_LIMIT = 690_000
 
 WORD = re.compile(r"[^ \t-\r]+")
 #: Separators to ``str.split`` that are no white space to a vocabulary.
