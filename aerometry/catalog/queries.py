@@ -469,16 +469,22 @@ def _result(spark: SparkSession, start: Callable, *args, **options) -> DataFrame
     return spark.read.parquet(f"{base}/out")
 
 
+def _replaced(spark: SparkSession, start: Callable, *args) -> DataFrame:
+    base = scratch_path(spark, "stream")
+    start(*args, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(sinks.current_path(spark, f"{base}/out"))
+
+
 @query
 def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = _reading_stream(spark, sf_dir, READING_VALUES)
-    return comparable(_result(spark, alarms.start_rollup, readings))
+    return comparable(_replaced(spark, alarms.start_rollup, readings))
 
 
 @query
 def stream_low_temp_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = _reading_stream(spark, sf_dir, rollup.CITY_FIELDS)
-    return comparable(_result(spark, alarms.start_low_temperature_alarm, readings))
+    return comparable(_replaced(spark, alarms.start_low_temperature_alarm, readings))
 
 
 @query
@@ -582,7 +588,8 @@ def stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "stream")
     for running in alarms.start_all(_messages(spark, sf_dir), base, delay=DELAY):
         running.awaitTermination()
-    found = {sink: f"{base}/{sink}" for sink in ("aggs", "alarms", "alarmdiffs")}
+    found = {sink: sinks.current_path(spark, f"{base}/{sink}") for sink in ("aggs", "alarms")}
+    found["alarmdiffs"] = f"{base}/alarmdiffs"
     return _contents(spark, "sink", found).drop("epoch")
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerometry.session import delete_tree
+
 PREVIEW_ROWS = 20
 
 
@@ -38,6 +40,37 @@ def write_table(
     df.write.mode(mode).format(file_format).save(path)
 
 
+def replace_table(
+    df: DataFrame, path: str, version: int, file_format: str = "parquet"
+) -> None:
+    """Replace a result so that readers always see a whole one.
+
+    The version is written to a folder of its own; then a pointer is moved to it in
+    one step. The version before stays for those who read it just now, older ones go.
+    Writing a version again replaces it.
+    """
+    write_table(df, f"{path}/version={version}", file_format, "overwrite")
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    configuration = spark._jsc.hadoopConfiguration()
+    pointer, fresh = hadoop.Path(f"{path}/current.txt"), hadoop.Path(f"{path}/next.txt")
+    stream = pointer.getFileSystem(configuration).create(fresh, True)
+    stream.writeBytes(str(version))
+    stream.close()
+    overwrite = spark._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = [o for o in overwrite.getEnumConstants() if o.toString() == "OVERWRITE"][0]
+    hadoop.FileContext.getFileContext(pointer.toUri(), configuration).rename(fresh, pointer, options)
+    if version > 1:
+        delete_tree(spark, f"{path}/version={version - 2}")
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """The folder of the version that a replaced table now points to."""
+    pointer = spark.read.schema("version string").text(f"{path}/current.txt").first()
+    return f"{path}/version={pointer['version']}"
+
+
 def preview(df: DataFrame, *order: str, rows: int = PREVIEW_ROWS) -> DataFrame:
     """The first rows for a look at a result; with ``order`` always the same ones."""
     return df.orderBy(*order).limit(rows) if order else df.limit(rows)

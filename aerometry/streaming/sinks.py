@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from aerometry.sinks.tables import write_table
+from aerometry.sinks.tables import current_path, replace_table
 
 # Keyword arguments of DataStreamWriter.trigger; this one empties the source and stops.
 UNTIL_READ = {"availableNow": True}
@@ -24,23 +24,18 @@ def start_replacing(
 ) -> StreamingQuery:
     """Complete mode: every trigger replaces the table by the whole current result.
 
-    An empty result replaces it too, so resolved alarms go away. ``notices``
+    The table is read at ``sinks.tables.current_path``. An empty result replaces it too, so resolved alarms go away. ``notices``
     turns a result into messages; they are kept per trigger under
     ``notices_path`` and only if there are any.
     """
 
     def replace(result: DataFrame, epoch: int) -> None:
-        if notices is None:
-            write_table(result, path, file_format, "overwrite")
-            return
-        result.persist()
-        try:
-            write_table(result, path, file_format, "overwrite")
-            messages = notices(result)
+        replace_table(result, path, epoch, file_format)
+        if notices is not None:
+            written = result.sparkSession.read.schema(result.schema).format(file_format)
+            messages = notices(written.load(current_path(result.sparkSession, path)))
             if not messages.isEmpty():
                 messages.write.mode("overwrite").parquet(f"{notices_path}/epoch={epoch}")
-        finally:
-            result.unpersist()
 
     return (
         result.writeStream.outputMode("complete")
