@@ -13,7 +13,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from aerometry.session import scratch_path
@@ -51,6 +51,19 @@ def kept(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def sampled(rows: DataFrame, most: int, *key: str) -> list[Row]:
+    """About ``most`` rows, all if there are fewer, chosen by a hash of ``key``.
+
+    Only the chosen rows reach the driver, whatever the number of partitions.
+    """
+    count = rows.count()
+    if count > most:
+        scale = 1 << 40
+        share = max(1, most * scale // count)
+        rows = rows.where(F.pmod(F.xxhash64(*key), F.lit(scale)) < share).limit(2 * most)
+    return rows.collect()
+
+
 def unused(docs: DataFrame, name: str) -> str:
     """A column name that ``docs`` does not have."""
     taken = {column.lower() for column in docs.columns}

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerometry.llm.documents import kept
+from aerometry.llm.documents import kept, sampled
 
 #: Vectors the rotation and the radius are fitted on, at most.
 SAMPLE = 8_000
@@ -233,16 +233,17 @@ def nearest(
 
     # Of equal vectors only the smallest identifiers can be found.
     by_id = Window.partitionBy("entry").orderBy("vec_id")
-    entries = (
+    entries = kept(
         rows.withColumn("place", F.row_number().over(by_id))
         .where(F.col("place") <= most)
         .groupBy("entry")
-        .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("vector").alias("vector"))
+        .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("vector").alias("vector")),
+        "entries",
     )
-    sample = [row["vector"] for row in rows.orderBy("entry", "vec_id").limit(SAMPLE).collect()]
-    sample = np.unique(np.array(sample, dtype=np.float64), axis=0)
+    sample = np.array([row["vector"] for row in sampled(entries, SAMPLE, "entry")], dtype=np.float64)
     if len(sample) == 0:
         return spark.createDataFrame([], RESULT)
+    sample = sample[np.lexsort(sample.T)]
     codes = fit(sample, neighbours, bits)
 
     index = kept(encoded(entries, codes), "index")
