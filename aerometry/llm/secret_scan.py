@@ -5,7 +5,8 @@ number of rules, and says where the head of some rule ends. The rare hits are
 then resolved into spans: an automaton of the reversed head gives the leftmost
 start, and the rule's tail class the end. Spans of one rule do not overlap; a
 match that fails the rule's least length still uses up its characters, as a
-regular expression would.
+regular expression would. A private key goes on over the lines of its body, which
+are read only where its first line was found.
 
 Texts of a batch are cut at line ends, which lead every state back to the start,
 and the pieces advance together, a byte each per step.
@@ -14,6 +15,7 @@ and the pieces advance together, a byte each per step.
 from __future__ import annotations
 
 import hashlib
+import re
 from dataclasses import dataclass
 from functools import cache
 
@@ -34,7 +36,8 @@ class Rule:
     """A match is ``head`` followed by all characters of ``tail`` that come next.
 
     ``value`` is the class that counts towards ``least``, from the match's end
-    backwards; None counts the whole match.
+    backwards; None counts the whole match. ``armored`` goes on over the lines of a
+    key, up to the line that ends it.
     """
 
     kind: str
@@ -42,6 +45,7 @@ class Rule:
     tail: str | None
     least: int = 0
     value: str | None = None
+    armored: bool = False
 
 
 VALUE = r"[A-Za-z0-9+/_.=-]"
@@ -60,13 +64,61 @@ BASE = (
 
 #: Further shapes that no ordinary prose has.
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", None),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", None, armored=True),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]", r"[A-Za-z0-9]", 40),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]", r"[A-Za-z0-9_-]", 40),
 )
 
 RULES = BASE + MORE
 
+#: Ends of lines, also as quoted strings write them.
+BREAK = re.compile(rb"\r?\n|\r|(?:\\+r)?\\+n|\\+r")
+#: What may stand between the digits of a body: white space and marks of quoted lines.
+MARKS = rb"\s\"'`,;<>&#%*|"
+#: Lines such as ``DEK-Info: AES-128-CBC,00`` ahead of a body.
+NAMED = re.compile(
+    rb"(?:(?:[%b+]|\\+[nrt]?)*[A-Za-z][A-Za-z0-9-]*:(?:(?!-----)[^\r\n\\])*)*+" % MARKS
+)
+BODY = re.compile(rb"(?:[A-Za-z0-9+/=%b]|\\+)*+" % MARKS)
+END = re.compile(rb"-----END [A-Z ]*PRIVATE KEY-----")
+GROUP = re.compile(rb"[+/=]*[A-Za-z0-9][A-Za-z0-9+/=]*")
+#: So many digits of a body are no word.
+LONG_GROUP = 24
+
+
+def armor_end(data: np.ndarray, position: int, end: int) -> int:
+    """Where the key ends whose first line ends at ``position``.
+
+    Without the line that ends it, a key goes to the last line that is one group of
+    digits, a shorter one included; a blank line ends it. Several groups in one line,
+    as where line ends were lost, count while they are long, and one more.
+    """
+    view = memoryview(data)
+    first = NAMED.match(view, position, end).end()
+    last = BODY.match(view, first, end).end()
+    closed = END.match(view, last, end)
+    if closed:
+        return closed.end()
+    body, stop, start = bytes(view[first:last]), None, 0
+    breaks = [m.span() for m in BREAK.finditer(body)]
+    for line_end, following in [*breaks, (len(body), None)]:
+        groups = list(GROUP.finditer(body, start, line_end))
+        long = 0
+        while long < len(groups) and len(groups[long][0]) >= LONG_GROUP:
+            long += 1
+        whole = following is not None or last == end
+        if len(groups) == 1 and whole:
+            stop = groups[0].end()
+        elif groups:
+            if long:
+                stop = groups[min(long, len(groups) - 1)].end()
+            if long < len(groups):
+                break
+        elif stop is not None and not body[start:line_end].strip():
+            break
+        start = following
+    return position if stop is None else first + stop
+
 
 class Scanner:
     """The compiled rules."""
@@ -153,6 +205,8 @@ class Scanner:
 
     def _stop(self, k: int, data, position: int, end: int) -> int:
         tail = self.tails[k]
+        if self.rules[k].armored:
+            return armor_end(data, position, end)
         if tail is None:
             return position
         step = 64

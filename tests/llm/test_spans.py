@@ -42,6 +42,44 @@ def test_more_secret_shapes():
     assert sorted(kinds) == ["code_host", "private_key", "web_token"] and not found[1]
 
 
+KEY_BODY = ["MIIEpAIBAAKCAQEA" + c * 48 for c in "bcdefg"] + ["Zm9vYmFy+/8="]
+KEY_BEGIN, KEY_END = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+KEY_NAMED = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF", ""]
+
+
+@pytest.mark.parametrize("end", [[KEY_END], []])
+@pytest.mark.parametrize("named", [KEY_NAMED, []])
+@pytest.mark.parametrize("line_end", ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n    ", "\n> ", '\\n" +\n  "'])
+def test_no_key_body_survives(line_end, named, end):
+    key = line_end.join([KEY_BEGIN, *named, *KEY_BODY, *end])
+    text = f"é before {key}\n\nAfter it, prose: a-b.\n{key}"
+    spans = secret_scan.find_spans(pa.array([text, "x", text], pa.large_string()))
+    for found in (spans[0], spans[2]):
+        assert secret_scan.redact(text, found) == "é before [SECRET]\n\nAfter it, prose: a-b.\n[SECRET]"
+
+
+def test_keys_in_one_line_or_without_a_body():
+    one_line = " ".join([KEY_BEGIN, *KEY_BODY])
+    texts = {
+        f"{one_line} {KEY_END} prose": "[SECRET] prose",
+        one_line: "[SECRET]",
+        f"{KEY_BEGIN} starts a key, as is known.": "[SECRET] starts a key, as is known.",
+        f"{KEY_BEGIN}\nNote: prose here.": "[SECRET]\nNote: prose here.",
+        f"{KEY_BEGIN}\n{KEY_BODY[0]}\nThe key was cut.": "[SECRET]\nThe key was cut.",
+        f"{KEY_BEGIN}\n{KEY_BODY[0]}\n{KEY_BEGIN}\n{KEY_BODY[1]}": "[SECRET]\n[SECRET]",
+        KEY_BEGIN * 3: "[SECRET]" * 3,
+    }
+    found = secret_scan.find_spans(pa.array(list(texts), pa.large_string()))
+    for (text, cleaned), spans in zip(texts.items(), found, strict=True):
+        assert secret_scan.redact(text, spans) == cleaned
+
+
+def test_redact_secrets_leaves_no_key_body(documents):
+    key = "\n".join([KEY_BEGIN, *KEY_BODY, KEY_END])
+    rows = secret_scan.redact_secrets(documents([(1, f"a\n{key}\nb"), (2, key)])).collect()
+    assert {r.doc_id: (r.text, r.n_chars) for r in rows} == {1: ("a\n[SECRET]\nb", 12), 2: ("[SECRET]", 8)}
+
+
 def test_redaction_keeps_the_rest():
     text = "é password = abcdefgh12, fine"
     spans = secret_scan.find_spans(pa.array([text], pa.large_string()))[0]
