@@ -34,6 +34,18 @@ SCHEMES = ("http://", "https://", "ftp://", "ssh://")
 IBAN_CUES = ("IBAN", "iban")
 SSN_CUES = ("SSN", "ssn")
 
+#: Characters of an account number by country; others have any number from 15 to 34.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
+
 Span = tuple[str, int, int]
 
 
@@ -149,21 +161,33 @@ def _after_cue(text: str, end: int) -> int:
 
 
 def _accounts(text: str, cue_ends: list[int]) -> Iterator[Span]:
+    """Words behind an account number look like more of its groups.
+
+    So the number ends with any group that makes it valid: with the one that gives
+    its country's length, or else with the last one.
+    """
     for end in cue_ends:
         start = at = _after_cue(text, end)
-        found = []
+        found, ends = [], {}
         while at < len(text) and len(found) < 34:
             if text[at] in UPPER_DIGITS:
                 found.append(text[at])
                 at += 1
+                ends[len(found)] = at
             elif text[at] == " " and at + 1 < len(text) and text[at + 1] in UPPER_DIGITS:
                 at += 1
             else:
                 break
         account = "".join(found)
-        shaped = len(account) >= 15 and account[:2].isalpha() and account[2:4].isdigit()
-        if shaped and iban_valid(account):
-            yield "iban", start, at
+        if not (account[:2].isalpha() and account[2:4].isdigit()):
+            continue
+        usual = IBAN_LENGTHS.get(account[:2])
+        for length in sorted(ends, key=lambda n: (n == usual, n), reverse=True):
+            last = length == len(account)
+            grouped = last or text[ends[length]] not in UPPER_DIGITS
+            if length >= 15 and grouped and iban_valid(account[:length]):
+                yield "iban", start, ends[length]
+                break
 
 
 def _security_numbers(text: str, cue_ends: list[int]) -> Iterator[Span]:

@@ -109,6 +109,33 @@ def test_accounts_numbers_and_logins():
     assert not pii.personal_spans("IBAN DE88 3704 0044 0532 0130 00 ssn 000-45-6789")
 
 
+@pytest.mark.parametrize(
+    ("account", "behind"),
+    [
+        ("DE89 3704 0044 0532 0130 00", " BIC COBADEFF"),
+        ("GB82 WEST 1234 5698 7654 32", " Please"),
+        ("GB82WEST12345698765432", " 7 days, A"),
+        ("NO93 8601 1117 947", " X"),
+        ("MT84 MALT 0110 0001 2345 MTLC AST0 01S", " AND MORE CAPITALS"),
+        ("ZZ65 1234 5678 9012", " END"),
+        ("DE89 3704 0044 0532 0130 00", ""),
+        ("DE89 3704 0044 0532 0130 00", "x"),
+    ],
+)
+def test_accounts_with_words_behind(account, behind):
+    expected = [("iban", 5, 5 + len(account))]
+    assert [s for s in pii.personal_spans(f"IBAN {account}{behind}") if s[0] == "iban"] == expected
+
+
+def test_accounts_end_with_a_group():
+    assert not pii.personal_spans("IBAN DE88 3704 0044 0532 0130 00 BIC COBADEFF")
+    assert not pii.personal_spans("IBAN GB82WEST12345698765432A B")
+    # By chance a further group may be valid too; the country's length decides.
+    further = next(f"{n:02}" for n in range(100) if pii.iban_valid(f"DE89370400440532013000{n:02}"))
+    spans = pii.personal_spans(f"IBAN DE89 3704 0044 0532 0130 00 {further}")
+    assert [s for s in spans if s[0] == "iban"] == [("iban", 5, 32)]
+
+
 @pytest.mark.parametrize(
     ("operator", "brute", "kinds"),
     [
