@@ -7,7 +7,8 @@ substrings up to about r / s bits, so probing every index for the values within
 that distance retrieves every code within the radius. What is retrieved is reranked by
 the inner product of the original vectors in double precision.
 
-The rotation and the radius are fitted on a bounded sample. Equal vectors share
+The rotation and the radius are fitted on a bounded sample. Queries that find too few
+vectors within the radius search again with wider ones, up to all bits. Equal vectors share
 one index entry that keeps their smallest identifiers, so that a group of copies,
 however large, is searched and found once.
 """
@@ -15,7 +16,7 @@ however large, is searched and found once.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -80,7 +81,8 @@ def fit(sample: np.ndarray, neighbours: int, bits: int = 128) -> Codes:
     """Codes and the radius that reaches ``REACH`` of the sample's true neighbours.
 
     A sample's neighbours are farther away than those in a larger table, so the
-    radius errs on the safe side there.
+    radius errs on the safe side there, on the average: a query in a sparse place
+    may need a wider one.
     """
     rotation = learn_rotation(sample, bits)
     codes = Codes(rotation, bits)
@@ -212,6 +214,40 @@ def _dealt(rows: DataFrame, own: str, blocks: int, other: str, others: int) -> D
     )
 
 
+def _best(index: DataFrame, asked: DataFrame, codes: Codes, most: int) -> DataFrame:
+    """For each query entry the ``most`` best of those within the radius, over all blocks."""
+    blocks = -(-index.count() // BLOCK)
+    query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    left = _dealt(index, "block", blocks, "query_block", query_blocks)
+    right = _dealt(asked, "query_block", query_blocks, "block", blocks)
+    found = (
+        left.groupBy("block", "query_block")
+        .cogroup(right.groupBy("block", "query_block"))
+        .applyInPandas(lambda i, q: search(i, q, codes, most), "entry long, vec_id long, score double")
+    )
+    best = Window.partitionBy("entry").orderBy(F.desc("score"), "vec_id")
+    found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
+    return kept(found.drop("place"), "found")
+
+
+def _found(index: DataFrame, asked: DataFrame, codes: Codes, most: int) -> DataFrame:
+    """``_best``, with wider radii for the entries that find fewer than ``most``."""
+    bits = codes.rotation.shape[1]
+    found = _best(index, asked, codes, most)
+    while codes.radius < bits:
+        enough = found.groupBy("entry").count().where(F.col("count") >= most).select("entry")
+        enough = kept(enough, "enough")
+        asked = kept(asked.join(enough, "entry", "left_anti"), "asked")
+        if asked.isEmpty():
+            break
+        radius = min(bits, max(2 * codes.radius, codes.radius + SUBSTRING_BITS))
+        codes = replace(codes, radius=radius)
+        # What they found before is found again.
+        wider = _best(index, asked, codes, most)
+        found = kept(found.join(enough, "entry").unionByName(wider), "found")
+    return found
+
+
 def nearest(
     vectors: DataFrame, neighbours: int = 20, every: int = 20, bits: int = 128
 ) -> DataFrame:
@@ -224,8 +260,13 @@ def nearest(
     repeats another's identifier and vector counts once. Other columns are not
     read. Without rows to search the result is empty.
 
+    Every query has ``neighbours`` rows, or as many as there are candidates; fewer only
+    where its own identifier stands at several different vectors near it.
+
     Both sides are cut into blocks of bounded size and every pair of blocks is one
     task, as a radius wide enough for this recall leaves values to probe everywhere.
+    Queries with too few candidates within the radius, and only they, are searched
+    again with about twice the radius, and so on; all bits reach every candidate.
     """
     spark = vectors.sparkSession
     rows = kept(taking_part(vectors), "vectors")
@@ -250,18 +291,7 @@ def nearest(
     queries = rows.where(F.col("vec_id") % every == 0).select("entry", F.col("vec_id").alias("query_id"))
     asked = index.drop("ids").join(queries.select("entry").distinct(), "entry")
     asked = kept(asked, "asked")
-    blocks = -(-index.count() // BLOCK)
-    query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    left = _dealt(index, "block", blocks, "query_block", query_blocks)
-    right = _dealt(asked, "query_block", query_blocks, "block", blocks)
-    found = (
-        left.groupBy("block", "query_block")
-        .cogroup(right.groupBy("block", "query_block"))
-        .applyInPandas(lambda i, q: search(i, q, codes, most), "entry long, vec_id long, score double")
-    )
-    best = Window.partitionBy("entry").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
-    found = kept(found.drop("place"), "found")
+    found = _found(index, asked, codes, most)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         queries.join(found, "entry")

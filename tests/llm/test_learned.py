@@ -197,6 +197,26 @@ def test_search_finds_near_vectors(spark):
     assert hits / total >= 0.9
 
 
+def test_isolated_vectors_find_their_neighbours(spark):
+    """Tight clusters make a radius within which isolated vectors find nothing."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 24))
+    own = np.repeat(centres, 49, axis=0) + rng.normal(scale=1e-4, size=(980, 24))
+    isolated = rng.normal(size=(20, 24))
+    rows = [(20 * i, v.tolist()) for i, v in enumerate(isolated)]
+    rows += [(i * 20 // 19 + 1, v.tolist()) for i, v in enumerate(own)]
+    assert len({i for i, _ in rows}) == 1000
+    for neighbours, count in ((20, 20), (60, 60), (2000, 999)):
+        expected = brute(rows, neighbours, 20)
+        found = {}
+        for r in hamming_search.nearest(vectors(spark, rows), neighbours, 20, bits=64).collect():
+            found.setdefault(r.query_id, {})[r.rank] = r.vec_id
+        assert set(found) == set(expected)
+        assert all(sorted(own) == list(range(1, count + 1)) for own in found.values())
+    # Beyond the number of candidates the search is exact.
+    assert all([i for _, i in sorted(found[q].items())] == [i for i, _ in near] for q, near in expected.items())
+
+
 def test_copies_and_unusable_vectors(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 16)).astype(np.float32).tolist()
