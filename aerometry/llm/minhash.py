@@ -6,7 +6,9 @@ rate is its weight, each arrival falling into a register by chance; a register
 keeps the shingle that arrives first. A shingle stops when its next arrival is
 later than all registers' first ones. Registers of two texts agree with the
 probability Jaccard similarity of their weights, which equals the Jaccard
-similarity of the sets where weights are alike.
+similarity of the sets where weights are alike. A text with repeated shingles also
+has registers in which every shingle weighs 1, as in texts without repeats, so that
+its sets meet whatever the counts.
 
 Texts that agree in all registers of some band are candidates. Within a band's
 bucket the smallest document is the leader; two candidates always share a leader,
@@ -37,7 +39,7 @@ from aerometry.session import scratch_path
 SHINGLE = 5
 SIMILARITY = 0.8
 
-#: A pair of similarity 0.8 is missed by all bands with a chance of 5 in 100,000.
+#: A pair of similarity 0.8 is missed by all bands with a chance of 5 in 100,000 at most.
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 
@@ -111,16 +113,37 @@ def band_keys(winners: np.ndarray) -> np.ndarray:
     return key
 
 
+def text_bands(
+    text: np.ndarray, names: np.ndarray, counts: np.ndarray, n: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of ``n`` texts one after the other, and where each text's begin, with the end last.
+
+    Counts of 1 weigh 1, so a text without repeats has the same registers either way.
+    Of a text with repeats the bands that differ without its counts are added.
+    """
+    weighted = band_keys(signatures(text, names, counts, n))
+    owners = np.unique(text)
+    again = np.unique(text[counts > 1])
+    repeats = np.isin(text, again)
+    number = np.searchsorted(again, text[repeats])
+    plain = band_keys(signatures(number, names[repeats], np.ones(len(number)), len(again)))
+    differs = plain != weighted[again]
+    owner = np.concatenate([np.repeat(owners, BANDS), np.repeat(again, differs.sum(axis=1))])
+    keys = np.concatenate([weighted[owners].ravel(), plain[differs]])
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+    return keys[np.argsort(owner, kind="stable")], bounds
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         whole = batch.column(1).cast(pa.large_string())
         for first, end in slices(whole, BATCH_BYTES):
             texts = whole[first:end]
             text, names, counts = shingles(texts)
-            keys = band_keys(signatures(text, names, counts, len(texts))).view(np.int64)
-            some = np.bincount(text, minlength=len(texts)) > 0
-            bounds = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))])
-            bands = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(keys[some].ravel()))
+            keys, bounds = text_bands(text, names, counts, len(texts))
+            bands = pa.ListArray.from_arrays(
+                pa.array(bounds, pa.int32()), pa.array(keys.view(np.int64))
+            )
             digests = [
                 hashlib.sha256(b" ".join(text.as_py().encode().split())).digest() for text in texts
             ]

@@ -129,6 +129,35 @@ def test_classes(documents, monkeypatch, chunk):
     assert found == plain.classes(texts)
 
 
+def repeating(rng, pairs, times):
+    """Pairs of texts that share all but 8 of 98 shingles; one of each repeats a line."""
+    texts = []
+    for i in range(pairs):
+        shared = [f"p{i}w{rng.randrange(10**9)}" for _ in range(64)]
+        line = [f"p{i}l{k}" for k in range(30)]
+        texts.append((2 * i, " ".join(shared) + "\n" + " ".join(line * times + line[:4])))
+        texts.append((2 * i + 1, " ".join(shared) + "\n" + " ".join(line + line[:4] + ["x", "y"])))
+    return texts
+
+
+def test_counts_that_differ_fifty_fold(documents):
+    """By the weighted bands alone, some 12 of 100 such pairs are never compared."""
+    texts = repeating(random.Random(4), 100, 50)
+    found = {r.doc_id: r.class_id for r in minhash.near_duplicates(documents(texts)).collect()}
+    expected = plain.classes(texts)
+    assert found == expected and all(i - c == i % 2 for i, c in expected.items())
+
+
+def test_texts_without_repeats_have_no_further_bands():
+    names = np.arange(1, 41, dtype=np.uint64)
+    text, counts = np.repeat([0, 2, 3], 40), np.repeat([1, 1, 50], 40)
+    counts[-20:] = 1
+    keys, bounds = minhash.text_bands(text, np.tile(names, 3), counts, 5)
+    first, none, same, further, last = (set(keys[a:b].tolist()) for a, b in zip(bounds, bounds[1:]))
+    assert len(first) == minhash.BANDS and first == same and not none and not last
+    assert first < further and minhash.BANDS < len(further) <= 2 * minhash.BANDS
+
+
 def test_class_edges(edges, empty):
     assert minhash.near_duplicates(empty).count() == 0
     found = sorted((repr(tuple(r)) for r in minhash.near_duplicates(edges).collect()))
