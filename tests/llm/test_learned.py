@@ -82,6 +82,17 @@ def test_pairwise_weights_order_a_line():
     assert np.mean((fitted.scores(rows) >= ranking.THRESHOLD) == (quality == 1)) >= 0.99
 
 
+@pytest.mark.parametrize("bad", [0.3, 0.7, 0.95])
+def test_the_cut_follows_the_share_of_bad_rows(bad):
+    rng = np.random.default_rng(1)
+    rows = rng.normal(size=(1000, len(ranking.FEATURES)))
+    quality = (rows[:, 3] > np.quantile(rows[:, 3], bad)).astype(np.int64)
+    fitted = ranking.fit(rows, quality)
+    predicted = fitted.scores(rows) >= ranking.THRESHOLD
+    assert np.mean(predicted == (quality == 1)) >= 0.98
+    assert predicted.any() and np.mean(predicted[quality == 0]) < 0.03
+
+
 def test_base_counts(documents):
     rng = random.Random(6)
     drawn = [
