@@ -8,6 +8,7 @@ with the largest imbalances are merged again and again, heavy windows of one ont
 light windows of the other, until one partition is left. Large pieces meet early
 and rests even out what they leave, so loads end a few tokens apart. A cell takes
 as many windows as its tokens need and one more while a window exceeds capacity.
+Pieces are dealt by their place in the table, so that equal ones spread too.
 """
 
 from __future__ import annotations
@@ -194,11 +195,12 @@ def partition(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
         windows += 1
 
 
+PLACED = PIECES + ", place long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
 
 def _pack_cell(key: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
-    pieces = pieces.drop(columns="cell").sort_values(
+    pieces = pieces.drop(columns=["cell", "place"]).sort_values(
         ["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True]
     )
     lengths = pieces["length"].to_numpy()
@@ -226,12 +228,13 @@ def pack_documents(docs: DataFrame, path: str) -> DataFrame:
     """
     spark = docs.sparkSession
     kept = scratch_path(spark, "pieces")
-    document_pieces(docs, path).write.parquet(kept)
-    pieces = spark.read.schema(PIECES).parquet(kept)
+    placed = document_pieces(docs, path).withColumn("place", F.monotonically_increasing_id())
+    placed.write.parquet(kept)
+    pieces = spark.read.schema(PLACED).parquet(kept)
     small = F.col("length") < CAPACITY
     tokens, count = pieces.agg(
         F.sum(F.when(small, F.col("length"))), F.count("*")
     ).first()
     cells = max(1, -(-(tokens or 0) // CELL_TOKENS), -(-count // CELL_PIECES))
-    cell = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(cells))
+    cell = F.pmod(F.xxhash64("place"), F.lit(cells))
     return pieces.withColumn("cell", cell).groupBy("cell").applyInPandas(_pack_cell, PACKED)

@@ -114,6 +114,17 @@ def test_packing_table(documents, empty, library):
     assert check_packed(rows, expected) < 0.02
 
 
+def test_equal_rows_spread_over_cells(documents, monkeypatch):
+    monkeypatch.setattr(packing, "CELL_PIECES", 200)
+    texts = [(None, "")] * 2000 + [(7, "the same words")] * 1000 + [(i, "a b") for i in range(100, 200)]
+    rows = packing.pack_documents(documents(texts), WORDS).collect()
+    assert len(rows) == len(texts)
+    assert sum(r.doc_id is None for r in rows) == 2000 and sum(r.doc_id == 7 for r in rows) == 1000
+    cells = np.unique([r.sequence_id >> 32 for r in rows], return_counts=True)[1]
+    # 16 cells of 194 pieces on the average; one of all equal rows would hold 2,000.
+    assert len(cells) == 16 and cells.max() < 300
+
+
 @pytest.mark.parametrize("tokens", [1, 511, 512, 4095, 4096, 4097, 9000])
 def test_cuts_cover_a_document(tokens):
     at = 0
