@@ -25,8 +25,10 @@ class ClosedWindows:
     windows of one delay, however long the stream.
 
     Readings of windows that closed in an earlier batch are late. They are written
-    below ``late_path`` with their batch number; a replay in any order thus ends
-    with closed windows and late readings that together hold every reading.
+    below ``late_path`` with their batch number, and readings without a time, which
+    no window holds, below ``late_path`` with ``_untimed`` behind it; a replay in any
+    order thus ends with closed windows, late and untimed readings that together hold
+    every reading.
     """
 
     values: Sequence[str]
@@ -77,6 +79,8 @@ class ClosedWindows:
         """Take in a micro-batch; the partial aggregates of the windows it closes."""
         spark = batch.sparkSession
         timed = batch.where(F.col(TIME_FIELD).isNotNull())
+        untimed = batch.where(F.col(TIME_FIELD).isNull())
+        untimed.write.mode("overwrite").parquet(f"{self.late_path}_untimed/epoch={epoch}")
         seen = before = None
         earlier = []
         if epoch > 0:

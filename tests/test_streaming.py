@@ -120,6 +120,17 @@ def test_closed_windows_are_written_once_and_late_readings_kept(spark, streams,
     assert rows(late, "epoch", "data.temperature") == [(3, 99.0)]
 
 
+def test_readings_without_a_time_are_kept(spark, streams, base):
+    land(spark, f"{base}/in", [message("00:00:01", "a", 10), message("00:00:03", text="garbage")])
+    land(spark, f"{base}/in", [message("00:02:00", "a", 20), message("00:02:03", text='{"city": "b"}')])
+    alarms.start_closed_rollup(
+        source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="30 seconds"
+    ).awaitTermination()
+    untimed = spark.read.parquet(f"{base}/out_late_untimed")
+    assert rows(untimed, "epoch", "data.city") == [(0, None), (1, "b")]
+    assert spark.read.parquet(f"{base}/out_late").count() == 0
+
+
 def test_open_windows_stay_few(spark, streams, base):
     """What is kept between batches follows the delay, not the length of the stream."""
     for minute in range(0, 40, 4):
