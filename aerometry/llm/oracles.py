@@ -108,4 +108,30 @@ ORACLES: dict[str, str] = {
         FROM sides
         GROUP BY pair_id
     """,
+    "op13_warc": """
+        WITH payloads AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ),
+        hashed AS (
+            SELECT page_id, octet_length(payload) AS n, sha1(payload) AS hex FROM payloads
+        ),
+        told AS (
+            SELECT
+                page_id, n,
+                array_to_string(list_transform(range(32), lambda i: substr(
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                    1 + ((CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS INTEGER)
+                        >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1
+                )), '') AS digest
+            FROM hashed
+        ),
+        lasts AS (SELECT *, max(page_id) OVER (PARTITION BY digest, n) AS last_page FROM told)
+        SELECT
+            page_id,
+            CAST(n AS BIGINT) AS payload_bytes,
+            digest AS payload_digest,
+            CASE WHEN page_id = last_page THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> last_page THEN last_page END AS refers_to
+        FROM lasts
+    """,
 }

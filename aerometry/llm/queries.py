@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerometry.llm import (
     bpe_automaton,
+    conversation_repair,
     decision_list,
     hamming_search,
     minhash,
@@ -17,7 +18,9 @@ from aerometry.llm import (
     preference,
     ranking,
     secret_scan,
+    spelling,
     substring_dedup,
+    warc,
 )
 from aerometry.llm.documents import share_library
 
@@ -94,3 +97,18 @@ def op9_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (_table(spark, sf_dir, name) for name in ("documents", "labels"))
     return decision_list.apply_quality_rules(documents, labels)
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(_table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(_table(spark, sf_dir, "pages"))

@@ -1,7 +1,9 @@
 """Plain versions of the operators, one document or pair at a time."""
 
 import hashlib
+import heapq
 import re
+import zlib
 from collections import Counter, defaultdict
 
 PROSE = "the cat sat on the mat and looked at the moon while rain fell on old roofs"
@@ -163,3 +165,101 @@ def counts(text):
         len(lines) - len(set(lines)),
         len(covered),
     )
+
+
+def variants(rows, least_length=6, least_count=5, times=5, damaged=199):
+    """Per word (form, root, n, n_near, form_n), all pairs of words compared."""
+    count = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % damaged == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= least_length:
+                count[run] += 1
+    count = {word: n for word, n in count.items() if n >= least_count}
+    near = {word: [w for w in count if one_edit(word, w)] for word in count}
+    form = {}
+    for word, others in near.items():
+        best = min(others, key=lambda w: (-count[w], w), default=None)
+        form[word] = best if best is not None and count[best] >= times * count[word] else None
+    result = {}
+    for word, n in count.items():
+        root = word
+        while form[root] is not None:
+            root = form[root]
+        result[word] = (form[word], root, n, len(near[word]), count.get(form[word]))
+    return result
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) - len(short) == 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def damaged_turns(rows):
+    """The rows (turn, role, text) of one conversation after the damage, in order."""
+    found = []
+    for conv_id, turn, role, text in rows:
+        key = f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}"
+        fault = zlib.crc32(key.encode()) % 20
+        role, text = (" " if v is None else v for v in (role, text))
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        role = "user" if fault == 4 else role
+        found += [(turn, role, text)] * {0: 0, 3: 2}.get(fault, 1)
+    digest = lambda text: hashlib.sha256(text.encode()).digest()
+    return sorted(found, key=lambda r: (r[0] is not None, r[0], r[1].encode(), digest(r[2])))
+
+
+def repaired(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, digest) of one conversation.
+
+    Edits are tried in order of cost, then of the audit, until one gives the form.
+    """
+    rows = damaged_turns(rows)
+    faults, seen = [], set()
+    for _, role, text in rows:
+        last = re.findall(r"[^\x20\x09-\x0D]", text)[-1:]
+        if not last:
+            faults.append("blank")
+        elif (role, text) in seen:
+            faults.append("duplicate")
+        else:
+            faults.append(None if last[0] in ".!?" else "truncated")
+        seen.add((role, text))
+    turns = [turn for turn, _, _ in rows if turn is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    initials = [role[:1] for _, role, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+    heap, done = [(0, "", 0, "", ())], set()
+    while True:
+        cost, audit, at, roles, lines = heapq.heappop(heap)
+        if at == len(rows) and re.fullmatch("(s?(ua)+)?", roles):
+            break
+        place = (at, "s" in roles and len(roles) == 1, roles[-1:])
+        if place in done:
+            continue
+        done.add(place)
+        options = [("I", INSERTED, 0, role, "") for role in ("user", "assistant")]
+        if at < len(rows):
+            _, role, text = rows[at]
+            if faults[at] in ("blank", "duplicate"):
+                options.append(("D", 4, 1, "", ""))
+            else:
+                extra = 3 * (faults[at] == "truncated")
+                options += [("D", 4, 1, "", ""), ("K", extra, 1, role, text)]
+                options += [("R", 3 + extra, 1, to, text) for to in ("user", "assistant")]
+        for edit, price, step, role, text in options:
+            longer = roles if edit == "D" else roles + (role[:1] or "-")
+            if re.fullmatch("s?(ua)*u?", longer):
+                line = () if edit == "D" else (f"{role}:{text}",)
+                heapq.heappush(heap, (cost + price, audit + edit, at + step, longer, lines + line))
+    count = Counter(faults)
+    numbers = (gaps, count["blank"], count["duplicate"], count["truncated"], illegal)
+    return (*numbers, cost, audit, sha("\n".join(lines)))
+
+
+INSERTED = 3
