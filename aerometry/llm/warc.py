@@ -120,10 +120,15 @@ def record_text(records: DataFrame) -> DataFrame:
 
 
 def write_archives(
-    records: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE
+    records: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, fast: bool = False
 ) -> None:
-    """Write records to a new folder; every task writes and commits its own files."""
+    """Write records to a new folder; every task writes and commits its own files.
+
+    ``fast`` compresses less, for archives that are soon written anew.
+    """
     text = record_text(records).write.option("lineSep", BLOCK).option("compression", "gzip")
+    if fast:
+        text = text.option("zlib.compress.level", "BEST_SPEED")
     text.option("maxRecordsPerFile", records_per_file).text(path)
 
 
@@ -337,6 +342,6 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """
     spark = pages.sparkSession
     first, second = (scratch_path(spark, purpose) for purpose in ("warc", "warc-deduplicated"))
-    write_archives(records_of(pages), first)
+    write_archives(records_of(pages), first, fast=True)
     deduplicate_archives(spark, first, second, least_bytes)
     return resolved_headers(spark, second).drop("url")
