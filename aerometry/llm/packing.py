@@ -19,6 +19,7 @@ import re
 import sys
 import zlib
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerometry.llm.bpe_automaton import byte_characters
 from aerometry.llm.documents import map_texts
 from aerometry.session import scratch_path
 
@@ -38,8 +40,8 @@ END_TOKEN = 2
 CELL_TOKENS = 256 * CAPACITY
 CELL_PIECES = 20_000
 
-#: Distinct words a worker remembers.
-MEMO_LIMIT = 690_000
+#: Distinct words of a generation of a worker's memory; it holds two.
+MEMO_LIMIT = 345_000
 
 WORD = re.compile(r"[^ \t-\r]+")
 #: Separators to ``str.split`` that are no white space to a vocabulary.
@@ -50,13 +52,39 @@ if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("checksums are over little-endian numbers of four bytes")
 
 
+class Memo(dict):
+    """Words and their tokens; a missing one is made.
+
+    When a generation is full, the one before it goes. Words that are asked for again
+    move over, so that common ones stay.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], before: Memo | None = None) -> None:
+        self.make, self.before = make, {} if before is None else before
+
+    def __missing__(self, word: str) -> bytes:
+        known = self.before.get(word)
+        if known is None:
+            known = self.make(word)
+        self[word] = known
+        return known
+
+    def following(self) -> Memo:
+        """This generation, or a new one if it is full."""
+        if len(self) <= MEMO_LIMIT:
+            return self
+        self.before = {}
+        return Memo(self.make, self)
+
+
 class WordTokens:
     """Token numbers of words, as little-endian bytes, by a vocabulary that drops white space.
 
     Such a vocabulary splits at every white space, and between letters and a mark
     behind them, before it merges; so a text's tokens are those of its words in
     order. It also lower-cases letter by letter, which texts of Latin letters
-    undergo here as a whole, so that fewer words differ.
+    undergo here as a whole, so that fewer words differ. A word of such letters is one
+    piece to it, whose bytes go to the merges as characters.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,33 +94,30 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[str, bytes] = {}
+        self.merges = self.tokenizer.model
+        shown = {byte: character for character, byte in byte_characters().items()}
+        self.shown = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(128, 256)}
+        self.memo = Memo(self._tokens)
 
     def encode(self, text: str) -> bytes:
         """The tokens of a text, four bytes each."""
         words = text.lower().split() if _plain(text) else WORD.findall(text)
-        found = list(map(self.memo.get, words))
-        if None in found:
-            self._learn({w for w, known in zip(words, found, strict=True) if known is None})
-            found = map(self.memo.__getitem__, words)
-        encoded = b"".join(found)
-        if len(self.memo) > MEMO_LIMIT:
-            self.memo.clear()
+        encoded = b"".join(map(self.memo.__getitem__, words))
+        self.memo = self.memo.following()
         return encoded
 
-    def _learn(self, words: set[str]) -> None:
+    def _tokens(self, word: str) -> bytes:
         """Letters and one mark behind them are encoded apart, as the vocabulary splits them.
 
         Some letters beyond Latin-1 end with a mark of their own in lower case.
         """
-        marked = [w for w in words if w[-1] in ".," and w[:-1].isalpha() and w[-2] < "\u0100"]
-        new = words.difference(marked).union(w[:-1] for w in marked).union(w[-1] for w in marked)
-        new = list(new.difference(self.memo))
-        encodings = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for word, encoding in zip(new, encodings, strict=True):
-            self.memo[word] = array("I", encoding.ids).tobytes()
-        for word in marked:
-            self.memo[word] = self.memo[word[:-1]] + self.memo[word[-1]]
+        if word[-1] in ".," and word[:-1].isalpha() and word[-2] < "\u0100":
+            return self.memo[word[:-1]] + self.memo[word[-1]]
+        if word.isalpha() and max(word) < "\u0100" and word == word.lower():
+            found = [token.id for token in self.merges.tokenize(word.translate(self.shown))]
+        else:
+            found = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return array("I", found).tobytes()
 
 
 def _plain(text: str) -> bool:

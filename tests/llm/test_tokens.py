@@ -59,6 +59,20 @@ def test_small_memo_and_table_change_nothing(monkeypatch):
     assert [fresh.encode(text) for text in texts] == whole
 
 
+def test_common_words_outlive_a_full_memory(monkeypatch):
+    """Two generations: what is asked for again moves over, and tokens stay the same."""
+    texts = drawn(300, seed=6)
+    whole = [packing.word_tokens(WORDS).encode(text) for text in texts]
+    monkeypatch.setattr(packing, "MEMO_LIMIT", 40)
+    fresh, made = packing.WordTokens(WORDS), []
+    tokens = fresh.memo.make
+    fresh.memo.make = lambda word: made.append(word) or tokens(word)
+    for text, expected in zip(texts, whole, strict=True):
+        assert fresh.encode(f"common {text}") == fresh.encode("common") + expected
+        assert len(fresh.memo) + len(fresh.memo.before) <= 2 * (40 + len(packing.WORD.findall(text)) + 1) + 160
+    assert made.count("common") == 1 and len(made) > 200
+
+
 def test_merge_gadget_by_hand():
     labels = {b"a": 0, b"b": 1, b"aa": 2, b"ab": 3, b"aab": 4}
     merges = [(b"a", b"a"), (b"a", b"b"), (b"a", b"ab")]
