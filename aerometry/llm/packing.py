@@ -25,6 +25,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +45,11 @@ CELL_PIECES = 20_000
 MEMO_LIMIT = 345_000
 
 WORD = re.compile(r"[^ \t-\r]+")
-#: Separators to ``str.split`` that are no white space to a vocabulary.
-CONTROL = re.compile("[\x1c-\x1f]")
+#: White space to some and not to others, of a vocabulary and the ways to split texts.
+CONTROL = re.compile("[\x1c-\x1f\x85\xa0]")
+
+#: Characters whose words are looked up together.
+BATCH_BYTES = 4 << 20
 
 
 if sys.byteorder != "little" or array("I").itemsize != 4:
@@ -101,10 +105,47 @@ class WordTokens:
 
     def encode(self, text: str) -> bytes:
         """The tokens of a text, four bytes each."""
-        words = text.lower().split() if _plain(text) else WORD.findall(text)
-        encoded = b"".join(map(self.memo.__getitem__, words))
+        return bytes(self.encode_all(pa.array([text], pa.large_string()))[0])
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The tokens of each text. Words that repeat in plain texts are looked up once."""
+        written = texts.to_pylist()
+        plain = np.fromiter(map(_plain, written), dtype=bool, count=len(written))
+        found = [b""] * len(written)
+        for at in np.flatnonzero(~plain):
+            self.memo.make = self._tokens
+            found[at] = b"".join(map(self.memo.__getitem__, WORD.findall(written[at])))
+            self.memo = self.memo.following()
+        if plain.any():
+            tokens, bounds = self._plain_tokens(texts.filter(pa.array(plain)))
+            for at, first, end in zip(np.flatnonzero(plain), bounds, bounds[1:], strict=False):
+                found[at] = tokens[first:end].tobytes()
+        return found
+
+    def _plain_tokens(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of plain texts one after the other, and where each text's begin."""
+        lists = pc.ascii_split_whitespace(pc.utf8_lower(texts))
+        words = lists.flatten().dictionary_encode()
+        self.memo.make = self._letters
+        # Next to white space at either end of a text lies an empty word, without tokens.
+        known = [self.memo[word] if word else b"" for word in words.dictionary.to_pylist()]
         self.memo = self.memo.following()
-        return encoded
+        sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        tokens = np.frombuffer(b"".join(known), dtype="<u4")
+        word = words.indices.to_numpy()
+        ends = np.cumsum(sizes[word])
+        ahead = np.concatenate([[0], ends])
+        starts = (np.cumsum(sizes) - sizes)[word]
+        place = np.repeat(starts - ahead[:-1], sizes[word]) + np.arange(ahead[-1])
+        offsets = lists.offsets.to_numpy()
+        return tokens[place], ahead[offsets - offsets[0]]
+
+    def _letters(self, word: str) -> bytes:
+        """Tokens of a word of a plain text: in lower case, of Latin-1 characters."""
+        if not word.isalpha():
+            return self._tokens(word)
+        shown = word if word.isascii() else word.translate(self.shown)
+        return array("I", [token.id for token in self.merges.tokenize(shown)]).tobytes()
 
     def _tokens(self, word: str) -> bytes:
         """Letters and one mark behind them are encoded apart, as the vocabulary splits them.
@@ -113,10 +154,7 @@ class WordTokens:
         """
         if word[-1] in ".," and word[:-1].isalpha() and word[-2] < "\u0100":
             return self.memo[word[:-1]] + self.memo[word[-1]]
-        if word.isalpha() and max(word) < "\u0100" and word == word.lower():
-            found = [token.id for token in self.merges.tokenize(word.translate(self.shown))]
-        else:
-            found = self.tokenizer.encode(word, add_special_tokens=False).ids
+        found = self.tokenizer.encode(word, add_special_tokens=False).ids
         return array("I", found).tobytes()
 
 
@@ -160,8 +198,8 @@ def document_pieces(docs: DataFrame, path: str) -> DataFrame:
     def batch(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
         rows = []
         words = word_tokens(path)
-        for doc_id, text in zip(ids.to_pylist(), texts, strict=True):
-            tokens = memoryview(words.encode(text.as_py()) + end)
+        for doc_id, found in zip(ids.to_pylist(), words.encode_all(texts), strict=True):
+            tokens = memoryview(found + end)
             total = len(tokens) // 4
             for start, length in cuts(total):
                 crc = zlib.crc32(tokens[4 * start : 4 * (start + length)])
@@ -172,7 +210,7 @@ def document_pieces(docs: DataFrame, path: str) -> DataFrame:
             ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
         )
 
-    return map_texts(docs, batch, PIECES)
+    return map_texts(docs, batch, PIECES, BATCH_BYTES)
 
 
 def difference(sizes: np.ndarray, windows: int) -> tuple[np.ndarray, np.ndarray]:

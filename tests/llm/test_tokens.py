@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from plain import TEXTS, sha
@@ -35,6 +36,15 @@ def library():
     return found
 
 
+def test_texts_together_have_the_tokens_of_each(library):
+    """Plain texts and others in one batch, with white space at their ends."""
+    texts = [" a  b ", "", "\n", "x\x85y", "x\xa0y", "Füße, ÉTÉ.", "a\x1cb", "<|x|>", "日本 go", *drawn(50, seed=7)]
+    found = packing.word_tokens(WORDS).encode_all(pa.array(texts * 2, pa.large_string())[3:])
+    for text, tokens in zip((texts * 2)[3:], found, strict=True):
+        ids = library[WORDS].encode(text, add_special_tokens=False).ids
+        assert tokens == np.array(ids, dtype="<u4").tobytes(), text
+
+
 def test_words_have_the_librarys_tokens(library):
     own = packing.word_tokens(WORDS)
     for text in drawn(4000):
@@ -59,18 +69,29 @@ def test_small_memo_and_table_change_nothing(monkeypatch):
     assert [fresh.encode(text) for text in texts] == whole
 
 
-def test_common_words_outlive_a_full_memory(monkeypatch):
-    """Two generations: what is asked for again moves over, and tokens stay the same."""
+def test_a_full_memory_changes_nothing(monkeypatch):
+    """A memory of few words changes no tokens."""
     texts = drawn(300, seed=6)
     whole = [packing.word_tokens(WORDS).encode(text) for text in texts]
     monkeypatch.setattr(packing, "MEMO_LIMIT", 40)
     fresh, made = packing.WordTokens(WORDS), []
-    tokens = fresh.memo.make
-    fresh.memo.make = lambda word: made.append(word) or tokens(word)
+    letters = fresh._letters
+    monkeypatch.setattr(fresh, "_letters", lambda word: made.append(word) or letters(word))
     for text, expected in zip(texts, whole, strict=True):
-        assert fresh.encode(f"common {text}") == fresh.encode("common") + expected
-        assert len(fresh.memo) + len(fresh.memo.before) <= 2 * (40 + len(packing.WORD.findall(text)) + 1) + 160
-    assert made.count("common") == 1 and len(made) > 200
+        assert fresh.encode(text) == expected
+        assert len(fresh.memo.before) <= 40 + 2 * len(packing.WORD.findall(text)) + 160
+    assert len(made) > 20
+
+
+def test_generations_keep_what_is_asked_for(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_LIMIT", 3)
+    made = []
+    memo = packing.Memo(lambda word: made.append(word) or word.encode())
+    for number in range(30):
+        assert memo["common"] == b"common" and memo[f"w{number}"] == b"w%d" % number
+        memo = memo.following()
+        assert len(memo) + len(memo.before) <= 8
+    assert made.count("common") == 1 and len(made) == 31
 
 
 def test_merge_gadget_by_hand():
