@@ -346,6 +346,8 @@ ORACLES["batch_pipeline"] = _JOINED + _together("result", _RESULT_SQL)
 
 ORACLES["stream_rollup"] = ORACLES["window_rollup"]
 ORACLES["stream_low_temp_alarm"] = ORACLES["low_temp_alarm"]
+ORACLES["stream_rollup_merged"] = ORACLES["window_rollup"]
+ORACLES["stream_low_temp_alarm_merged"] = ORACLES["low_temp_alarm"]
 ORACLES["stream_rollup_append"] = (
     f"with {_READINGS}, windows as (select {_window('time')}, {_AGGREGATES} from readings "
     f"where time is not null group by 1, 2) select * from windows where {_CLOSED}"
@@ -368,8 +370,9 @@ ORACLES["stream_replay"] = (
     f"select {_AVERAGE}, n_temperature from averages where {_CLOSED}"
 )
 ORACLES["change_notice"] = (
-    _CHANGES + f"select coalesce(city, 'unknown city') as city, count(*) as notices from changes "
-    f"where c >= {TEMPERATURE_CHANGE} and {_CLOSED} group by 1"
+    _CHANGES + "select concat('Temperature change: the mean in ', coalesce(city, 'unknown city'), "
+    "' moved by # since the window before') as message, round(c, 6) as moved from changes "
+    f"where c >= {TEMPERATURE_CHANGE} and {_CLOSED}"
 )
 ORACLES["stream_all"] = _together(
     "sink",

@@ -21,9 +21,7 @@ from aerometry.sinks.messages import FilePublisher
 from aerometry.sources import feeds
 from aerometry.sources.messages import MessageFiles, read_messages
 from aerometry.sources.sensors import read_sensors, sensor_path
-from aerometry.streaming import alarms, changes
-from aerometry.streaming.sinks import start_per_batch
-from aerometry.streaming.windows import ClosedWindows
+from aerometry.streaming import alarms, changes, late
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -446,7 +444,8 @@ def _contents(spark: SparkSession, label: str, paths: Mapping[str, str]) -> Data
 def _landed(spark: SparkSession, rows: DataFrame, newest_first: bool = False) -> str:
     """Rows of ``events`` as four lots of files that arrive one after the other."""
     path = scratch_path(spark, "landed")
-    lots = [F.floor((F.dayofmonth("ts") - 1) / 8) == lot for lot in range(4)]
+    number = F.coalesce(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(0))
+    lots = [number == lot for lot in range(4)]
     for lot in reversed(lots) if newest_first else lots:
         rows.where(lot).drop("ts").write.mode("append").parquet(path)
     return path
@@ -508,24 +507,45 @@ def stream_low_temp_alarm_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(found.drop("epoch"))
 
 
+@query
+def stream_rollup_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As stream_rollup; a trigger writes the days it changes."""
+    base = scratch_path(spark, "stream")
+    readings = _reading_stream(spark, sf_dir, READING_VALUES)
+    alarms.start_merged_rollup(readings, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return comparable(sinks.read_days(spark, f"{base}/out"))
+
+
+@query
+def stream_low_temp_alarm_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As stream_low_temp_alarm; lifted alarms are marked, not taken out."""
+    base = scratch_path(spark, "stream")
+    readings = _reading_stream(spark, sf_dir, rollup.CITY_FIELDS)
+    start = alarms.start_merged_low_temperature_alarm
+    start(readings, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    current = sinks.read_days(spark, f"{base}/out").where("not cleared")
+    return comparable(current.drop("cleared"))
+
+
 @query
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lots replayed newest first: closed windows and late readings hold every reading."""
+    """Lots replayed newest first: windows that missed late readings are settled from the archive."""
     base = scratch_path(spark, "stream")
     messages = _messages(spark, sf_dir, newest_first=True)
     readings = decode_readings(messages, fields=rollup.CHANGE_FIELDS)
-    windows = ClosedWindows(
-        ("temperature",), f"{base}/checkpoint", f"{base}/late", ("city",), DELAY
-    )
-    start_per_batch(readings, windows.close, f"{base}/closed", f"{base}/checkpoint").awaitTermination()
-    closed = spark.read.parquet(f"{base}/closed").drop("epoch")
-    late = windows.partial(spark.read.parquet(f"{base}/late"))
-    return comparable(windows.means(windows.merge([closed, late]), "n_temperature"))
+    closed = late.city_means(alarms.by_reading_time(readings, DELAY), "at")
+    running = alarms.start_files(closed, f"{base}/closed", f"{base}/checkpoint")
+    late.start_archive(messages, f"{base}/archive", f"{base}/archived").awaitTermination()
+    running.awaitTermination()
+    archived = decode_readings(spark.read.parquet(f"{base}/archive"), fields=rollup.CHANGE_FIELDS)
+    missed = late.late_readings(running)
+    again = late.city_means(archived, "data.time")
+    return comparable(late.settled(spark.read.parquet(f"{base}/closed"), again, missed, "city"))
 
 
 @query
 def change_notice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Notices of change alarms, as the stream writes them."""
+    """Notices of change alarms, as the stream writes them; their numbers are cut out and rounded."""
     readings = _reading_stream(spark, sf_dir, rollup.CHANGE_FIELDS)
     base = scratch_path(spark, "stream")
     alarms.start_temperature_change_alarm(
@@ -535,9 +555,13 @@ def change_notice(spark: SparkSession, sf_dir: str) -> DataFrame:
         delay=DELAY,
         notices_path=f"{base}/notices",
     ).awaitTermination()
-    city = F.regexp_extract("message", "the mean in (.*) moved by", 1)
-    notices = spark.read.parquet(f"{base}/notices").select(city.alias("city"))
-    return notices.groupBy("city").agg(F.count("*").alias("notices"))
+    number = "moved by ([^ ]+) since"
+    return comparable(
+        spark.read.parquet(f"{base}/notices").select(
+            F.regexp_replace("message", number, "moved by # since").alias("message"),
+            F.regexp_extract("message", number, 1).cast("double").alias("moved"),
+        )
+    )
 
 
 @query
@@ -558,7 +582,6 @@ def stream_change_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         (TIME, "event_id"),
         FilePublisher(f"{base}/out").publish,
         f"{base}/checkpoint",
-        slices=time_slices(TIME, "event_id"),
     ).awaitTermination()
     return spark.read.parquet(f"{base}/out").drop("epoch")
 
@@ -595,7 +618,7 @@ def stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_all_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As stream_all, with the bounded forms of rollup and alarm."""
+    """As stream_all, with the bounded forms of rollup and alarm, all from one query."""
     base = scratch_path(spark, "stream")
     for running in alarms.start_all(_messages(spark, sf_dir), base, delay=DELAY, closed=True):
         running.awaitTermination()

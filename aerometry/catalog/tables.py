@@ -144,18 +144,18 @@ def event_payloads(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Events as raw payloads, in arrival order of ``seq``.
 
     Users of the last decades send what must be rejected: a header only, a word
-    for a number, too few values. Others send one value too many and a header
-    twice, which must not matter.
+    for a number, too few values. Others send one value too many, a header twice
+    and a device and city of their own, which must not matter.
     """
     numbers = reading_values()
-    header = F.lit("|".join(["time", "temperature", *numbers, "station"]))
+    header = F.lit("|".join(["time", "temperature", *numbers, "station", DEVICE, "city"]))
     clock = F.unix_seconds(F.date_trunc("day", F.col("ts").cast("timestamp"))).cast("string")
     word = F.when(F.col("user_id") % 30 == 7, F.lit("abc"))
     values = [
         F.coalesce(word, number.cast("string")) if name == "pm10" else number.cast("string")
         for name, number in numbers.items()
     ]
-    full = F.concat_ws("|", clock, F.lit("-1"), *values, F.lit("s"), F.lit("surplus"))
+    full = F.concat_ws("|", clock, F.lit("-1"), *values, F.lit("s"), *map(F.lit, ("d0", "Nowhere", "surplus")))
     kind = F.col("user_id") % 30
     line = (
         F.when(kind == 8, F.concat_ws("|", clock, F.lit("-1"), *values[:2]))

@@ -25,9 +25,13 @@ def run_alarms(
     base: str,
     trigger: dict,
     delay: str = DELAY,
-    closed: bool = False,
+    closed: bool = True,
 ) -> None:
-    """Rollup and both alarms until one of the queries ends."""
+    """Rollup and both alarms until one of the queries ends.
+
+    By default their state is bounded, and one query reads the source for all three;
+    windows by reading time are written once, when closed.
+    """
     session = streaming_session(spark)
     start_all(read_messages(session, source), base, trigger, delay, closed)
     session.streams.awaitAnyTermination()
@@ -61,8 +65,18 @@ def arguments(words: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--feed", help="folder of landed payloads")
     parser.add_argument("--every", default="10 seconds", help="time between triggers")
     parser.add_argument("--delay", default=DELAY, help="how long windows wait for readings")
-    parser.add_argument(
-        "--closed", action="store_true", help="bounded rollup and alarm, by reading time"
+    form = parser.add_mutually_exclusive_group()
+    form.add_argument(
+        "--closed",
+        action="store_true",
+        default=True,
+        help="bounded rollup and alarm, by reading time (the default)",
+    )
+    form.add_argument(
+        "--complete",
+        dest="closed",
+        action="store_false",
+        help="rollup and alarm by arrival that hold every window seen",
     )
     parser.add_argument(
         "--max-per-trigger", type=int, help="messages of a topic, or files, in one micro-batch"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +12,9 @@ from aerometry.session import delete_tree
 
 PREVIEW_ROWS = 20
 
+# Partition columns of a table that is kept by day.
+DATE, VERSION = "_date", "_version"
+
 
 def flatten_structs(df: DataFrame) -> DataFrame:
     """Replace each struct column by its fields, as text formats hold no structs.
@@ -71,6 +76,80 @@ def current_path(spark: SparkSession, path: str) -> str:
     return f"{path}/version={pointer['version']}"
 
 
+def merge_days(
+    changed: DataFrame,
+    path: str,
+    version: int,
+    key: list[str],
+    time: Column,
+    only_known: Column | None = None,
+) -> None:
+    """Put changed rows into a table that is kept by day; other days are not touched.
+
+    A day is written whole, as a partition of its date and the version: its rows of the
+    version before, those with a changed ``key`` replaced. Readers take the latest
+    version of each day, so they see a day before or after a change, and a version
+    that is written again starts from the same rows. Rows marked ``only_known`` are
+    left out unless the table has their key. Of older versions one stays.
+    """
+    spark = changed.sparkSession
+    dated = changed.withColumn(DATE, F.date_format(time, "yyyy-MM-dd"))
+    kept = {day: [v for v in versions if v < version] for day, versions in _days(spark, path).items()}
+    before = {day: max(versions) for day, versions in kept.items() if versions}
+    dates = [row[DATE] for row in dated.select(DATE).distinct().collect()]
+    touched = {day: before[day] for day in dates if day in before}
+    merged = dated
+    if touched:
+        known = _read_days(spark, path, touched).select(*dated.columns)
+        same = reduce(
+            Column.__and__, [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in (DATE, *key)]
+        )
+        if only_known is not None:
+            new, old = dated.where(only_known).alias("new"), known.alias("old")
+            merged = dated.where(~only_known).unionByName(new.join(old, same, "left_semi"))
+        old, new = known.alias("old"), merged.alias("new")
+        merged = merged.unionByName(old.join(new, same, "left_anti"))
+    elif only_known is not None:
+        merged = dated.where(~only_known)
+    (
+        merged.withColumn(VERSION, F.lit(version))
+        .repartition(DATE)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DATE, VERSION)
+        .parquet(path)
+    )
+    for day in touched:
+        for old_version in kept[day]:
+            if old_version < touched[day]:
+                delete_tree(spark, f"{path}/{DATE}={day}/{VERSION}={old_version}")
+
+
+def read_days(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table kept by day, of each day's latest version."""
+    latest = {day: max(versions) for day, versions in _days(spark, path).items()}
+    return _read_days(spark, path, latest).drop(DATE, VERSION)
+
+
+def _read_days(spark: SparkSession, path: str, versions: dict[str, int]) -> DataFrame:
+    folders = [f"{path}/{DATE}={day}/{VERSION}={version}" for day, version in versions.items()]
+    return spark.read.option("basePath", path).parquet(*folders).withColumn(
+        DATE, F.date_format(DATE, "yyyy-MM-dd")
+    )
+
+
+def _days(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """The versions of every day, by the names of the table's folders."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DATE}=*/{VERSION}=*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, list[int]] = {}
+    for status in files.globStatus(pattern) or []:
+        folder = status.getPath()
+        day = folder.getParent().getName().partition("=")[2]
+        found.setdefault(day, []).append(int(folder.getName().partition("=")[2]))
+    return found
+
+
 def preview(df: DataFrame, *order: str, rows: int = PREVIEW_ROWS) -> DataFrame:
     """The first rows for a look at a result; with ``order`` always the same ones."""
     return df.orderBy(*order).limit(rows) if order else df.limit(rows)

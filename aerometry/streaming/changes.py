@@ -9,13 +9,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aerometry.functions.cities import assign_city
-from aerometry.functions.payload import accepted, parse_payloads, rejected
+from aerometry.functions.payload import parse_payloads, rejected
 from aerometry.functions.readings import encode_readings
-from aerometry.operators.changes import HOT_ROWS, changed_readings, time_slices
-from aerometry.schemas import DEVICE, READING_VALUES
+from aerometry.schemas import DEVICE, READING_VALUES, TIME
 from aerometry.sinks.messages import FilePublisher, KafkaPublisher
-from aerometry.streaming.memory import COMPACT_EVERY, start_remembering
-from aerometry.streaming.sinks import UNTIL_READ
+from aerometry.streaming.previous import SLICE, stream_with_previous, time_slice
+from aerometry.streaming.sinks import UNTIL_READ, start_sink
+
+
+def changed(previous: Column, value: Column) -> Column:
+    """Whether a reading differs from the one before it, if any."""
+    return previous.isNull() | (previous != value)
+
+
+def stream_changed_readings(
+    readings: DataFrame,
+    value: str,
+    order: Sequence[str] = (TIME,),
+    key: str = DEVICE,
+    unit: str = SLICE,
+    passing: Column | None = None,
+) -> DataFrame:
+    """As ``operators.changes.changed_readings``, for a stream.
+
+    The last value per device is Spark's keyed state. Devices are cut into slices of
+    ``unit`` along the first column of ``order`` if that is a time; a slice's rows of
+    one trigger are ordered by one task.
+    """
+    kind = readings.schema[order[0]].dataType.typeName()
+    slices = time_slice(order[0], unit) if kind.startswith("timestamp") else F.lit("")
+    valued = F.col(value).isNotNull()
+    rows = readings.where(valued if passing is None else valued | passing)
+    compared = stream_with_previous(rows, value, order, slices, key, changed, passing)
+    return compared.drop("_previous")
 
 
 def start_changed_readings(
@@ -25,28 +51,12 @@ def start_changed_readings(
     sink: Callable[[DataFrame, int], None],
     checkpoint: str,
     trigger: dict = UNTIL_READ,
-    slices: Sequence[Column] = (),
     key: str = DEVICE,
-    hot_rows: int | None = HOT_ROWS,
-    aside: Callable[[DataFrame, int], DataFrame] | None = None,
-    every: int = COMPACT_EVERY,
+    unit: str = SLICE,
 ) -> StreamingQuery:
-    """Hand ``sink`` the readings that differ from the device's previous one.
-
-    ``aside`` may first take rows out of a micro-batch.
-    """
-
-    def compare(batch: DataFrame, before: DataFrame | None, epoch: int) -> DataFrame:
-        rows = batch if aside is None else aside(batch, epoch)
-        changed = changed_readings(rows, value, order, slices, key, before, hot_rows)
-        changed.persist()
-        sink(changed, epoch)
-        # A device's last reading has the value of its last change.
-        return changed
-
-    return start_remembering(
-        readings, value, order, key, compare, checkpoint, trigger, every=every
-    )
+    """Hand ``sink`` the readings that differ from the device's previous one."""
+    found = stream_changed_readings(readings, value, order, key, unit)
+    return start_sink(found, sink, checkpoint, trigger)
 
 
 def start_ingest(
@@ -56,37 +66,29 @@ def start_ingest(
     checkpoint: str,
     trigger: dict = UNTIL_READ,
     order: Sequence[str] = ("arrived", "seq"),
-    hot_rows: int = HOT_ROWS,
     city_number: Column | None = None,
+    unit: str = SLICE,
 ) -> StreamingQuery:
-    """From raw payloads to published readings.
+    """From raw payloads to published readings, in one streaming plan.
 
     Parse, set unusable payloads aside with their reason, drop readings whose
     key repeats the device's previous one, give each a city, publish as JSON.
-    A rejected payload is not remembered, so a repaired one with the same key
-    still goes out. The city follows ``city_number``, by default a hash of
-    device and time.
+    A rejected payload passes the comparison untouched and is not remembered, so a
+    repaired one with the same key still goes out. The city follows ``city_number``,
+    by default a hash of device and time.
     """
     if city_number is None:
         city_number = F.xxhash64(DEVICE, "time")
+    unfit = F.col("reject_reason").isNotNull()
+    parsed = parse_payloads(payloads).withColumn("body", F.when(unfit, F.col("body")))
+    rows = parsed.select(
+        DEVICE, "reading_key", "time", *READING_VALUES, *order, "body", "reject_reason"
+    )
+    found = stream_changed_readings(rows, "reading_key", order, unit=unit, passing=unfit)
 
-    def set_rejects_aside(parsed: DataFrame, epoch: int) -> DataFrame:
-        rejected(parsed).write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch}")
-        return accepted(parsed).select(DEVICE, "reading_key", "time", *READING_VALUES, *order)
-
-    def publish(changed: DataFrame, epoch: int) -> None:
-        placed = changed.withColumn("city", assign_city(city_number))
+    def publish(batch: DataFrame, epoch: int) -> None:
+        rejected(batch).write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch}")
+        placed = batch.where(~unfit).withColumn("city", assign_city(city_number))
         publisher.publish(encode_readings(placed), epoch)
 
-    numbered = len(order) > 1 and payloads.schema[order[1]].dataType.typeName() == "long"
-    return start_changed_readings(
-        parse_payloads(payloads),
-        "reading_key",
-        order,
-        publish,
-        checkpoint,
-        trigger,
-        slices=time_slices(order[0], order[1] if numbered else None, hot_rows),
-        hot_rows=hot_rows,
-        aside=set_rejects_aside,
-    )
+    return start_sink(found, publish, checkpoint, trigger)

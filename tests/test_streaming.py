@@ -8,15 +8,16 @@ from conftest import at, rows
 from pyspark.sql import functions as F
 
 from aerometry.functions.readings import decode_readings
-from aerometry.operators.changes import changed_readings, time_slices
+from aerometry.operators.changes import changed_readings
 from aerometry.operators.rollup import city_temperature, temperature_changes, window_rollup
 from aerometry.schemas import ENVELOPE, PAYLOAD
-from aerometry.session import shared_root, streaming_session
+from aerometry.session import streaming_session
 from aerometry.sinks.messages import FilePublisher
-from aerometry.sinks.tables import current_path, replace_table
+from aerometry.sinks.tables import current_path, merge_days, read_days, replace_table
 from aerometry.sources.feeds import read_payload_files, read_payload_table
 from aerometry.sources.messages import MessageFiles, read_messages
-from aerometry.streaming import alarms, changes
+from aerometry.streaming import alarms, changes, late
+from aerometry.streaming.sinks import start_files
 
 
 @pytest.fixture
@@ -105,44 +106,152 @@ def test_alarm_is_withdrawn_and_survives_a_restart(spark, streams, base):
     ]
 
 
-def test_closed_windows_are_written_once_and_late_readings_kept(spark, streams, base):
-    land(spark, f"{base}/in", [message("00:00:01", "a", 10)])
-    land(spark, f"{base}/in", [message("00:02:00", "a", 20)])  # closes the first window
-    land(spark, f"{base}/in", [message("00:02:01", "a", 30)])
-    land(spark, f"{base}/in", [message("00:00:02", "a", 99), message("00:00:03", text="garbage")])
-    land(spark, f"{base}/in", [message("00:04:00", "a", 1)])
-    alarms.start_closed_rollup(
-        source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="30 seconds"
-    ).awaitTermination()
+def test_closed_windows_are_written_once_and_late_readings_reported(spark, streams, base):
+    """A late reading is dropped, counted, kept in the archive and settled from there."""
+    data = [
+        [message("00:00:01", "a", 10)],
+        [message("00:02:00", "a", 20)],  # closes the first window
+        [message("00:02:01", "a", 30)],
+        [message("00:00:02", "a", 99), message("00:00:03", text="garbage")],
+        [message("00:04:00", "a", 1)],
+    ]
+    for lot in data:
+        land(spark, f"{base}/in", lot)
+    listener = late.LateReadings()
+    streams.streams.addListener(listener)
+    try:
+        running = alarms.start_closed_rollup(
+            source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="30 seconds"
+        )
+        running.awaitTermination()
+        for _ in range(100):  # progress is told a moment later
+            if listener.of(running).rows:
+                break
+            time.sleep(0.1)
+    finally:
+        streams.streams.removeListener(listener)
     found = rows(spark.read.parquet(f"{base}/out"), "window.start", "avg_temperature")
     assert found == [(at("00:00:00"), 10.0), (at("00:02:00"), 25.0)]
-    late = spark.read.parquet(f"{base}/out_late")
-    assert rows(late, "epoch", "data.temperature") == [(3, 99.0)]
+    missed = listener.of(running)
+    assert missed == late.late_readings(running)
+    assert missed.rows == 1 and missed.since.replace(tzinfo=None) == at("00:00:02")
+    archive = late.start_archive(
+        read_messages(streams, MessageFiles(f"{base}/in")), f"{base}/kept", f"{base}/ck2"
+    )
+    archive.awaitTermination()
+    kept = spark.read.parquet(f"{base}/kept")
+    assert rows(kept) == rows(spark.createDataFrame(sum(data, []), ENVELOPE))
+    again = window_rollup(decode_readings(kept), "data.time")
+    right = late.settled(spark.read.parquet(f"{base}/out"), again, missed)
+    found = rows(right, "window.start", "avg_temperature")
+    assert found == [(at("00:00:00"), 54.5), (at("00:02:00"), 25.0)]
 
 
-def test_readings_without_a_time_are_kept(spark, streams, base):
+def test_readings_without_a_time_hold_no_window_open(spark, streams, base):
     land(spark, f"{base}/in", [message("00:00:01", "a", 10), message("00:00:03", text="garbage")])
     land(spark, f"{base}/in", [message("00:02:00", "a", 20), message("00:02:03", text='{"city": "b"}')])
-    alarms.start_closed_rollup(
+    running = alarms.start_closed_rollup(
         source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="30 seconds"
-    ).awaitTermination()
-    untimed = spark.read.parquet(f"{base}/out_late_untimed")
-    assert rows(untimed, "epoch", "data.city") == [(0, None), (1, "b")]
-    assert spark.read.parquet(f"{base}/out_late").count() == 0
+    )
+    running.awaitTermination()
+    assert rows(spark.read.parquet(f"{base}/out"), "window.start") == [(at("00:00:00"),)]
+    assert late.late_readings(running).rows == 0
 
 
 def test_open_windows_stay_few(spark, streams, base):
-    """What is kept between batches follows the delay, not the length of the stream."""
+    """What Spark keeps between batches follows the delay, not the length of the stream."""
     for minute in range(0, 40, 4):
         land(spark, f"{base}/in", [message(f"00:{minute:02d}:{s:02d}", "a", 5) for s in (1, 31)])
-    alarms.start_closed_low_temperature_alarm(
+    running = alarms.start_closed_low_temperature_alarm(
         source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck", delay="1 minute"
-    ).awaitTermination()
-    kept = spark.read.parquet(f"{base}/ck/windows/state")
-    assert kept.where("not closed").groupBy("slot").count().agg({"count": "max"}).first()[0] <= 4
+    )
+    running.awaitTermination()
+    held = [p.stateOperators[0].numRowsTotal for p in running.recentProgress]
+    assert len(held) >= 10 and max(held) <= 4
     assert spark.read.parquet(f"{base}/out").count() == 18
 
 
+def test_notices_are_written_only_with_alarms(spark, streams, base):
+    """Warm windows close too; the alarms are counted as they are written."""
+    for minute, temperature in enumerate((30, 5, 30, 30, 30)):
+        land(spark, f"{base}/in", [message(f"00:{minute:02d}:00", "a", temperature)])
+    alarms.start_closed_low_temperature_alarm(
+        source(streams, f"{base}/in"),
+        f"{base}/out",
+        f"{base}/ck",
+        delay="10 seconds",
+        notices_path=f"{base}/notices",
+    ).awaitTermination()
+    assert rows(spark.read.parquet(f"{base}/out"), "avg_temperature") == [(5.0,)]
+    notices = spark.read.parquet(f"{base}/notices")
+    assert [row[0] for row in rows(notices, "message")] == ["Low temperature: the mean in a is below 20"]
+    assert len(list(Path(f"{base}/notices").glob("epoch=*"))) == 1
+    assert len(list(Path(f"{base}/out").glob("epoch=*"))) >= 5
+
+
+def day_message(day, when, city, temperature):
+    value, arrived = message(when, city, temperature)
+    return value, arrived.replace(day=day)
+
+
+def test_a_trigger_writes_the_days_it_changes(spark, streams, base):
+    """Update mode into a table by day: other days keep their files; the rows equal the batch form's."""
+    data = [
+        [day_message(d, f"00:00:0{i}", "ab"[i % 2], 7 * i + d) for d in (1, 2, 3) for i in range(4)],
+        [day_message(2, "00:00:09", "a", 40), day_message(2, "12:00:00", "b", 1)],
+        [day_message(4, "00:00:00", "c", 3)],
+    ]
+    written = []
+
+    def run():
+        alarms.start_merged_rollup(
+            source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck"
+        ).awaitTermination()
+        written.append({p.parent.name for p in Path(f"{base}/out").glob("_date=*/_version=*")})
+        files = {p: p.stat().st_mtime_ns for p in Path(f"{base}/out").rglob("*.parquet")}
+        return files
+
+    seen = []
+    for lot in data:
+        land(spark, f"{base}/in", lot)
+        seen.append(run())
+    for earlier, later in zip(seen, seen[1:], strict=False):
+        assert set(earlier.items()) <= set(later.items())  # the version before stays for its readers
+    fresh = [{p.parent.parent.name for p in set(b) - set(a)} for a, b in zip([{}, *seen], seen, strict=False)]
+    assert fresh == [
+        {f"_date=2024-01-0{d}" for d in (1, 2, 3)}, {"_date=2024-01-02"}, {"_date=2024-01-04"},
+    ]
+    stored = decode_readings(spark.createDataFrame(sum(data, []), ENVELOPE))
+    assert rows(read_days(spark, f"{base}/out")) == rows(window_rollup(stored))
+
+
+def test_a_lifted_alarm_is_marked_cleared(spark, streams, base):
+    def run(*data):
+        land(spark, f"{base}/in", list(data))
+        alarms.start_merged_low_temperature_alarm(
+            source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck"
+        ).awaitTermination()
+        return rows(read_days(spark, f"{base}/out"), "city", "avg_temperature", "cleared")
+
+    first = [message("00:00:01", "a", 10), message("00:00:02", "b", 15), message("00:00:02", "c", 30)]
+    assert run(*first) == [("a", 10.0, False), ("b", 15.0, False)]
+    assert run(message("00:00:03", "a", 40)) == [("a", 25.0, True), ("b", 15.0, False)]
+    assert run(message("00:00:04", "a", 1)) == [("a", 17.0, False), ("b", 15.0, False)]
+    assert run(message("00:00:05", "d", 90), day_message(2, "00:00:05", "d", 2))[-1] == ("d", 2.0, False)
+
+
+def test_a_version_written_again_replaces_itself(spark, base):
+    """A trigger that fails after its write merges the same rows into the version before."""
+    made = lambda *data: spark.createDataFrame(data, "k int, at timestamp, v int")
+    merge = lambda df, n: merge_days(df, f"{base}/t", n, ["k"], F.col("at"))
+    merge(made((1, at("01:00:00"), 1), (2, at("01:00:00"), 2)), 0)
+    for _ in range(2):
+        merge(made((2, at("02:00:00"), 3), (None, at("03:00:00"), 4)), 1)
+    merge(made((None, at("03:00:00"), 5)), 2)
+    assert rows(read_days(spark, f"{base}/t"), "k", "v") == [(1, 1), (2, 3), (None, 5)]
+    assert sorted(p.name for p in Path(f"{base}/t").glob("_date=*/*")) == ["_version=1", "_version=2"]
+
+
 def test_change_notices_are_written_with_the_alarms(spark, streams, base):
     data = [("00:00:01", 25), ("00:00:31", 15), ("00:09:00", 15)]
     land(spark, f"{base}/in", [message(when, "a", t) for when, t in data])
@@ -234,8 +343,6 @@ def test_change_filter_equals_batch_for_any_split(spark, streams, base):
             ("timestamp", "seq"),
             FilePublisher(f"{base}/out").publish,
             f"{base}/ck",
-            slices=time_slices("timestamp", "seq", 4),
-            hot_rows=4,
         ).awaitTermination()
     expected = changed_readings(
         spark.createDataFrame(data, schema), "value", ("timestamp", "seq"), hot_rows=None
@@ -245,8 +352,8 @@ def test_change_filter_equals_batch_for_any_split(spark, streams, base):
     assert rows(found.drop("epoch")) == rows(expected)
 
 
-def test_a_trigger_remembers_its_own_devices_only(spark, streams, base):
-    """Values are kept per batch and put together every second one; results stay the same."""
+def test_changes_across_triggers_and_a_restart(spark, streams, base):
+    """A, A, B, A over triggers keeps A, B, A; the last value of each device is Spark's state."""
     schema = "deviceId string, timestamp timestamp, v string"
     data = [
         [("a", 1, "x"), ("b", 1, "x")],
@@ -254,51 +361,51 @@ def test_a_trigger_remembers_its_own_devices_only(spark, streams, base):
         [("b", 3, "y"), ("c", 3, "x")],
         [("a", 4, "y")],
         [("d", 5, "x"), ("b", 5, "y")],
-        [("a", 6, "y"), ("c", 6, "x"), ("b", 6, "x")],
+        [("a", 6, "x"), ("c", 6, "x"), ("b", 6, "x")],
     ]
-    for lot in data:
-        frame = [(d, at(f"00:00:{t:02d}"), v) for d, t, v in lot]
-        spark.createDataFrame(frame, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    changes.start_changed_readings(
-        streams.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/in"),
-        "v",
-        ("timestamp",),
-        FilePublisher(f"{base}/out").publish,
-        f"{base}/ck",
-        every=2,
-    ).awaitTermination()
+
+    def run():
+        running = changes.start_changed_readings(
+            streams.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/in"),
+            "v",
+            ("timestamp",),
+            FilePublisher(f"{base}/out").publish,
+            f"{base}/ck",
+        )
+        running.awaitTermination()
+        return running
+
+    for lots in (data[:3], data[3:]):
+        for lot in lots:
+            frame = [(d, at(f"00:00:{t:02d}"), v) for d, t, v in lot]
+            spark.createDataFrame(frame, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        running = run()
     columns = ("deviceId", "timestamp", "v")
     expected = changed_readings(spark.read.schema(schema).parquet(f"{base}/in"), "v")
     assert rows(spark.read.parquet(f"{base}/out"), *columns) == rows(expected, *columns)
-    kept = Path(f"{base}/ck/remembered")
-    assert rows(spark.read.parquet(str(kept / "batch=4"))) == [("d", "x")]
-    assert rows(spark.read.parquet(str(kept / "base=4"))) == [
-        ("a", "y"), ("b", "y"), ("c", "x"), ("d", "x"),
-    ]
-    assert sorted(p.name for p in kept.iterdir() if p.name.startswith("base")) == ["base=2", "base=4"]
-
-
-def test_triggers_leave_no_scratch_tables(spark, streams, base):
-    """A hot device makes every trigger write lists of hot groups; they go with it."""
-    shared = Path(shared_root(spark))
-    before = set(shared.glob("hot-*"))
-    for start in range(4):
-        data = [("d", at(f"00:{start:02d}:{i:02d}"), str(i % 3)) for i in range(12)]
-        frame = spark.createDataFrame(data, "deviceId string, timestamp timestamp, v string")
-        frame.coalesce(1).write.mode("append").parquet(f"{base}/in")
-    changes.start_changed_readings(
-        streams.readStream.schema("deviceId string, timestamp timestamp, v string")
-        .option("maxFilesPerTrigger", "1")
-        .parquet(f"{base}/in"),
-        "v",
-        ("timestamp",),
-        FilePublisher(f"{base}/out").publish,
-        f"{base}/ck",
-        slices=time_slices("timestamp", None, 5),
-        hot_rows=5,
-    ).awaitTermination()
-    assert spark.read.parquet(f"{base}/out").select("epoch").distinct().count() == 4
-    assert set(shared.glob("hot-*")) == before
+    found = [row[2] for row in rows(spark.read.parquet(f"{base}/out"), *columns) if row[0] == "a"]
+    assert found == ["x", "y", "x"]
+    # One value per device and no more is kept.
+    held = running.recentProgress[-1].stateOperators
+    assert sorted(step.numRowsTotal for step in held) == [0, 4]
+
+
+def test_a_hot_device_is_cut_into_slices(spark, streams, base):
+    """However the slices are cut, the rows are those of the batch form."""
+    schema = "deviceId string, timestamp timestamp, seq bigint, v string"
+    chance = random.Random(8)
+    data = [
+        (chance.choice(["hot", "hot", "d", None]), at(f"{i // 40:02d}:{i % 40:02d}:00"), i, chance.choice("xy"))
+        for i in range(400)
+    ]
+    for lot in (data[:150], data[150:151], data[151:]):
+        land(spark, f"{base}/in", lot, schema)
+    expected = rows(changed_readings(spark.createDataFrame(data, schema), "v", ("timestamp", "seq")))
+    for unit in ("second", "hour", "year"):
+        readings = streams.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        found = changes.stream_changed_readings(readings, "v", ("timestamp", "seq"), unit=unit)
+        start_files(found, f"{base}/{unit}", f"{base}/ck-{unit}").awaitTermination()
+        assert rows(spark.read.parquet(f"{base}/{unit}")) == expected
 
 
 def test_change_filter_repeats_a_failed_batch(spark, streams, base):
@@ -413,3 +520,54 @@ def test_all_alarms_decode_what_they_need(spark, streams, base):
         found = rows(read(f"{base}/raw/{sink}"))
         assert found == rows(read(f"{base}/decoded/{sink}"))
         assert found
+
+
+def test_closed_results_come_from_one_read(spark, streams, base):
+    """One query with one source writes the rollup and both alarms, with their notices."""
+    for i in range(5):
+        lot = [message(f"00:{3 * i + j:02d}:01", "ab"[j % 2], (i * 17 + j * 13) % 40) for j in range(3)]
+        land(spark, f"{base}/in", [*lot, message(f"00:{3 * i:02d}:05", text="garbage")])
+    messages = read_messages(streams, MessageFiles(f"{base}/in", max_per_trigger=1))
+    (running,) = alarms.start_all(messages, f"{base}/all", delay="10 seconds", closed=True)
+    running.awaitTermination()
+    assert {len(p.sources) for p in running.recentProgress} == {1}
+    apart = source(streams, f"{base}/in")
+    for name, start in (
+        ("aggs", alarms.start_closed_rollup),
+        ("alarms", alarms.start_closed_low_temperature_alarm),
+        ("alarmdiffs", alarms.start_temperature_change_alarm),
+    ):
+        start(apart, f"{base}/{name}", f"{base}/ck-{name}", delay="10 seconds").awaitTermination()
+        found = spark.read.parquet(f"{base}/all/{name}").drop("epoch")
+        expected = spark.read.parquet(f"{base}/{name}").drop("epoch").select(*found.columns)
+        assert rows(found) == rows(expected) and found.count() > 2
+    for notices in ("notices", "change_notices"):
+        assert spark.read.parquet(f"{base}/all/{notices}").count() > 0
+
+
+def test_a_failed_ingest_publishes_once(spark, streams, base):
+    """A batch whose publishing fails starts again from the state it began with."""
+    land(spark, f"{base}/feed", [payload("1", 100, 1)], PAYLOAD)
+    land(spark, f"{base}/feed", [payload("1", 100, 2), payload("1", 200, 3), payload("1", 300, 4, "x")], PAYLOAD)
+
+    class Breaking(FilePublisher):
+        broken = True
+
+        def publish(self, messages, epoch):
+            super().publish(messages, epoch)
+            if epoch == 1 and Breaking.broken:
+                raise RuntimeError("lost")
+
+    def run():
+        feed = read_payload_table(streams, f"{base}/feed", stream=True, maxFilesPerTrigger="1")
+        changes.start_ingest(
+            feed, Breaking(f"{base}/out"), f"{base}/rejects", f"{base}/ck"
+        ).awaitTermination()
+
+    with pytest.raises(Exception, match="lost"):
+        run()
+    Breaking.broken = False
+    run()
+    published = decode_readings(spark.read.parquet(f"{base}/out"))
+    assert rows(published, "epoch", F.unix_seconds("data.time")) == [(0, 100), (1, 200)]
+    assert rows(spark.read.parquet(f"{base}/rejects"), "epoch", "reject_reason") == [(1, "bad pm10")]
