@@ -102,6 +102,28 @@ def slices(texts: pa.Array, batch_bytes: int) -> Iterator[tuple[int, int]]:
         start = end
 
 
+#: Keys that a task remembers to leave out rows that repeat.
+RECENT_KEYS = 100_000
+
+
+def without_repeats(batches: Iterator[pa.RecordBatch], *columns: int) -> Iterator[pa.RecordBatch]:
+    """Batches without rows whose ``columns`` a task has seen a short while ago.
+
+    Repeated rows thus leave a task once, or a few times; who needs them once drops the
+    rest behind the shuffle.
+    """
+    seen: set[tuple] = set()
+    for batch in batches:
+        keys = zip(*[batch.column(c).to_pylist() for c in columns], strict=True)
+        fresh = []
+        for key in keys:
+            fresh.append(key not in seen)
+            seen.add(key)
+        if len(seen) > RECENT_KEYS:
+            seen.clear()
+        yield batch if all(fresh) else batch.filter(pa.array(fresh, pa.bool_()))
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts and each text's first byte, with the end last."""
     _, offsets, data = texts.buffers()

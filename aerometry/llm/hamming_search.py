@@ -51,19 +51,25 @@ class Codes:
 
     def encode(self, vectors: np.ndarray) -> np.ndarray:
         """Substrings of every vector's code."""
-        signs = vectors / np.linalg.norm(vectors, axis=1, keepdims=True) @ self.rotation > 0
+        signs = directions(vectors) @ self.rotation > 0
         weights = 1 << np.arange(SUBSTRING_BITS)
         shaped = signs.reshape(len(vectors), -1, SUBSTRING_BITS)
         return (shaped @ weights).astype(np.uint16)
 
 
+def directions(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; scaled by their largest component first, so that no square is lost."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
 def learn_rotation(sample: np.ndarray, bits: int, seed: int = 7) -> np.ndarray:
     """Rotations that bring directions close to corners of the cube, side by side.
 
     One rotation gives a bit per dimension; more bits take further rotations,
     learned from other starting points.
     """
-    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    unit = directions(sample)
     size = unit.shape[1]
     rng = np.random.default_rng(seed)
     found = []
@@ -142,7 +148,7 @@ def taking_part(vectors: DataFrame) -> DataFrame:
     """Distinct ``vec_id`` and ``vector`` (double) of rows that can be searched, with ``entry``.
 
     Vectors must be finite, not zero, and as long as most are. ``entry`` names equal
-    vectors alike.
+    vectors alike, by 128 bits.
     """
     vector = F.transform(F.col("embedding").cast("array<double>"), lambda x: x + F.lit(0.0))
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -156,7 +162,7 @@ def taking_part(vectors: DataFrame) -> DataFrame:
     size = usual["size"] if usual else 0
     return (
         rows.where(F.size("vector") == size)
-        .withColumn("entry", F.xxhash64("vector"))
+        .withColumn("entry", F.concat(F.hex(F.xxhash64("vector")), F.hex(F.xxhash64(F.lit("again"), "vector"))))
         .dropDuplicates(["vec_id", "entry"])
     )
 
@@ -177,43 +183,58 @@ def encoded(rows: DataFrame, codes: Codes) -> DataFrame:
     return rows.mapInPandas(run, f"{fields}, code binary")
 
 
+FOUND = "entry string, own string, near string, vec_id long, score double"
+
+
 def search(
     index: pd.DataFrame, queries: pd.DataFrame, codes: Codes, neighbours: int
 ) -> pd.DataFrame:
-    """The best identifiers of one block of the index for each query entry."""
-    rows: list[tuple[int, int, float]] = []
+    """The best identifiers of one block of the index for each query entry, never its ``own``."""
+    rows: list[tuple] = []
     if len(index) and len(queries):
         shape = (-1, codes.substrings)
         entry_codes = np.frombuffer(b"".join(index["code"]), dtype=np.uint16).reshape(shape)
         query_codes = np.frombuffer(b"".join(queries["code"]), dtype=np.uint16).reshape(shape)
         vectors, asked = _matrix(index["vector"]), _matrix(queries["vector"])
-        ids, names = index["ids"].tolist(), queries["entry"].tolist()
+        ids, entries, names = index["ids"].tolist(), index["entry"].tolist(), queries["entry"].tolist()
+        owns = [None if own is None else int(own) for own in queries["own"].tolist()]
+        # Identifiers that repeat are few; of them an entry may hold nothing but its query's own.
+        alone = {own: [len(i) == 1 and i[0] == own for i in ids] for own in set(owns) - {None}}
         for q, found in probe(entry_codes, query_codes, codes.radius):
+            if owns[q] is not None:
+                found = found[~np.array(alone[owns[q]], dtype=bool)[found]]
             scores = np.einsum("ij,j->i", vectors[found], asked[q])
             if len(found) > neighbours:
                 least = np.partition(scores, -neighbours)[-neighbours]
                 found, scores = found[scores >= least], scores[scores >= least]
             merged = sorted(
-                (-score, vec_id)
+                (-score, vec_id, entry)
                 for entry, score in zip(found.tolist(), scores.tolist(), strict=True)
                 for vec_id in ids[entry]
+                if vec_id != owns[q]
             )
-            rows += [(names[q], vec_id, -score) for score, vec_id in merged[:neighbours]]
-    return pd.DataFrame(rows, columns=["entry", "vec_id", "score"]).astype(
-        {"entry": "int64", "vec_id": "int64", "score": "float64"}
-    )
+            rows += [
+                (names[q], queries["own"].iat[q], entries[entry], vec_id, -score)
+                for score, vec_id, entry in merged[:neighbours]
+            ]
+    made = pd.DataFrame(rows, columns=["entry", "own", "near", "vec_id", "score"])
+    return made.astype({"vec_id": "int64", "score": "float64"})
 
 
 def _dealt(rows: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
     """Rows with their own block, once for every block of the other side."""
     return rows.withColumns(
         {
-            own: F.pmod("entry", F.lit(blocks)).cast("int"),
+            own: F.pmod(F.xxhash64("entry"), F.lit(blocks)).cast("int"),
             other: F.explode(F.sequence(F.lit(0), F.lit(others - 1))),
         }
     )
 
 
+#: What is asked for: a vector, and the identifier that may not be found, if it stands at others too.
+ASKED = ("entry", "own")
+
+
 def _best(index: DataFrame, asked: DataFrame, codes: Codes, most: int) -> DataFrame:
     """For each query entry the ``most`` best of those within the radius, over all blocks."""
     blocks = -(-index.count() // BLOCK)
@@ -223,9 +244,9 @@ def _best(index: DataFrame, asked: DataFrame, codes: Codes, most: int) -> DataFr
     found = (
         left.groupBy("block", "query_block")
         .cogroup(right.groupBy("block", "query_block"))
-        .applyInPandas(lambda i, q: search(i, q, codes, most), "entry long, vec_id long, score double")
+        .applyInPandas(lambda i, q: search(i, q, codes, most), FOUND)
     )
-    best = Window.partitionBy("entry").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy(*ASKED).orderBy(F.desc("score"), "vec_id", "near")
     found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
     return kept(found.drop("place"), "found")
 
@@ -235,16 +256,17 @@ def _found(index: DataFrame, asked: DataFrame, codes: Codes, most: int) -> DataF
     bits = codes.rotation.shape[1]
     found = _best(index, asked, codes, most)
     while codes.radius < bits:
-        enough = found.groupBy("entry").count().where(F.col("count") >= most).select("entry")
-        enough = kept(enough, "enough")
-        asked = kept(asked.join(enough, "entry", "left_anti"), "asked")
+        enough = found.groupBy(*ASKED).count().where(F.col("count") >= most)
+        enough = kept(enough.select(*[F.col(c).alias(f"_{c}") for c in ASKED]), "enough")
+        same = F.col("entry").eqNullSafe(F.col("_entry")) & F.col("own").eqNullSafe(F.col("_own"))
+        asked = kept(asked.join(enough, same, "left_anti"), "asked")
         if asked.isEmpty():
             break
         radius = min(bits, max(2 * codes.radius, codes.radius + SUBSTRING_BITS))
         codes = replace(codes, radius=radius)
         # What they found before is found again.
         wider = _best(index, asked, codes, most)
-        found = kept(found.join(enough, "entry").unionByName(wider), "found")
+        found = kept(found.join(enough, same, "left_semi").unionByName(wider), "found")
     return found
 
 
@@ -260,8 +282,10 @@ def nearest(
     repeats another's identifier and vector counts once. Other columns are not
     read. Without rows to search the result is empty.
 
-    Every query has ``neighbours`` rows, or as many as there are candidates; fewer only
-    where its own identifier stands at several different vectors near it.
+    Every query has ``neighbours`` rows, or as many as there are candidates. An identifier
+    at several different vectors is one query, of which the nearest to any count; a row
+    found through several of them counts once. A product too large for a double is
+    infinite; one that is thereby no number is not found.
 
     Both sides are cut into blocks of bounded size and every pair of blocks is one
     task, as a radius wide enough for this recall leaves values to probe everywhere.
@@ -289,13 +313,24 @@ def nearest(
 
     index = kept(encoded(entries, codes), "index")
     queries = rows.where(F.col("vec_id") % every == 0).select("entry", F.col("vec_id").alias("query_id"))
-    asked = index.drop("ids").join(queries.select("entry").distinct(), "entry")
+    # Equal vectors ask once, unless their identifier stands at other vectors too: those are
+    # then no candidates, and might fill a result that must hold others.
+    spread = queries.groupBy("query_id").count().where(F.col("count") > 1)
+    # As text, since whole numbers beside nulls lose digits in pandas.
+    spread = spread.select("query_id", F.col("query_id").cast("string").alias("own"))
+    queries = kept(queries.join(spread, "query_id", "left"), "queries")
+    asked = index.drop("ids").join(queries.select(*ASKED).distinct(), "entry")
     asked = kept(asked, "asked")
-    found = _found(index, asked, codes, most)
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = _found(index, asked, codes, most).select(
+        *[F.col(c).alias(f"_{c}") for c in ASKED], "near", "vec_id", "score"
+    )
+    same = (F.col("entry") == F.col("_entry")) & F.col("own").eqNullSafe(F.col("_own"))
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "near")
     return (
-        queries.join(found, "entry")
+        queries.join(found, same)
         .where(F.col("vec_id") != F.col("query_id"))
+        .groupBy("query_id", "vec_id", "near")
+        .agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(ranked).cast("int"))
         .where(F.col("rank") <= neighbours)
         .select("query_id", "rank", "vec_id", "score")

@@ -41,17 +41,38 @@ ORACLES: dict[str, str] = {
         FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
     "op5_preference_format": r"""
-        WITH turns AS (
+        WITH own AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+        last_answers AS (
+            SELECT conv_id, turn, text
+            FROM own
+            WHERE role = 'assistant'
+            QUALIFY row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, text DESC NULLS LAST
+            ) = 1
+        ),
+        swaps AS (
+            SELECT a.conv_id, a.turn, a.text, b.text AS other
+            FROM last_answers AS a JOIN last_answers AS b ON b.conv_id - 1 = a.conv_id
+        ),
+        sided AS (
+            SELECT conv_id, 0 AS side, turn, role, text FROM own SEMI JOIN swaps USING (conv_id)
+            UNION ALL
+            SELECT
+                own.conv_id, 1, own.turn, role,
+                CASE WHEN role = 'assistant' AND own.turn IS NOT DISTINCT FROM swaps.turn
+                    AND own.text IS NOT DISTINCT FROM swaps.text THEN other ELSE own.text END
+            FROM own JOIN swaps USING (conv_id)
+        ),
+        turns AS (
             SELECT
-                conv_id // 2 AS pair_id, conv_id % 2 AS side, role, text,
+                conv_id AS pair_id, side, role, text,
                 replace(coalesce(role, ''), '<|', '< |') AS shown_role,
                 replace(coalesce(text, ''), '<|', '< |') AS shown_text,
                 row_number() OVER (
-                    PARTITION BY conv_id
+                    PARTITION BY conv_id, side
                     ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
                 ) AS n
-            FROM conversations
-            WHERE conv_id IS NOT NULL
+            FROM sided
         ),
         common AS (
             SELECT pair_id, coalesce(min(n) FILTER (WHERE NOT same) - 1, max(n)) AS c

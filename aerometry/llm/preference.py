@@ -20,19 +20,53 @@ SIDES = ("chosen", "rejected")
 def conversation_pairs(turns: DataFrame) -> DataFrame:
     """Turns with ``pair_id`` and ``side`` for data without marked preferences.
 
-    Conversations 2k and 2k + 1 make pair k, the even one chosen. Turns without a
-    conversation belong to no pair and are left out.
+    Conversations 2k and 2k + 1 make pair k, the even one chosen, negative ones too.
+    Turns without a conversation belong to no pair and are left out.
     """
     conv = F.col("conv_id").cast("long")
     return turns.where(conv.isNotNull()).select(
-        F.floor(conv / 2).cast("long").alias("pair_id"),
-        F.when(F.pmod(conv, F.lit(2)) == 0, F.lit(SIDES[0])).otherwise(F.lit(SIDES[1])).alias("side"),
+        F.shiftright(conv, 1).alias("pair_id"),
+        F.when(conv.bitwiseAND(F.lit(1)) == 0, F.lit(SIDES[0])).otherwise(F.lit(SIDES[1])).alias("side"),
         F.col("turn").cast("long").alias("turn"),
         F.col("role").cast("string").alias("role"),
         F.col("text").cast("string").alias("text"),
     )
 
 
+def swapped_pairs(turns: DataFrame) -> DataFrame:
+    """Turns with ``pair_id`` and ``side``: a conversation, and itself with another's last answer.
+
+    Pair k is chosen conversation k; in the rejected one the assistant's last turn has
+    the text of the last one of conversation k + 1. Of turns with one number the larger
+    text is last, and copies of that turn change alike. Conversations where either has
+    no turn of the assistant make no pair. One row per conversation is joined.
+    """
+    own = turns.select(
+        F.col("conv_id").cast("long").alias("pair_id"),
+        F.col("turn").cast("long").alias("turn"),
+        F.col("role").cast("string").alias("role"),
+        F.col("text").cast("string").alias("text"),
+    ).where(F.col("pair_id").isNotNull())
+    answers = own.where(F.col("role") == LOSS_ROLE)
+    last = answers.groupBy("pair_id").agg(F.max(F.struct("turn", "text")).alias("_last"))
+    given = last.select(
+        F.try_subtract("pair_id", F.lit(1).cast("long")).alias("pair_id"),
+        F.col("_last.text").alias("_other"),
+    )
+    both = own.join(last.join(given, "pair_id"), "pair_id")
+    is_last = (
+        (F.col("role") == LOSS_ROLE)
+        & F.col("turn").eqNullSafe(F.col("_last.turn"))
+        & F.col("text").eqNullSafe(F.col("_last.text"))
+    )
+    swapped = F.when(is_last, F.col("_other")).otherwise(F.col("text"))
+    sides = F.array(
+        F.struct(F.lit(SIDES[0]).alias("side"), F.col("text").alias("text")),
+        F.struct(F.lit(SIDES[1]).alias("side"), swapped.alias("text")),
+    )
+    return both.select("pair_id", "turn", "role", F.inline(sides))
+
+
 def _plain(text: Column) -> Column:
     """Text in which nothing reads as a mark of the template."""
     return F.replace(F.coalesce(text, F.lit("")), F.lit("<|"), F.lit("< |"))

@@ -67,7 +67,7 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = preference.conversation_pairs(_table(spark, sf_dir, "conversations"))
+    pairs = preference.swapped_pairs(_table(spark, sf_dir, "conversations"))
     return preference.format_preferences(pairs)
 
 

@@ -132,8 +132,9 @@ def anchors(names: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.nda
 
     ``offsets`` are the numbers of words before each text, with the end last. Equal
     windows have equal anchors. A window's anchor is the least name among the
-    boundaries that its words alone determine, a boundary being named by the symbols
-    for ``REACH`` words to either side. Where there is no such boundary, a run of a
+    boundaries of symbols that its words alone determine, a boundary being named by the
+    words, ``REACH`` to either side: symbols tell where equal windows are compared, and
+    names of more words than a symbol has tell more windows apart. Where there is no such boundary, a run of a
     short symbol covers the window's middle, and the anchor is that symbol.
     """
     gap = window - 2 * REACH

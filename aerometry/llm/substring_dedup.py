@@ -1,7 +1,7 @@
 """Remove passages that another document has too, found by recompression.
 
 A window is ``WINDOW`` consecutive words of one document. Recompression gives every
-window an anchor, a symbol that equal windows share. Anchors that occur in one
+window an anchor that equal windows share. Anchors that occur in one
 document only rule out most windows at once. Successive windows with one anchor
 make a bundle, which is named by 128 bits of its words: a bundle that a smaller
 document has too goes as a whole. Where an anchor has several different bundles,
@@ -26,7 +26,15 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerometry.llm.documents import kept, slices, text_bytes, texts_of, unused, word_bounds
+from aerometry.llm.documents import (
+    kept,
+    slices,
+    text_bytes,
+    texts_of,
+    unused,
+    without_repeats,
+    word_bounds,
+)
 from aerometry.llm.recompression import Windows, anchors, word_names
 from aerometry.llm.secret_scan import with_char_counts
 from aerometry.session import scratch_path
@@ -84,7 +92,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
+    for batch in without_repeats(batches, 0, 2):
         texts = batch.column(1)
         packed = [squeeze.compress(text.as_py().encode()) for text in texts]
         yield pa.RecordBatch.from_arrays(
@@ -249,8 +257,11 @@ def _repeats(docs: DataFrame, with_text: bool) -> tuple[DataFrame, DataFrame]:
     hits = hits.join(originals, "doc_id", "left_semi")
     packed = texts.mapInArrow(_pack, "doc_id long, digest binary, packed binary")
     found = scratch_path(spark, "found")
+    # Both sides lie by document, so this drops what still repeats without a shuffle; behind
+    # it every text of a document is one row.
     (
         packed.join(hits, "doc_id")
+        .dropDuplicates(KEY)
         .select("doc_id", "digest", "packed", "shared")
         .mapInArrow(_bundles, FOUND)
         .write.option("compression", "zstd")
@@ -262,7 +273,6 @@ def _repeats(docs: DataFrame, with_text: bool) -> tuple[DataFrame, DataFrame]:
         sources.join(covered, KEY)
         .select("doc_id", "digest", "packed", "ranges")
         .mapInArrow(_cut(with_text), KEPT)
-        .dropDuplicates(KEY)
     )
     return rows, left
 
@@ -376,6 +386,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows, left = _repeats(docs, with_text=True)
     copies = rows.where("copy").select("doc_id", "digest", F.lit("").alias("text"))
     changed = left.select("doc_id", "digest", "text").unionByName(copies).dropDuplicates(KEY)
+    changed = kept(changed, "changed")  # so that a row repeated without end can be split
     own_id, own_digest, left_text = (unused(docs, n) for n in ("left_id", "left_digest", "left_text"))
     changed = changed.toDF(own_id, own_digest, left_text)
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))

@@ -9,6 +9,7 @@ import pytest
 from given import documents, edges, empty  # noqa: F401
 from plain import TEXTS
 
+from aerometry.llm import documents as document_helpers
 from aerometry.llm import minhash, substring_dedup
 from aerometry.llm.recompression import Windows, anchors
 
@@ -93,6 +94,31 @@ def test_remove_repeats_keeps_rows_and_columns(documents, edges, empty):
         assert left[doc_id].n_chars == len(left[doc_id].text)
 
 
+def test_rows_that_repeat_thousands_of_times(documents, base):
+    """One row, two thousand times, and a smaller document that shares a passage with it."""
+    rng = random.Random(12)
+    shared, own, other = prose(rng, 80), prose(rng, 120), prose(rng, 60)
+    row = (9, " ".join([*own, *shared]))
+    texts = [(2, " ".join([*shared, *other])), *[row] * 2000, (9, " ".join([*shared, *own]))]
+    docs = documents(texts)
+    substring_dedup.substring_dedup(docs).write.parquet(f"{base}/counts")
+    found = docs.sparkSession.read.parquet(f"{base}/counts")
+    expected = plain.without_repeats(texts)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
+    substring_dedup.remove_repeats(docs).write.parquet(f"{base}/left")
+    left = docs.sparkSession.read.parquet(f"{base}/left").collect()
+    digests = sorted((r.doc_id, plain.sha(" ".join(plain.words(r.text)))) for r in left)
+    assert digests == sorted((i, digest) for i, _, _, digest in expected)
+
+
+def test_repeats_leave_a_task_once(monkeypatch):
+    monkeypatch.setattr(document_helpers, "RECENT_KEYS", 3)
+    rows = [1, 1, 2, 1, 3, 3, 4, 1, 1, None, None]
+    batches = [pa.record_batch([pa.array(rows[a : a + 3], pa.int64())], names=["k"]) for a in range(0, 11, 3)]
+    left = [k for b in document_helpers.without_repeats(iter(batches), 0) for k in b.column(0).to_pylist()]
+    assert set(left) == set(rows) and len(left) <= 8
+
+
 def test_what_stands_before_a_removed_passage_stays():
     text = b"a\n" + b" ".join(b"x%d" % i for i in range(50)) + b" \n b"
     removed, words, left = substring_dedup._without(text, np.array([1]), np.array([1]))

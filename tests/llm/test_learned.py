@@ -168,6 +168,33 @@ def test_preferences_share_their_prompt(spark):
     assert (same.n_prompt_turns, same.chosen, same.rejected, same.chosen_loss) == (1, "", "", "")
 
 
+def test_pairs_of_large_and_negative_conversations(spark):
+    ids = [2**60, 2**60 + 1, 2**60 + 2, 2**60 + 3, -1, -2, -3, 2**63 - 1, -(2**63)]
+    found = preference.conversation_pairs(turns(spark, [(i, 0, "user", str(i)) for i in ids])).collect()
+    assert {int(r.text): (r.pair_id, r.side) for r in found} == {
+        i: (i >> 1, "rejected" if i & 1 else "chosen") for i in ids
+    }
+
+
+def test_swapped_answers_leave_a_prefix(spark):
+    rows = [
+        *[(4, 0, "user", "Hi"), (4, 1, "assistant", "Hello"), (4, 2, "user", "Why?"), (4, 3, "assistant", "So")],
+        *[(5, 0, "user", "Other"), (5, 1, "assistant", "No"), (5, 1, "assistant", "No"), (5, 2, "user", "x")],
+        *[(6, None, "assistant", None), (6, None, "user", "y")],
+        *[(7, 0, "user", "no answer")],
+        *[(None, 0, "assistant", "a"), (2**63 - 1, 0, "assistant", "a"), (-(2**63), 0, "assistant", "b")],
+    ]
+    found = {r.pair_id: r for r in preference.format_preferences(preference.swapped_pairs(turns(spark, rows))).collect()}
+    assert sorted(found) == [4, 5]
+    four = found[4]
+    assert four.n_prompt_turns == 3 and four.prompt.endswith("Why?<|im_end|>\n")
+    assert four.chosen == "<|im_start|>assistant\nSo<|im_end|>\n"
+    assert four.rejected == "<|im_start|>assistant\nNo<|im_end|>\n"
+    five = found[5]  # both copies change, to a text that is null
+    assert (five.n_prompt_turns, five.n_chosen_turns, five.n_rejected_turns) == (1, 3, 3)
+    assert five.rejected.startswith("<|im_start|>assistant\n<|im_end|>\n" * 2)
+
+
 def test_no_turns(spark):
     pairs = preference.conversation_pairs(turns(spark, []))
     assert preference.format_preferences(pairs).count() == 0
@@ -245,6 +272,42 @@ def test_copies_and_unusable_vectors(spark):
         assert [i for _, i in sorted(found[q])] == [i for i, _ in expected[q]]
 
 
+def test_an_identifier_at_many_vectors_finds_others(spark):
+    """Its own vectors are nearest to it, and none of them is a candidate."""
+    rng = np.random.default_rng(9)
+    close = rng.normal(size=16)
+    large = 20 * (2**55 + 1)
+    rows = [(large, (close + rng.normal(scale=1e-3, size=16)).tolist()) for _ in range(60)]
+    rows += [(large + 1 + i, rng.normal(size=16).tolist()) for i in range(200)]
+    rows += [(large + 40, rows[0][1]), (large + 60, rows[0][1])]
+    found = {}
+    for r in hamming_search.nearest(vectors(spark, rows), 20, 20, bits=32).collect():
+        found.setdefault(r.query_id, []).append(r)
+    expected = {
+        (i, max(float(np.float32(v).astype(float) @ np.float32(w).astype(float)) for q, w in rows if q == large))
+        for i, v in rows if i != large
+    }
+    best = {}
+    for i, score in expected:
+        best[i] = max(score, best.get(i, score))
+    got = sorted(found[large], key=lambda r: r.rank)
+    assert [r.rank for r in got] == list(range(1, 21))
+    assert {large + 40, large + 60} <= {r.vec_id for r in got}
+    for r in got:
+        assert r.vec_id != large and abs(r.score - best[r.vec_id]) < 1e-9
+    assert all(len(own) == 20 for own in found.values())
+
+
+def test_tiny_and_huge_components(spark):
+    """Squares that vanish in doubles hide no direction."""
+    schema = "vec_id long, embedding array<double>"
+    rng = np.random.default_rng(10)
+    rows = [(i, (rng.normal(size=8) * 10.0 ** rng.choice([-200.0, 0.0, 100.0])).tolist()) for i in range(200)]
+    found = hamming_search.nearest(spark.createDataFrame(rows, schema), 5, 20, bits=16).collect()
+    assert len(found) == 50 and all(r.score is not None for r in found)
+    assert np.allclose(np.linalg.norm(hamming_search.directions(np.array([v for _, v in rows])), axis=1), 1)
+
+
 def test_nothing_to_search(spark):
     assert hamming_search.nearest(vectors(spark, [])).columns == ["query_id", "rank", "vec_id", "score"]
     assert hamming_search.nearest(vectors(spark, [(1, None)])).count() == 0
