@@ -62,7 +62,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), with_links=True)
 
 
 @query

@@ -146,9 +146,10 @@ def families(rng, chunk):
     return texts
 
 
-@pytest.mark.parametrize("chunk", [400, 12])
-def test_classes(documents, monkeypatch, chunk):
+@pytest.mark.parametrize(("chunk", "block"), [(400, 2000), (12, 2000), (12, 7)])
+def test_classes(documents, monkeypatch, chunk, block):
     monkeypatch.setattr(minhash, "CHUNK", chunk)
+    monkeypatch.setattr(minhash, "SKETCH_BLOCK", block)
     texts = families(random.Random(8), 12)
     random.Random(1).shuffle(texts)
     found = {r.doc_id: r.class_id for r in minhash.near_duplicates(documents(texts)).collect()}
@@ -174,6 +175,74 @@ def test_counts_that_differ_fifty_fold(documents):
     assert found == expected and all(i - c == i % 2 for i, c in expected.items())
 
 
+def test_links_lead_through_each_class(documents, monkeypatch):
+    """A link named is one: its similarity is that of the two texts, and 0.8 or more."""
+    monkeypatch.setattr(minhash, "CHUNK", 12)
+    texts = [*families(random.Random(3), 12), (7000, "a b"), (7001, "a  b"), (7001, "a  b"), (7002, None)]
+    rows = minhash.near_duplicates(documents(texts), with_links=True).collect()
+    sets = {}
+    for doc_id, text in texts:
+        own = plain.words(text)
+        sets[doc_id] = {tuple(own[k : k + 5]) for k in range(max(1, len(own) - 4))} if own else set()
+    expected = plain.classes(texts)
+    size = plain.Counter(expected.values())
+    for r in rows:
+        assert r.class_id == expected[r.doc_id]
+        assert (r.linked_to is None) == (size[r.class_id] == 1) == (r.similarity is None)
+        if r.linked_to is not None:
+            one, two = sets[r.doc_id], sets[r.linked_to]
+            assert r.linked_to != r.doc_id and expected[r.linked_to] == r.class_id
+            assert r.similarity == pytest.approx(len(one & two) / len(one | two), abs=1e-6) and r.similarity >= 0.8
+
+
+def test_repeated_rows_stay_within_chunks(documents, monkeypatch):
+    """Copies of a row, and one document of many texts, fill no chunk beyond its bounds."""
+    monkeypatch.setattr(minhash, "CHUNK", 10)
+    base = prose(random.Random(6), 60)
+    variants = [" ".join([*base[:k], f"x{k}", *base[k + 1 :]]) for k in range(60)]
+    texts = [(1, " ".join(base)), *[(2, variants[0])] * 3000, *[(3, v) for v in variants]]
+    found = minhash.near_duplicates(documents(texts)).collect()
+    assert len(found) == len(texts) and {r.class_id for r in found} == {1}
+
+    docs = minhash.texts_of(documents([*texts[:1], *texts[3000:]]))
+    packed = [b for b in minhash._pack(iter(docs.toArrow().to_batches()))]
+    assert sum(b.num_rows for b in packed) == 62
+
+
+def test_a_template_without_links_moves_no_texts(documents, spark, monkeypatch):
+    """Texts of similarity 0.6 are candidates and meet as sketches; hardly any meets again as text."""
+    monkeypatch.setattr(minhash, "CHUNK", 40)
+    rng = random.Random(21)
+    body = prose(rng, 80)
+    texts = [(i, " ".join([*body, *[f"own{i}w{k}" for k in range(24)]])) for i in range(400)]
+    moved = []
+    linked = minhash._linked
+
+    def counted(cells, packed):
+        moved.append(cells.count())
+        return linked(cells, packed)
+
+    monkeypatch.setattr(minhash, "_linked", counted)
+    found = minhash.near_duplicates(documents(texts)).collect()
+    assert all(r.class_id == r.doc_id for r in found)
+    assert len(moved) == 2 and moved[0] >= 400 and moved[1] <= 20
+
+
+def test_sets_are_compared_with_themselves_once():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, 50)).astype(np.uint64) for _ in range(12)]
+    for left, right in ((sets, None), (sets[:5], sets[5:])):
+        rows, columns, how = minhash._similar(left, right)
+        expected = {}
+        for a, one in enumerate(left):
+            for b, two in enumerate(left if right is None else right):
+                if right is not None or a < b:
+                    similarity = len(np.intersect1d(one, two)) / len(np.union1d(one, two))
+                    if similarity >= 0.8 - 1e-12:
+                        expected[a, b] = pytest.approx(similarity)
+        assert dict(zip(zip(rows.tolist(), columns.tolist()), how.tolist(), strict=True)) == expected
+
+
 def test_texts_without_repeats_have_no_further_bands():
     names = np.arange(1, 41, dtype=np.uint64)
     text, counts = np.repeat([0, 2, 3], 40), np.repeat([1, 1, 50], 40)
