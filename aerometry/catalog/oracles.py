@@ -50,6 +50,7 @@ ORACLES["hourly_measurements"] = (
 )
 _WIDE = _JOINED + "select * from combined"
 ORACLES["combined_wide"] = _WIDE
+ORACLES["combined_wide_bucketed"] = _WIDE
 
 # Two-day instants from the epoch on; zeros of both signs and NaN, each with its text.
 _SPECIAL = {0: "-0.0", 1: "0.0", 2: "NaN"}
@@ -121,6 +122,7 @@ ORACLES["monthly_temperature"] = (
     f"from temperatures where year(ts) = {TEMPERATURE_YEAR} and x > -100 and x < 100 "
     "group by 1 order by 1"
 )
+ORACLES["monthly_temperature_pruned"] = ORACLES["monthly_temperature"]
 
 _MONTH = "cast(year(l_shipdate) as integer) as year, cast(month(l_shipdate) as integer) as month"
 _AIR = """air as (

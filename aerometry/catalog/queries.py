@@ -16,6 +16,7 @@ from aerometry.operators.changes import changed_readings, time_slices
 from aerometry.plans import batch
 from aerometry.schemas import DEVICE, READING_VALUES, SENSORS, TIME
 from aerometry.session import pin_utc, scratch_path, streaming_session
+from aerometry.sinks import copies
 from aerometry.sinks import tables as sinks
 from aerometry.sinks.messages import FilePublisher
 from aerometry.sources import feeds
@@ -92,6 +93,21 @@ def combined_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combine.combine_sensors(tables.event_sensors(spark, sf_dir))
 
 
+@query
+def combined_wide_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As combined_wide, from tables in buckets of device and time: no sensor row is moved."""
+    path = scratch_path(spark, "bucketed")
+    prefix = path.rpartition("/")[2].replace("-", "_")
+    sensors = tables.event_sensors(spark, sf_dir)
+    copied = copies.write_bucketed(sensors, prefix, bucket_count(spark), path=path)
+    return combine.combine_sensors(copied)
+
+
+def bucket_count(spark: SparkSession) -> int:
+    """As many buckets as a shuffle has partitions, so that neither side of a join is too coarse."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query
 def combined_wide_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-day instants, where many keys make more than the four rows of a cell.
@@ -184,6 +200,14 @@ def monthly_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(stats.monthly_temperature(temperatures, TEMPERATURE_YEAR))
 
 
+@query
+def monthly_temperature_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As monthly_temperature, from a copy by month: other years' files stay unread."""
+    path = scratch_path(spark, "by-month")
+    copies.write_by_month(tables.order_temperatures(spark, sf_dir), path)
+    return comparable(stats.monthly_temperature(copies.read_by_month(spark, path), TEMPERATURE_YEAR))
+
+
 @query
 def monthly_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(

@@ -42,7 +42,13 @@ def positive_only(df: DataFrame, value: str) -> DataFrame:
 
 
 def in_year(df: DataFrame, year: int, time: str = TIME) -> DataFrame:
-    """Rows of one calendar year, as a range that scans can skip files by."""
+    """Rows of one calendar year, as a range that scans can skip files by.
+
+    A copy by month (``sinks.copies.write_by_month``) has a partition column ``year``, by
+    which other years' files are not even listed for reading.
+    """
+    if "year" in df.columns and "month" in df.columns:
+        df = df.where(F.col("year") == year)
     kind = "TIMESTAMP_NTZ" if df.schema[time].dataType == T.TimestampNTZType() else "TIMESTAMP_LTZ"
     first, after = (F.expr(f"{kind} '{y:04d}-01-01 00:00:00'") for y in (year, year + 1))
     return df.where((F.col(time) >= first) & (F.col(time) < after))

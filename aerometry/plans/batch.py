@@ -12,6 +12,7 @@ from aerometry.operators import stats
 from aerometry.operators.combine import hourly_measurements, key_counts
 from aerometry.schemas import DEVICE, SENSORS
 from aerometry.session import pin_utc
+from aerometry.sinks.copies import CALENDAR, read_by_month, write_by_month
 from aerometry.sinks.tables import preview, write_table
 from aerometry.sources.sensors import read_sensors, sensor_path
 
@@ -50,9 +51,16 @@ PREVIEWED = {
 
 
 def copy_sensors(tables: Mapping[str, DataFrame], root: str) -> None:
-    """Keep the tables as parquet, so that later reads skip columns and row groups."""
+    """Keep the tables as parquet, so that later reads skip columns and row groups.
+
+    Temperature, of which one year is read, is kept by month.
+    """
     for name, df in tables.items():
-        write_table(df, sensor_path(SENSORS[name], root, "parquet"), "parquet")
+        path = sensor_path(SENSORS[name], root, "parquet")
+        if name == "temperature":
+            write_by_month(df, path)
+        else:
+            write_table(df, path, "parquet")
 
 
 def result_tables(
@@ -110,6 +118,9 @@ def run_batch(
     if columnar_root is not None:
         copy_sensors(tables, columnar_root)
         tables = read_sensors(spark, columnar_root, "parquet")
+        temperature = SENSORS["temperature"]
+        by_month = read_by_month(spark, sensor_path(temperature, columnar_root, "parquet"))
+        tables["temperature"] = by_month.select(*temperature.schema.names, *CALENDAR)
     hourly = hourly_measurements(key_counts(tables)).persist()
     pressure = stats.device_min_avg(
         tables["atmospheric_pressure"],

@@ -32,7 +32,9 @@ def read_sensor(
     reader = spark.read.schema(spec.schema).options(**options)
     if file_format == "csv":
         reader = reader.option("header", False)
-    return reader.format(file_format).load(sensor_path(spec, root, file_format))
+    found = reader.format(file_format).load(sensor_path(spec, root, file_format))
+    # A copy by month has its partition columns too.
+    return found.select(*spec.schema.names)
 
 
 def read_sensors(

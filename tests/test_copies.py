@@ -1,0 +1,90 @@
+"""Copies by month and in buckets: what is read, what is moved, and equal results."""
+
+import re
+from pathlib import Path
+
+import pytest
+from conftest import at, rows
+
+from aerometry.operators.combine import combine_sensors
+from aerometry.operators.stats import monthly_temperature
+from aerometry.plans.batch import copy_sensors
+from aerometry.schemas import SENSORS
+from aerometry.sinks import copies
+from aerometry.sources.sensors import read_sensors
+
+
+@pytest.fixture
+def temperatures(spark):
+    data = [(f"d{i % 5}", at("01:00:00").replace(year=2019 + i % 4, month=1 + i % 12), float(i)) for i in range(96)]
+    return spark.createDataFrame([*data, ("d", None, 1.0)], SENSORS["temperature"].schema)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_a_year_reads_its_own_files(spark, base, temperatures):
+    copies.write_by_month(temperatures, f"{base}/t")
+    copied = copies.read_by_month(spark, f"{base}/t")
+    result = monthly_temperature(copied, 2021)
+    assert rows(result) == rows(monthly_temperature(temperatures, 2021)) and result.count() > 1
+    assert re.search(r"PartitionFilters: \[[^]]*year#\d+ = 2021", plan_of(result))
+    assert rows(copied.drop("year", "month")) == rows(temperatures)
+    expected = rows(result)
+    for file in Path(f"{base}/t").glob("year=*/*/*.parquet"):
+        if "/year=2021/" not in str(file):
+            file.write_bytes(b"unreadable")
+    spark.catalog.refreshByPath(f"{base}/t")
+    assert rows(monthly_temperature(copied, 2021)) == expected
+    assert Path(f"{base}/t/year=__HIVE_DEFAULT_PARTITION__").exists()
+
+
+def sensors(spark, n=60):
+    """Every table holds some keys of its own, repeated keys, and rows without a key."""
+    tables = {}
+    for number, (name, spec) in enumerate(SENSORS.items()):
+        made = []
+        for i in range(n):
+            values = {
+                "deviceId": None if i % 13 == 5 else f"d{(i * (number + 3)) % 9}",
+                "timestamp": at(f"0{i % 4}:00:00"),
+            }
+            text = {"airQuality", "name"}
+            made.append(tuple(values.get(c, str(i) if c in text else float(i)) for c, _ in spec.columns))
+        tables[name] = spark.createDataFrame(made[: 5 + 2 * number], spec.schema)
+    return tables
+
+
+def test_buckets_join_without_moving_sensor_rows(spark, base):
+    tables = sensors(spark)
+    copied = copies.write_bucketed(tables, "t_copies", 4, path=f"{base}/b")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = combine_sensors(copied)
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        found = rows(wide)
+        plain = combine_sensors(tables)
+        moved = plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == rows(combine_sensors(tables, hot_rows=None)) and found
+    # The keys come from the table they were counted into; the eight tables stay in place.
+    assert plan.count("Bucketed: true") == 8
+    assert plan.count("Exchange") == 1 and moved.count("Exchange") == 9
+
+
+def test_buckets_with_hot_keys(spark, base):
+    tables = sensors(spark)
+    copied = copies.write_bucketed(tables, "t_hot", 4, path=f"{base}/b")
+    assert rows(combine_sensors(copied, hot_rows=50)) == rows(combine_sensors(tables, hot_rows=None))
+    assert set(copies.read_bucketed(spark, "t_hot", list(tables))) == set(tables)
+
+
+def test_columnar_copies_keep_temperature_by_month(spark, base):
+    tables = sensors(spark)
+    copy_sensors(tables, f"{base}/c")
+    assert list(Path(f"{base}/c/temperature.parquet").glob("year=2024/month=1"))
+    for name, df in read_sensors(spark, f"{base}/c", "parquet").items():
+        assert df.columns == tables[name].columns and rows(df) == rows(tables[name])
