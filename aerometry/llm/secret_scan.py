@@ -29,6 +29,8 @@ from aerometry.llm.documents import map_texts, text_bytes
 
 #: Pieces longer than this are cut at every byte that leads back to the start.
 LONG_PIECE = 1 << 14
+#: So few pieces, still to be read, are read one by one; more are read a byte of each at a time.
+FEW_LANES = 24
 
 
 @dataclass(frozen=True)
@@ -128,6 +130,7 @@ class Scanner:
         self.all = Automaton([rule.head for rule in rules])
         self.back = [Automaton([r.head], search=False, reverse=True) for r in rules]
         self.tails = [_members(rule.tail) for rule in rules]
+        self.rows, self.ends = self.all.table.tolist(), self.all.mask.tolist()
         step = self.all.table
         self.resets = (step == self.all.start).all(axis=0)[self.all.byte_class]
 
@@ -145,6 +148,11 @@ class Scanner:
         found: list[tuple[np.ndarray, np.ndarray]] = []
         live = np.searchsorted(-lengths, -np.arange(1, (lengths[0] if len(lengths) else 0) + 1), side="right")
         for t, n in enumerate(live):
+            if n <= FEW_LANES:
+                for lane in range(n):
+                    rest = slice(int(at[lane]) + t, int(ends[lane]))
+                    found.append(self._rest(classes[rest], rest.start, int(state[lane]), bool(before[lane])))
+                break
             old = state[:n]
             new = flat[old * width + classes[at[:n] + t]]
             now = accepting[new]
@@ -161,6 +169,25 @@ class Scanner:
         order = np.argsort(positions, kind="stable")
         return positions[order], bits[order]
 
+    def _rest(
+        self, classes: np.ndarray, first: int, state: int, before: bool
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """As ``hits`` for the rest of one lane, byte by byte."""
+        rows, mask = self.rows, self.ends
+        last = mask[state] if before else 0
+        positions, bits = [], []
+        for position, byte in enumerate(classes.tobytes(), first):
+            state = rows[state][byte]
+            now = mask[state]
+            if now:
+                if now & ~last:
+                    positions.append(position)
+                    bits.append(now & ~last)
+                last = now
+            elif last:
+                last = 0
+        return np.array(positions, dtype=np.int64), np.array(bits, dtype=np.int64)
+
     def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not self.resets[10]:
             raise ValueError("a rule reads across line ends")
@@ -266,8 +293,9 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     One row per input row. Null and empty texts have no spans; repeated rows are
     scanned alike; other columns of ``docs`` are not read. Spans are written
-    ``kind:start:end`` in code points by start, then kind. Memory follows
-    ``BATCH_BYTES``, or the longest text where that is larger.
+    ``kind:start:end`` in code points by start, then kind. Letters in either case are
+    those of ASCII; no other letter stands for one. Memory follows ``BATCH_BYTES``, or
+    the longest text where that is larger.
     """
 
     def batch(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:

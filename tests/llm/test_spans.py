@@ -1,6 +1,7 @@
 """Secrets and personal data against regular expressions."""
 
 import random
+import time
 
 import plain
 import pyarrow as pa
@@ -35,6 +36,29 @@ def test_secrets_equal_regular_expressions():
         assert [(kinds[k], a, b) for a, k, b in base] == plain.secrets(text), text
 
 
+@pytest.mark.parametrize("few", [0, 3, 10**6])
+def test_lanes_read_alone_or_together(monkeypatch, few):
+    monkeypatch.setattr(secret_scan, "FEW_LANES", few)
+    monkeypatch.setattr(secret_scan, "LONG_PIECE", 50)
+    texts = drawn(SECRET_PARTS, 300, longest=60, seed=11)
+    found = secret_scan.find_spans(pa.array(texts, pa.large_string()))
+    kinds = [rule.kind for rule in secret_scan.RULES]
+    for text, spans in zip(texts, found, strict=True):
+        base = sorted((start, k, end) for k, start, end in spans if k < len(secret_scan.BASE))
+        assert [(kinds[k], a, b) for a, k, b in base] == plain.secrets(text), text
+
+
+def test_ten_megabytes_in_one_line():
+    """Without a byte that leads back to the start, it is read as fast as a loop goes."""
+    line = "Zm9vYmFy+/8=ab12" * 640_000
+    text = f"{line} token = abcdefgh12 {'0123456789abcdef' * 4} {line}"
+    began = time.process_time()
+    (spans,) = secret_scan.find_spans(pa.array([text], pa.large_string()))
+    assert time.process_time() - began < 20
+    kinds = [rule.kind for rule in secret_scan.RULES]
+    assert [(kinds[k], a, b) for k, a, b in sorted(spans, key=lambda s: (s[1], s[0]))] == plain.secrets(text)
+
+
 def test_more_secret_shapes():
     text = "-----BEGIN RSA PRIVATE KEY----- ghp_" + "Z" * 36 + " eyJhbGciOi.eyJzdWIiOiIx." + "s" * 30
     found = secret_scan.find_spans(pa.array([text, "ghp_short eyJ a.b"], pa.large_string()))
