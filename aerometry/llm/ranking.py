@@ -219,27 +219,25 @@ def _scored(rows: DataFrame, ranking: Ranking) -> DataFrame:
     return rows.select("doc_id", "features").mapInArrow(run, SCHEMA)
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[Ranking, DataFrame]:
-    """The ranking learned from labelled documents, and all documents' features.
+def usable_marks(labels: DataFrame) -> DataFrame:
+    """Distinct (doc_id, quality) of labels to learn from."""
+    marks = labels.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("quality").cast("int").alias("quality"),
+    )
+    return marks.where(F.col("quality").isin(0, 1) & ~held_out()).distinct()
+
 
-    Features are computed once and kept as a table in the shared folder. Weights
-    are fitted on about ``SAMPLE`` labelled documents, chosen by checksum.
+def learn(rows: DataFrame, marks: DataFrame) -> Ranking:
+    """The ranking learned from the labelled of ``rows`` (doc_id, features).
+
+    Weights are fitted on about ``SAMPLE`` labelled documents, chosen by checksum.
     """
-    rows = kept(with_features(docs), "features")
-    marks = (
-        labels.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("quality").cast("int").alias("quality"),
-        )
-        .where(F.col("quality").isin(0, 1))
-        .distinct()
-    )
-    labelled = kept(rows.where(~held_out()).join(marks, "doc_id"), "labelled")
+    labelled = kept(rows.join(marks, "doc_id"), "labelled")
     learned = sampled(labelled, SAMPLE, "doc_id")
     learned.sort(key=lambda row: (row["doc_id"], row["quality"], row["features"]))
     values = np.array([row["features"] for row in learned]).reshape(len(learned), len(FEATURES))
-    ranking = fit(values, np.array([row["quality"] for row in learned], dtype=np.int64))
-    return ranking, rows
+    return fit(values, np.array([row["quality"] for row in learned], dtype=np.int64))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -250,7 +248,9 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     labels counts once per label, null labels not at all; other columns of ``docs``
     are not read. Without labels of both values everything is kept.
     """
-    ranking, rows = train(docs, labels)
+    # Features are computed once and kept as a table in the shared folder.
+    rows = kept(with_features(docs), "features")
+    ranking = learn(rows, usable_marks(labels))
     return _scored(rows, ranking).select(
         "doc_id",
         held_out().alias("held_out"),
@@ -263,9 +263,17 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` predicted to be good, all columns as they are.
 
     Rows are scored where they are read, so that whole texts are not shuffled to
-    meet their verdicts.
+    meet their verdicts. Features are computed ahead for the documents to learn from
+    only: about ``SAMPLE`` labelled ones by the same checksum, whose identifiers go to
+    all tasks.
     """
-    ranking, _ = train(docs, labels)
+    marks = kept(usable_marks(labels), "marks")
+    chosen = [(row["doc_id"],) for row in sampled(marks, SAMPLE, "doc_id")]
+    chosen = docs.sparkSession.createDataFrame(sorted(set(chosen)), "labelled_id long")
+    to_learn = docs.select("doc_id", "text").join(
+        F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("labelled_id"), "left_semi"
+    )
+    ranking = learn(with_features(to_learn), marks)
 
     def run(batches):
         for batch in batches:
