@@ -2,10 +2,13 @@
 
 import hashlib
 import heapq
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 PROSE = "the cat sat on the mat and looked at the moon while rain fell on old roofs"
 
 #: Null, empty, blank, unusual white space, repeated rows, a missing identifier.
@@ -263,3 +266,82 @@ def repaired(rows):
 
 
 INSERTED = 3
+
+
+def quality_features(text):
+    """The ranking's features of one text, in its order."""
+    own = text.split()
+    if not own:
+        return [0.0] * 13
+    n = len(own)
+    chars = sum(c not in " \t\n\x0b\x0c\r" for c in text)
+    count = lambda letters: sum(c in letters for c in text)
+    lines = [line for line in text.split("\n") if line.strip()]
+    raw = text.encode()
+    return [
+        math.log(1 + n),
+        chars / n,
+        count("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / max(chars, 1),
+        count("0123456789") / max(chars, 1),
+        count("#*$%&<>~^=+\\@_{}[]") / n,
+        count("|") / n,
+        count(",;:\"'()-") / n,
+        count(".!?") / n,
+        len(lines) / n,
+        len(set(own)) / n,
+        1 - len(set(lines)) / max(len(lines), 1),
+        len(zlib.compress(raw, 1)) / len(raw),
+        math.log(1 + max(len(w) for w in own)),
+    ]
+
+
+def pairwise_weights(differences, penalty, steps=20_000):
+    """Weights of least logistic loss on feature differences, by plain gradient steps."""
+    differences = np.asarray(differences, dtype=float)
+    weights = np.zeros(differences.shape[1])
+    rate = 1 / (penalty + np.linalg.norm(differences, 2) ** 2 / 4)
+    for _ in range(steps):
+        chance = 1 / (1 + np.exp(-(differences @ weights)))
+        weights += rate * (differences.T @ (1 - chance) - penalty * weights)
+    return weights
+
+
+def covering(rows, cuts, most_rules, most_conditions, least_cover, least_precision):
+    """Rules by sequential covering; rows are (statistics, bad, whether to prune by it)."""
+
+    def holds(rule, row):
+        return all(row[0][n] <= t if op == "<=" else row[0][n] > t for n, op, t in rule)
+
+    rules = []
+    while len(rules) < most_rules:
+        rows = [row for row in rows if not (rules and holds(rules[-1], row))]
+        growing = [row for row in rows if not row[2]]
+        pruning = [row for row in rows if row[2]]
+        rule = ()
+        while len(rule) < most_conditions:
+            inside = [row for row in growing if holds(rule, row)]
+            bad, n, best = sum(row[1] for row in inside), len(inside), None
+            for name in cuts:
+                for cut in cuts[name]:
+                    for op in ("<=", ">"):
+                        left = [row[1] for row in inside if holds(((name, op, cut),), row)]
+                        p, m = sum(left), len(left)
+                        if 0 < p and m < n:
+                            gain = p * (math.log2(p / m) - math.log2(bad / n))
+                            if best is None or gain > best[0] + 1e-9:
+                                best = (gain, (name, op, cut))
+            if best is None or best[0] <= 1e-9 or best[1] in rule:
+                break
+            rule = (*rule, best[1])
+        if not rule:
+            break
+        worth = []
+        for k in range(1, len(rule) + 1):
+            own = [row[1] for row in pruning if holds(rule[:k], row)]
+            worth.append((round((2 * sum(own) - len(own)) / len(own), 6) if own else -1.0, sum(own), len(own)))
+        length = max(range(len(rule)), key=lambda k: (worth[k][0], -k)) + 1
+        _, bad, n = worth[length - 1]
+        if n < least_cover or bad < least_precision * n:
+            break
+        rules.append(rule[:length])
+    return rules

@@ -5,9 +5,11 @@ import zlib
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from given import documents, edges, empty, labels  # noqa: F401
 from plain import TEXTS
+from pyspark.sql import functions as F
 
 from aerometry.llm import decision_list, hamming_search, preference, ranking
 
@@ -71,6 +73,30 @@ def test_ranking_edges(documents, labels, edges, empty):
     assert ranking.keep_good(empty, labels(marks)).count() == 0
 
 
+def test_features_equal_plain_ones():
+    texts = [t or "" for _, t in TEXTS] + [t for t, _ in zip((t for _, t in marked(40)[0]), range(40), strict=False)]
+    texts += ["Aé|#12, \u00a0x.\n\nÉ\x1cz", "one", "a\na\nb  ", "\u2003", "\x85"]
+    found = ranking.features(pa.array(texts, pa.large_string()))
+    assert np.allclose(found, [plain.quality_features(t) for t in texts], atol=1e-9)
+
+
+def test_weights_equal_those_of_a_plain_solver():
+    """Newton's steps end where plain gradient steps on the same pairs do."""
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(60, len(ranking.FEATURES)))
+    quality = (rows[:, 3] + 0.5 * rng.normal(size=60) > -0.5).astype(np.int64)
+    fitted = ranking.fit(rows, quality)
+    better, worse = ranking.preference_pairs(quality)
+    indicators = np.concatenate(
+        [rows[:, j, None] > edge[None, :] for j, edge in enumerate(fitted.edges)], axis=1
+    ).astype(float)
+    weights = plain.pairwise_weights(indicators[better] - indicators[worse], ranking.PENALTY)
+    assert np.allclose(fitted.weights, weights, atol=1e-3)
+    strengths = indicators @ weights
+    expected = 1 / (1 + np.exp(-(strengths - fitted.cut + np.log(0.3 / 0.7))))
+    assert np.allclose(fitted.scores(rows), expected, atol=1e-3)
+
+
 def test_pairwise_weights_order_a_line():
     rng = np.random.default_rng(0)
     rows = rng.normal(size=(300, len(ranking.FEATURES)))
@@ -117,6 +143,35 @@ def test_rules_reject_what_is_marked(documents, labels):
     assert len(right) > 80 and np.mean(right) > 0.95
 
 
+def test_rules_equal_plain_covering(documents, labels):
+    """The list learned by aggregations, and its verdicts, against rows taken one by one."""
+    texts, marks = marked(400, seed=9)
+    rng = random.Random(2)
+    marks = [(i, 1 - q if rng.random() < 0.05 else q) for i, q in marks]
+    counted = decision_list.with_counts(documents(texts)).withColumns(decision_list.statistics())
+    names = list(decision_list.statistics())
+    labelled = counted.join(labels(marks), "doc_id").select("doc_id", "quality", *names)
+    part = F.pmod(F.xxhash64("doc_id", *names), F.lit(3)).alias("part")
+    rows = [
+        ({n: row[n] for n in names}, 1 - row["quality"], row["part"] == 0)
+        for row in labelled.select("*", part).collect()
+    ]
+    expected = plain.covering(
+        rows,
+        decision_list._cuts(labelled, names),
+        decision_list.MOST_RULES,
+        decision_list.MOST_CONDITIONS,
+        decision_list.LEAST_COVER,
+        decision_list.LEAST_PRECISION,
+    )
+    rules = decision_list.learn(labelled, names)
+    assert list(rules.rules) == expected and len(expected) >= 2
+    verdicts = labelled.select(*names, rules.kept().alias("kept")).collect()
+    for row in verdicts:
+        covered = [all(row[n] <= t if op == "<=" else row[n] > t for n, op, t in rule) for rule in expected]
+        assert row["kept"] == (not any(covered))
+
+
 def test_rule_edges(documents, labels, edges, empty):
     _, marks = marked(20)
     assert decision_list.apply_quality_rules(empty, labels(marks)).count() == 0
