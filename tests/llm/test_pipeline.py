@@ -125,7 +125,7 @@ def test_every_stage_equals_brute_force(spark, base, tmp_path):
 
 def test_registered_queries():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(contract.oracle_sql())
     assert corpus_pipeline.ORACLE_SQL is None
