@@ -49,7 +49,7 @@ WORD = re.compile(r"[^ \t-\r]+")
 CONTROL = re.compile("[\x1c-\x1f\x85\xa0]")
 
 #: Characters whose words are looked up together.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 
 
 if sys.byteorder != "little" or array("I").itemsize != 4:
