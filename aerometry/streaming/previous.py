@@ -28,6 +28,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Length of a slice unless told otherwise; a slice's rows of a trigger are ordered in memory.
 SLICE = "hour"
 
+#: Parts that passing rows of a key and slice are dealt to.
+PASSING_PARTS = 256
+
 _OWN = ("_previous", "_last", "_slice", "_ahead", "_passes")
 
 
@@ -50,13 +53,22 @@ def stream_with_previous(
     Rows of a trigger follow those of the trigger before. ``time_slice`` must not
     decrease along ``order``. ``wanted`` says of (previous, value) which rows are kept;
     rows within a slice that it leaves out go no further than the first step. Rows that
-    are ``passing`` are no one's previous row and have none. A null key is a key.
+    are ``passing`` are no one's previous row and have none; they are dealt to groups of
+    their own by ``order``, as many may share a key. A null key is a key.
     """
     instants = [f.name for f in rows.schema if isinstance(f.dataType, T.TimestampType)]
     # The slice is cut from the instants, ahead of their change to numbers.
-    sliced = rows.withColumns(
-        {"_slice": time_slice, "_passes": F.lit(False) if passing is None else passing}
-    )
+    if passing is None:
+        sliced = rows.withColumns({"_slice": time_slice, "_passes": F.lit(False)})
+    else:
+        passes = F.coalesce(passing, F.lit(False))
+        part = F.pmod(F.xxhash64(*order), F.lit(PASSING_PARTS)).cast("string")
+        sliced = rows.withColumns(
+            {
+                "_slice": F.when(passes, F.concat(time_slice, F.lit("#"), part)).otherwise(time_slice),
+                "_passes": passes,
+            }
+        )
     sent = sliced.withColumns({name: F.unix_micros(name) for name in instants})
     names = list(rows.columns)
     kind = rows.schema[value].dataType

@@ -474,6 +474,30 @@ def test_ingest_filters_rejects_and_publishes(spark, streams, base):
     assert rows(rejects, "epoch", "deviceId", "reject_reason") == [(1, "1", "bad pm10")]
 
 
+def test_rejects_of_one_device_are_dealt(spark, streams, base, monkeypatch):
+    """Rows that pass the comparison fill no task alone, and the device's state stays without them."""
+    bad = [payload("1", 100, seq, "bad") for seq in range(200)]
+    land(spark, f"{base}/feed", [*bad, payload("1", 7, 200), payload("1", 7, 201)], PAYLOAD)
+    streams.conf.set("spark.sql.shuffle.partitions", "4")
+    streams.conf.set("spark.sql.adaptive.enabled", "false")
+    feed = read_payload_table(streams, f"{base}/feed", stream=True, maxFilesPerTrigger="1")
+    spread = []
+    rejected = changes.rejected
+
+    def told(batch):
+        tasks = rejected(batch).groupBy(F.spark_partition_id()).count()
+        spread.extend(row["count"] for row in tasks.collect())
+        return rejected(batch)
+
+    monkeypatch.setattr(changes, "rejected", told)
+    changes.start_ingest(
+        feed, FilePublisher(f"{base}/out"), f"{base}/rejects", f"{base}/ck"
+    ).awaitTermination()
+    assert sum(spread) == 200 and max(spread) < 120
+    assert spark.read.parquet(f"{base}/rejects").count() == 200
+    assert spark.read.parquet(f"{base}/out").count() == 1
+
+
 def test_ingest_from_one_file_per_payload(spark, streams, base):
     for i, (device, key) in enumerate([("1", 100), ("1", 100), ("2", 100), ("1", 200)]):
         folder = Path(f"{base}/feed/deviceId={device}")
