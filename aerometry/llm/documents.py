@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from aerometry.session import scratch_path
+from aerometry.session import delete_tree, scratch_path
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -39,18 +39,39 @@ def share_library(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def kept(rows: DataFrame, purpose: str) -> DataFrame:
+def kept(rows: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """Rows as a table in the shared folder, read back.
 
     Besides cutting the lineage, a table that was grouped before it is joined lets
     adaptive execution split a skewed partition of the join, which it cannot while
     the grouping is part of the same stage.
     """
-    path = scratch_path(rows.sparkSession, purpose)
+    path = scratch_path(rows.sparkSession, purpose) if path is None else path
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+class Passing:
+    """Tables in the shared folder that are dropped once all that comes of them is written.
+
+    Until then they are there for tasks that run again; a job that fails leaves them.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def path(self, purpose: str) -> str:
+        self.paths.append(scratch_path(self.spark, purpose))
+        return self.paths[-1]
+
+    def kept(self, rows: DataFrame, purpose: str) -> DataFrame:
+        return kept(rows, purpose, self.path(purpose))
+
+    def drop(self) -> None:
+        while self.paths:
+            delete_tree(self.spark, self.paths.pop())
+
+
 def sampled(rows: DataFrame, most: int, *key: str) -> list[Row]:
     """About ``most`` rows, all if there are fewer, chosen by a hash of ``key``.
 

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerometry.llm.documents import (
+    Passing,
     kept,
     slices,
     text_bytes,
@@ -404,17 +405,21 @@ def _needed(rows: pd.DataFrame) -> pd.DataFrame:
     return needed[["leader", "part", "other", "doc_id", "digest", "component"]]
 
 
-def _still_to_compare(large: DataFrame, packed: DataFrame, links: DataFrame) -> DataFrame:
+def _still_to_compare(
+    large: DataFrame, packed: DataFrame, links: DataFrame, passing: Passing
+) -> DataFrame:
     """Cells of texts from different chunks that may be similar and that no link connects yet.
 
     Of each cell the members outside its largest component meet each other and it; the
     largest component's own members do not meet. What meets are sketches, in blocks.
     """
-    component = connected(links)
+    component = connected(links, passing)
     labelled = large.join(component, "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id")
     )
-    counts = kept(labelled.groupBy("leader", "component").agg(F.count("*").alias("n")), "components")
+    counts = passing.kept(
+        labelled.groupBy("leader", "component").agg(F.count("*").alias("n")), "components"
+    )
     blocks = lambda n: F.ceil(n / SKETCH_BLOCK).cast("long")
     largest = F.max(F.struct("n", "component"))
     cells = (
@@ -428,8 +433,8 @@ def _still_to_compare(large: DataFrame, packed: DataFrame, links: DataFrame) ->
             blocks(F.col("largest.n")).alias("large_blocks"),
         )
     )
-    mixed = kept(labelled.join(cells, "leader"), "mixed")
-    sketches = kept(
+    mixed = passing.kept(labelled.join(cells, "leader"), "mixed")
+    sketches = passing.kept(
         packed.join(mixed.select("digest").distinct(), "digest", "left_semi")
         .select("digest", "packed")
         .mapInArrow(_sketch, "digest binary, sketch binary"),
@@ -457,31 +462,35 @@ def _still_to_compare(large: DataFrame, packed: DataFrame, links: DataFrame) ->
     )
 
 
-def connected(links: DataFrame) -> DataFrame:
+def connected(links: DataFrame, result: Passing | None = None) -> DataFrame:
     """``doc_id`` and ``component`` (its smallest document) of all linked documents.
 
     Alternates two steps until nothing changes: every document's larger neighbours
     are linked to its smallest one, then its smaller neighbours. Each step keeps
-    the links as a table in the shared folder.
+    the links as a table in the shared folder; a round's tables go when the next one's
+    links are written. The last stay, in ``result`` if given.
     """
+    spark = links.sparkSession
 
-    def written(rows: DataFrame) -> tuple[DataFrame, tuple]:
-        found = kept(rows, "edges")
+    def written(rows: DataFrame, tables: Passing) -> tuple[DataFrame, tuple]:
+        found = tables.kept(rows, "edges")
         mark = F.xxhash64("high", "low").cast("decimal(38,0)")
         return found, tuple(found.agg(F.count("*"), F.sum(mark)).first())
 
+    before = Passing(spark)
     edges, state = written(
         links.select(
             F.greatest("doc_id", "other").alias("high"), F.least("doc_id", "other").alias("low")
         )
         .where(F.col("high") > F.col("low"))
-        .distinct()
+        .distinct(),
+        before,
     )
     while True:
         both = edges.select(F.col("high").alias("node"), F.col("low").alias("near")).unionAll(
             edges.select(F.col("low").alias("node"), F.col("high").alias("near"))
         )
-        least = kept(
+        least = before.kept(
             both.groupBy("node").agg(F.least(F.min("near"), F.first("node")).alias("least")), "least"
         )
         large = (
@@ -490,8 +499,8 @@ def connected(links: DataFrame) -> DataFrame:
             .select(F.col("near").alias("high"), F.col("least").alias("low"))
             .distinct()
         )
-        middle = kept(large, "edges")
-        smallest = kept(middle.groupBy("high").agg(F.min("low").alias("least")), "least")
+        middle = before.kept(large, "edges")
+        smallest = before.kept(middle.groupBy("high").agg(F.min("low").alias("least")), "least")
         small = (
             middle.join(smallest, "high")
             .select(F.col("low").alias("high"), F.col("least").alias("low"))
@@ -499,10 +508,14 @@ def connected(links: DataFrame) -> DataFrame:
             .unionAll(smallest.select("high", F.col("least").alias("low")))
             .distinct()
         )
-        edges, changed = written(small)
+        now = Passing(spark)
+        edges, changed = written(small, now)
+        before.drop()
         if changed == state:
             break
-        state = changed
+        before, state = now, changed
+    if result is not None:
+        result.paths += now.paths
     stars = edges.select(F.col("high").alias("doc_id"), F.col("low").alias("component"))
     return stars.unionAll(stars.select(F.col("component").alias("doc_id"), "component").distinct())
 
@@ -534,9 +547,11 @@ def near_duplicates(docs: DataFrame, with_links: bool = False) -> DataFrame:
     firsts = kept(usable.groupBy("digest").agg(*ends_of), "firsts")
     originals = usable.join(firsts.drop("last_copy"), "digest").where(F.col("doc_id") == F.col("original"))
 
-    members = scratch_path(spark, "members")
+    # What is needed for links only goes with them found.
+    passing = Passing(spark)
+    members = passing.path("members")
     exploded = originals.select("doc_id", "digest", "n_shingles", F.explode("bands").alias("band"))
-    leaders = kept(
+    leaders = passing.kept(
         exploded.groupBy("band")
         .agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"))
         .where(F.col("leader") < F.col("last"))
@@ -557,7 +572,7 @@ def near_duplicates(docs: DataFrame, with_links: bool = False) -> DataFrame:
     # A chunk holds texts, so one document with many of them is dealt too.
     dealt = (
         followers()
-        .join(kept(sizes, "sizes"), "leader")
+        .join(passing.kept(sizes, "sizes"), "leader")
         .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")))
     )
     is_leader = F.col("doc_id") == F.col("leader")
@@ -570,7 +585,7 @@ def near_duplicates(docs: DataFrame, with_links: bool = False) -> DataFrame:
     )
     # Whole texts are shuffled once, then only those of cells. Both sides lie by document and
     # digest, so copies of a row go without another shuffle.
-    members_only = scratch_path(spark, "packed")
+    members_only = passing.path("packed")
     (
         texts.mapInArrow(_pack, PACKED)
         .hint("merge")
@@ -586,12 +601,13 @@ def near_duplicates(docs: DataFrame, with_links: bool = False) -> DataFrame:
     # Cells of several chunks whose members are not yet one component.
     large = dealt.where(F.col("parts") > 1)
     if not large.isEmpty():
-        across = _still_to_compare(large, packed, links)
+        across = _still_to_compare(large, packed, links, passing)
         second_links = scratch_path(spark, "links")
-        _linked(kept(across, "across"), packed).write.parquet(second_links)
+        _linked(passing.kept(across, "across"), packed).write.parquet(second_links)
         links = links.unionByName(spark.read.schema(LINKS).parquet(second_links))
 
     component = connected(links)
+    passing.drop()
     classes = firsts.join(
         component.withColumnRenamed("doc_id", "original"), "original", "left"
     ).select("digest", "original", "last_copy", F.coalesce("component", "original").alias("class_id"))

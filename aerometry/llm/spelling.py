@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerometry.llm.documents import kept
+from aerometry.llm.documents import Passing, kept
 
 #: Letters of a word, its least length and count, how much more frequent
 #: the form must be, and which occurrences lose a character.
@@ -201,16 +201,20 @@ def roots(forms: DataFrame) -> DataFrame:
     """``word`` and the last of its forms, from (word, form) rows without circles.
 
     Every round doubles the steps taken; a form has ``TIMES`` the word's count at
-    least, so there are few steps.
+    least, so there are few steps. A round's table goes when the next one's is written.
     """
-    reached = kept(forms.select("word", F.col("form").alias("root")), "spelling-roots")
+    before = Passing(forms.sparkSession)
+    reached = before.kept(forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         ahead = reached.select(F.col("word").alias("_at"), F.col("root").alias("_next"))
         joined = reached.join(ahead, F.col("root") == F.col("_at"), "left")
         further = F.col("_next").isNotNull().alias("_moved")
-        reached = kept(
+        now = Passing(forms.sparkSession)
+        reached = now.kept(
             joined.select("word", F.coalesce("_next", "root").alias("root"), further), "spelling-roots"
         )
+        before.drop()
+        before = now
         if reached.where("_moved").isEmpty():
             return reached.select("word", "root")
         reached = reached.select("word", "root")
@@ -230,7 +234,8 @@ def group_variants(
     that forms lead to. Null, empty and letterless texts have no words, an empty table
     gives no rows, and of a repeated document every row counts.
     """
-    words = kept(occurring_words(docs, least_length, least_count, damaged), "spelling-words")
+    passing = Passing(docs.sparkSession)
+    words = passing.kept(occurring_words(docs, least_length, least_count, damaged), "spelling-words")
     near = neighbours(words)
     known = words.join(near, "word", "left")
     is_form = F.col("form_n") >= times * F.col("n")
@@ -244,6 +249,7 @@ def group_variants(
         ),
         "spelling-forms",
     )
+    passing.drop()
     last = roots(known.where(F.col("form").isNotNull()))
     return known.join(last, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"

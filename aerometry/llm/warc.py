@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerometry.llm.documents import kept
+from aerometry.llm.documents import Passing, kept
 from aerometry.session import scratch_path
 
 # Fixed values of the format.
@@ -306,11 +306,13 @@ def deduplicate_archives(
     Only headers meet by digest. What was decided joins the records by their unique
     identifiers, so that no hot payload gathers its copies; revisits lose theirs.
     """
-    headers = kept(read_archives(spark, source, payloads=False), "warc-headers")
+    passing = Passing(spark)
+    headers = passing.kept(read_archives(spark, source, payloads=False), "warc-headers")
     decided = resolve_revisits(headers, least_bytes)
     records = read_archives(spark, source).drop("record_type", "refers_to")
     fresh = records.join(decided, "record_id")
     write_archives(fresh, target, records_per_file)
+    passing.drop()
 
 
 def resolved_headers(spark: SparkSession, path: str) -> DataFrame:
@@ -341,7 +343,9 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     such a page refers to null. An empty table gives an empty archive and no rows.
     """
     spark = pages.sparkSession
-    first, second = (scratch_path(spark, purpose) for purpose in ("warc", "warc-deduplicated"))
+    passing = Passing(spark)
+    first, second = passing.path("warc"), scratch_path(spark, "warc-deduplicated")
     write_archives(records_of(pages), first, fast=True)
     deduplicate_archives(spark, first, second, least_bytes)
+    passing.drop()
     return resolved_headers(spark, second).drop("url")

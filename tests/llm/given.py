@@ -1,10 +1,14 @@
 """Tables that the tests of several operators share, as fixtures to import."""
 
+from collections import Counter
+from pathlib import Path
+
 import pytest
 from plain import TEXTS
 from pyspark.sql import Row
 
 from aerometry.llm.documents import share_library
+from aerometry.session import shared_root
 
 DOCUMENT = (
     "doc_id long, text string, lang string, source string, n_chars long, "
@@ -45,3 +49,19 @@ def labels(spark):
         return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
     return make
+
+
+@pytest.fixture
+def stays(spark):
+    """What a call leaves in the shared folder, by purpose: its result, and the tables it kept."""
+
+    def tables():
+        root = Path(shared_root(spark))
+        return Counter(p.name.rpartition("-")[0] for p in root.iterdir()) if root.exists() else Counter()
+
+    def run(call):
+        before = tables()
+        found = call()
+        return found, tables() - before
+
+    return run

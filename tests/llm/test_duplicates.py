@@ -6,7 +6,7 @@ import numpy as np
 import plain
 import pyarrow as pa
 import pytest
-from given import documents, edges, empty  # noqa: F401
+from given import documents, edges, empty, stays  # noqa: F401
 from plain import TEXTS
 
 from aerometry.llm import documents as document_helpers
@@ -228,6 +228,15 @@ def test_a_template_without_links_moves_no_texts(documents, spark, monkeypatch):
     assert len(moved) == 2 and moved[0] >= 400 and moved[1] <= 20
 
 
+def test_tables_go_when_links_are_found(documents, stays, monkeypatch):
+    """The result is read from four tables, however many passes and rounds there were."""
+    monkeypatch.setattr(minhash, "CHUNK", 12)
+    texts = families(random.Random(3), 12)
+    found, left = stays(lambda: minhash.near_duplicates(documents(texts), with_links=True))
+    assert left == {"signed": 1, "firsts": 1, "links": 2, "edges": 1}
+    assert {r.doc_id: r.class_id for r in found.collect()} == plain.classes(texts)
+
+
 def test_sets_are_compared_with_themselves_once():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 60, 50)).astype(np.uint64) for _ in range(12)]

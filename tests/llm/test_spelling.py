@@ -4,7 +4,7 @@ import random
 
 import plain
 import pyarrow as pa
-from given import documents, edges, empty  # noqa: F401
+from given import documents, edges, empty, stays  # noqa: F401
 from pyspark.sql import functions as F
 
 from aerometry.llm import spelling
@@ -77,6 +77,11 @@ def test_long_chain_of_forms(documents):
     assert got["rotati"][:2] == (words[1], words[-1])
 
 
+def test_rounds_leave_one_table(documents, stays):
+    _, left = stays(lambda: spelling.group_variants(documents(drawn())))
+    assert left == {"spelling-forms": 1, "spelling-roots": 1}
+
+
 def test_edges(edges, empty):
     rows = [(row.doc_id, row.text) for row in edges.collect()]
     assert found(edges, least_count=1) == plain.variants(rows, least_count=1)

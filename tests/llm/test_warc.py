@@ -7,7 +7,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from given import documents  # noqa: F401
+from given import documents, stays  # noqa: F401
 
 from aerometry.llm import warc
 from aerometry.llm.oracles import ORACLES
@@ -122,6 +122,13 @@ def test_parser_takes_any_cut(size):
     assert [record[-1].decode() for record in found] == [html or "" for _, _, html in PAGES[:8]]
 
 
+def test_first_archives_go_when_written_anew(spark, documents, stays):
+    pages = spark.createDataFrame([(1, "u", "a"), (2, "u", "a")], "page_id long, url string, html string")
+    found, left = stays(lambda: warc.archive_pages(pages))
+    assert left == {"warc-deduplicated": 1, "warc-headers": 1}
+    assert sorted((r.page_id, r.refers_to) for r in found.collect()) == [(1, 2), (2, None)]
+
+
 def test_empty_table(spark, documents):
     assert warc.archive_pages(table(spark, [])).count() == 0
 
