@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +13,9 @@ PREVIEW_ROWS = 20
 # Partition columns of a table that is kept by day.
 DATE, VERSION = "_date", "_version"
 
+# What is told of a row while changed and known rows of a key are together.
+_NEW, _ANY_NEW, _ANY_KNOWN = "_new", "_any_new", "_any_known"
+
 
 def flatten_structs(df: DataFrame) -> DataFrame:
     """Replace each struct column by its fields, as text formats hold no structs.
@@ -100,15 +101,7 @@ def merge_days(
     touched = {day: before[day] for day in dates if day in before}
     merged = dated
     if touched:
-        known = _read_days(spark, path, touched).select(*dated.columns)
-        same = reduce(
-            Column.__and__, [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in (DATE, *key)]
-        )
-        if only_known is not None:
-            new, old = dated.where(only_known).alias("new"), known.alias("old")
-            merged = dated.where(~only_known).unionByName(new.join(old, same, "left_semi"))
-        old, new = known.alias("old"), merged.alias("new")
-        merged = merged.unionByName(old.join(new, same, "left_anti"))
+        merged = _replaced(_read_days(spark, path, touched), dated, [DATE, *key], only_known)
     elif only_known is not None:
         merged = dated.where(~only_known)
     (
@@ -125,6 +118,29 @@ def merge_days(
                 delete_tree(spark, f"{path}/{DATE}={day}/{VERSION}={old_version}")
 
 
+def _replaced(
+    known: DataFrame, changed: DataFrame, key: list[str], only_known: Column | None
+) -> DataFrame:
+    """Known rows, those with a changed key replaced; NULL keys are equal.
+
+    Both meet by key in one union, so ``changed`` occurs once in the plan. In a join
+    with itself Spark renames its columns, and may then not find a micro-batch that is
+    kept and run the stream's state again.
+    """
+    if only_known is not None:
+        changed = changed.where(only_known.isNotNull())
+    both = changed.withColumn(_NEW, F.lit(True)).unionByName(
+        known.select(*changed.columns).withColumn(_NEW, F.lit(False))
+    )
+    same = Window.partitionBy(*key)
+    both = both.withColumns(
+        {_ANY_NEW: F.bool_or(_NEW).over(same), _ANY_KNOWN: F.bool_or(~F.col(_NEW)).over(same)}
+    )
+    wanted = F.lit(True) if only_known is None else ~only_known | F.col(_ANY_KNOWN)
+    kept = both.where(F.when(F.col(_NEW), wanted).otherwise(~F.col(_ANY_NEW)))
+    return kept.drop(_NEW, _ANY_NEW, _ANY_KNOWN)
+
+
 def read_days(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a table kept by day, of each day's latest version."""
     latest = {day: max(versions) for day, versions in _days(spark, path).items()}

@@ -240,6 +240,48 @@ def test_a_lifted_alarm_is_marked_cleared(spark, streams, base):
     assert run(message("00:00:05", "d", 90), day_message(2, "00:00:05", "d", 2))[-1] == ("d", 2.0, False)
 
 
+@pytest.mark.parametrize(
+    "start, held",
+    [
+        (alarms.start_merged_rollup, [4, 5, 5]),
+        (alarms.start_merged_low_temperature_alarm, [6, 7, 7]),
+    ],
+)
+def test_a_merging_trigger_runs_its_state_once(spark, streams, base, start, held):
+    """Merging into days that have rows reads the micro-batch as kept; Spark counts windows per run."""
+    for lot in (
+        [day_message(d, "00:00:01", city, 5) for d in (1, 2) for city in "ab"]
+        + [day_message(2, when, "a", 5) for when in ("00:01:00", "00:02:00")],
+        [day_message(2, "00:00:02", "a", 90), day_message(1, "00:01:00", "b", 3)],
+        [day_message(1, "00:00:03", "a", 60), day_message(2, "00:00:03", "b", 1)],
+    ):
+        land(spark, f"{base}/in", lot)
+    running = start(source(streams, f"{base}/in"), f"{base}/out", f"{base}/ck")
+    running.awaitTermination()
+    states = [p.stateOperators[0] for p in running.recentProgress if p.numInputRows]
+    assert [s.numRowsTotal for s in states] == held
+    assert all(s.numRowsUpdated <= 6 for s in states)
+
+
+def test_merged_rows_may_repeat_or_lack_keys(spark, base):
+    """Changed rows replace all known ones of their key; those only for known keys need one."""
+    made = lambda *data: spark.createDataFrame(data, "k int, at timestamp, v int, known boolean")
+    noon = at("12:00:00")
+    merge = lambda df, n: merge_days(
+        df, f"{base}/t", n, ["k"], F.col("at"), only_known=F.col("known")
+    )
+    merge(made((1, noon, 1, False), (1, noon, 1, False), (2, noon, 2, True), (None, noon, 3, False), (4, noon, 4, False)), 0)
+    merge(
+        made(
+            (1, noon, 5, False), (1, noon, 6, True), (2, noon, 7, True), (None, noon, 8, True), (3, noon, 9, False),
+            (4, noon, 10, None),
+        ),
+        1,
+    )
+    found = rows(read_days(spark, f"{base}/t"), "k", "v")
+    assert found == sorted([(1, 5), (1, 6), (None, 8), (3, 9), (4, 4)], key=repr)
+
+
 def test_a_version_written_again_replaces_itself(spark, base):
     """A trigger that fails after its write merges the same rows into the version before."""
     made = lambda *data: spark.createDataFrame(data, "k int, at timestamp, v int")
