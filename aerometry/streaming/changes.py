@@ -40,8 +40,11 @@ def stream_changed_readings(
     slices = time_slice(order[0], unit) if kind.startswith("timestamp") else F.lit("")
     valued = F.col(value).isNotNull()
     rows = readings.where(valued if passing is None else valued | passing)
-    compared = stream_with_previous(rows, value, order, slices, key, changed, passing)
-    return compared.drop("_previous")
+    compared = stream_with_previous(rows, value, order, slices, key, True, passing)
+    kept = F.coalesce(changed(F.col("_previous"), F.col(value)), F.lit(False))
+    if passing is not None:
+        kept = F.coalesce(passing, F.lit(False)) | kept
+    return compared.where(kept).drop("_previous")
 
 
 def start_changed_readings(

@@ -3,6 +3,7 @@ import random
 import time
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from aerometry.sinks.messages import FilePublisher
 from aerometry.sinks.tables import current_path, merge_days, read_days, replace_table
 from aerometry.sources.feeds import read_payload_files, read_payload_table
 from aerometry.sources.messages import MessageFiles, read_messages
-from aerometry.streaming import alarms, changes, late
+from aerometry.streaming import alarms, changes, late, previous
 from aerometry.streaming.sinks import start_files
 
 
@@ -450,6 +451,74 @@ def test_a_hot_device_is_cut_into_slices(spark, streams, base):
         assert rows(spark.read.parquet(f"{base}/{unit}")) == expected
 
 
+def test_groups_are_as_many_as_parts_however_many_devices(spark, streams, base, monkeypatch):
+    """Python meets a group per part and share, not one per device and slice; the rows stay those
+    of the batch form."""
+    schema = "deviceId string, timestamp timestamp, seq bigint, v string"
+    chance = random.Random(4)
+    data = [
+        (chance.choice([f"d{chance.randrange(300)}", None]), at(f"{chance.randrange(24):02d}:00:00"), i, chance.choice("xy"))
+        for i in range(1500)
+    ]
+    # In files by time, as the triggers of a stream should come.
+    data.sort(key=lambda row: (row[1], row[2]))
+    for start in (0, 700):
+        land(spark, f"{base}/in", data[start : start + 700 if start == 0 else None], schema)
+    monkeypatch.setattr(previous, "PARTS", 3)
+    monkeypatch.setattr(previous, "SHARES", 2)
+    calls = streams.sparkContext.accumulator(0)
+    for step in (previous.WithinSlices, previous.AcrossSlices):
+        handle = step.handleInputRows
+
+        def counted(self, key, rows, timerValues, handle=handle):
+            calls.add(1)
+            yield from handle(self, key, rows, timerValues)
+
+        monkeypatch.setattr(step, "handleInputRows", counted)
+    readings = streams.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    found = changes.stream_changed_readings(readings, "v", ("timestamp", "seq"))
+    start_files(found, f"{base}/out", f"{base}/ck").awaitTermination()
+    expected = changed_readings(spark.createDataFrame(data, schema), "v", ("timestamp", "seq"), hot_rows=None)
+    assert rows(spark.read.parquet(f"{base}/out")) == rows(expected)
+    assert 0 < calls.value <= 2 * (3 * 2 + 3)
+
+
+def test_odd_values_are_compared_as_in_batch(spark, streams, base):
+    """Numbers that are no numbers, zeros of both signs, missing times and values, rows that repeat."""
+    schema = "deviceId bigint, timestamp timestamp, seq bigint, v double"
+    odd = [float("nan"), 0.0, -0.0, 1.0, None]
+    chance = random.Random(6)
+    data = [
+        (chance.choice([1, 2, None]), chance.choice([None, at("00:00:01"), at("01:00:01")]), i, chance.choice(odd))
+        for i in range(200)
+    ]
+    data += data[:1]
+    land(spark, f"{base}/in", data, schema)
+    readings = streams.readStream.schema(schema).parquet(f"{base}/in")
+    found = changes.stream_changed_readings(readings, "v", ("timestamp", "seq"))
+    start_files(found, f"{base}/out", f"{base}/ck").awaitTermination()
+    expected = changed_readings(spark.createDataFrame(data, schema), "v", ("timestamp", "seq"))
+    columns = ("deviceId", "timestamp", "seq", F.col("v").cast("string"))
+    assert rows(spark.read.parquet(f"{base}/out"), *columns) == rows(expected, *columns)
+
+
+def test_dealt_rows_come_back_whole():
+    """Rows go into tables of bounded size by part and share, and all of them come out again."""
+    count = previous.PACKED_ROWS * 2 + 5
+    table = pa.table(
+        {
+            "seq": pa.array(range(count)),
+            "_part": pa.array([number % 2 for number in range(count)], pa.int32()),
+            "_share": pa.array([0] * count, pa.int32()),
+        }
+    )
+    sent = list(previous.deal(iter(table.to_batches(max_chunksize=1000))))
+    assert [batch.column("_part").to_pylist() for batch in sent] == [[0, 0, 1, 1]]
+    opened = list(previous.open_rows(iter([batch.select(["_rows"]) for batch in sent])))
+    assert sorted(number for batch in opened for number in batch["seq"].to_pylist()) == list(range(count))
+    assert list(previous.deal(iter([]))) == []
+
+
 def test_change_filter_repeats_a_failed_batch(spark, streams, base):
     """A batch that fails after part of its work starts again from the same memory."""
     schema = "deviceId string, seq bigint, value string"
