@@ -13,7 +13,12 @@ from aerometry.functions.payload import parse_payloads, rejected
 from aerometry.functions.readings import encode_readings
 from aerometry.schemas import DEVICE, READING_VALUES, TIME
 from aerometry.sinks.messages import FilePublisher, KafkaPublisher
-from aerometry.streaming.previous import SLICE, stream_with_previous, time_slice
+from aerometry.streaming.previous import (
+    SLICE,
+    state_partitions,
+    stream_with_previous,
+    time_slice,
+)
 from aerometry.streaming.sinks import UNTIL_READ, start_sink
 
 
@@ -59,7 +64,8 @@ def start_changed_readings(
 ) -> StreamingQuery:
     """Hand ``sink`` the readings that differ from the device's previous one."""
     found = stream_changed_readings(readings, value, order, key, unit)
-    return start_sink(found, sink, checkpoint, trigger)
+    with state_partitions(readings.sparkSession):
+        return start_sink(found, sink, checkpoint, trigger)
 
 
 def start_ingest(
@@ -94,4 +100,5 @@ def start_ingest(
         placed = batch.where(~unfit).withColumn("city", assign_city(city_number))
         publisher.publish(encode_readings(placed), epoch)
 
-    return start_sink(found, publish, checkpoint, trigger)
+    with state_partitions(payloads.sparkSession):
+        return start_sink(found, publish, checkpoint, trigger)

@@ -17,12 +17,13 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -102,6 +103,22 @@ def stream_with_previous(
     return second.mapInArrow(open_rows, T.StructType([*rows.schema, T.StructField("_previous", kind)]))
 
 
+@contextmanager
+def state_partitions(session: SparkSession) -> Iterator[None]:
+    """Start a stream of these steps with no more state partitions than there are parts.
+
+    A further one would never hold a row, but cost a task per step and trigger. The
+    session's setting is as before afterwards.
+    """
+    name = "spark.sql.shuffle.partitions"
+    wanted = session.conf.get(name)
+    session.conf.set(name, str(min(int(wanted), PARTS)))
+    try:
+        yield
+    finally:
+        session.conf.set(name, wanted)
+
+
 def packed(rows: pa.Table) -> Iterator[bytes]:
     """A table as binary values of at most ``PACKED_ROWS`` rows; none for no rows."""
     for start in range(0, rows.num_rows, PACKED_ROWS):

@@ -483,6 +483,23 @@ def test_groups_are_as_many_as_parts_however_many_devices(spark, streams, base,
     assert 0 < calls.value <= 2 * (3 * 2 + 3)
 
 
+def test_no_state_partition_stays_empty_for_ever(spark, streams, base, monkeypatch):
+    """More state partitions than parts would hold nothing; the session's setting stays."""
+    schema = "deviceId string, seq bigint, value string"
+    land(spark, f"{base}/in", [("d", 1, "A"), ("d", 2, "A"), ("e", 1, "A")], schema)
+    monkeypatch.setattr(previous, "PARTS", 3)
+    streams.conf.set("spark.sql.shuffle.partitions", "7")
+    readings = streams.readStream.schema(schema).parquet(f"{base}/in")
+    running = changes.start_changed_readings(
+        readings, "value", ("seq",), FilePublisher(f"{base}/out").publish, f"{base}/ck"
+    )
+    running.awaitTermination()
+    held = [step.numShufflePartitions for p in running.recentProgress for step in p.stateOperators]
+    assert set(held) == {3}
+    assert streams.conf.get("spark.sql.shuffle.partitions") == "7"
+    assert rows(spark.read.parquet(f"{base}/out"), "deviceId", "seq") == [("d", 1), ("e", 1)]
+
+
 def test_odd_values_are_compared_as_in_batch(spark, streams, base):
     """Numbers that are no numbers, zeros of both signs, missing times and values, rows that repeat."""
     schema = "deviceId bigint, timestamp timestamp, seq bigint, v double"
